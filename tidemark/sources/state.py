@@ -43,8 +43,9 @@ def append_state(spark: SparkSession, path: str, states: Iterable[TableState]) -
     jobs that append to one folder would share its staging area.
     """
     for state in states:
-        row = spark.createDataFrame([astuple(state)], STATE_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(f"{path}/table-{quote(state.table, safe='')}")
+        fields = zip(STATE_SCHEMA.fields, astuple(state))
+        row = spark.range(0, 1, 1, 1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in fields))
+        row.write.mode("append").parquet(f"{path}/table-{quote(state.table, safe='')}")
 
 
 def read_state_log(spark: SparkSession, path: str) -> DataFrame:
