@@ -52,6 +52,14 @@ def test_maps_compare_by_content(spark, by_digest):
     assert rest.columns == ["id", "m"]
 
 
+def test_many_copies_of_one_row_are_written_by_many_tasks(spark):
+    source = spark.range(0, 200_003, 1, 4).select(F.lit("x").alias("v"), F.lit(None).cast("int").alias("n"))
+    rest = ops.missing_rows(source, source.limit(3))
+    per_task = [r["n_rows"] for r in rest.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n_rows")).collect()]
+    assert sum(per_task) == 200_000 and max(per_task) < 120_000
+    assert rest.distinct().count() == 1
+
+
 def test_content_finds_what_position_misses(spark):
     """A new row that sorts first: the tail by count copies the wrong row."""
     source = spark.createDataFrame([(i,) for i in range(10)], "id long")

@@ -31,6 +31,20 @@ def test_latest_state_wins_and_tables_are_independent(spark, folder):
     assert sources.read_state_log(spark, folder).count() == 5
 
 
+def test_compacting_the_log_changes_nothing(spark, folder):
+    assert sources.compact_state_log(spark, folder) == 0
+    for n in range(5):
+        sources.append_state(spark, folder, [TableState("a", n, True, "ts", f"2024-01-0{n + 1}", n)])
+    sources.append_state(spark, folder, [TableState("b", 7, False, None, None, 0)])
+    before = sources.load_state(spark, folder)
+    assert sources.compact_state_log(spark, folder) == 6
+    assert sources.load_state(spark, folder) == before
+    assert sources.read_state_log(spark, folder).count() == 2
+    assert sources.compact_state_log(spark, folder) == 0
+    sources.append_state(spark, folder, [TableState("a", 9, True, "ts", "2024-02-01", 9)])
+    assert sources.load_state(spark, folder)["a"].batch_seq == 9
+
+
 def test_a_foreign_or_broken_log_is_an_error(spark, folder):
     spark.range(3).write.parquet(folder + "/other")
     with pytest.raises(ValueError, match="no state log"):

@@ -121,6 +121,28 @@ def test_a_crash_before_the_state_is_saved_loses_and_repeats_nothing(spark, fold
     assert bag(sources.read_target(spark, target)) == bag(grown)
 
 
+def test_a_drain_that_dies_leaves_nothing_behind(spark, folder):
+    """Its batches are stored, the state is not, and the next run cuts other batches."""
+    target, log = paths(folder)
+    df = table(spark, [(i, i // 3, "a") for i in range(60)])
+    state = plans.catch_up(spark, df.filter("id < 12"), SPEC, TableState("t"), target, log)
+    plans.drain(spark, df, SPEC, state, target, folder + "/lost", batch_rows=4)
+    assert sources.read_target(spark, target, upto=state.batch_seq).count() == 12
+    final = plans.drain(spark, df, SPEC, sources.load_state(spark, log)["t"], target, log, batch_rows=30)
+    assert final.synced_rows == 60
+    assert bag(sources.read_target(spark, target)) == bag(df)
+
+
+def test_a_drained_batch_never_splits_equal_watermarks(spark, folder):
+    df = table(spark, [(i, 4 if i % 3 else i, "a") for i in range(90)])
+    spec = replace(SPEC, month_of="updated_at")
+    plans.drain(spark, df, spec, TableState("t"), *paths(folder), batch_rows=10)
+    stored = sources.read_target(spark, paths(folder)[0], keep_layout=True)
+    per_value = stored.groupBy("updated_at").agg(F.count_distinct("batch_seq").alias("n"))
+    assert per_value.filter("n > 1").count() == 0
+    assert bag(stored) == bag(df)
+
+
 def test_exact_copies_are_kept_as_often_as_they_are(spark, folder):
     df = table(spark, [(1, 2, "x")] * 7 + [(2, 1, "y")] * 3)
     follow(spark, df, TableState("t"), folder, 2)
@@ -136,8 +158,12 @@ def test_drain_and_catch_up_store_the_same(spark, folder):
     assert drained.batch_seq > caught.batch_seq == 0
     assert bag(sources.read_target(spark, folder + "/a/t")) == bag(df)
     assert bag(sources.read_target(spark, folder + "/b/t")) == bag(df)
-    logged = sources.read_state_log(spark, folder + "/a/state")
-    assert logged.count() == drained.batch_seq + 1
+    logged = {r["batch_seq"]: r for r in sources.read_state_log(spark, folder + "/a/state").collect()}
+    stored = sources.read_target(spark, folder + "/a/t", keep_layout=True)
+    assert set(logged) == {r["batch_seq"] for r in stored.select("batch_seq").distinct().collect()}
+    for seq, row in logged.items():
+        assert row["synced_rows"] == sources.read_target(spark, folder + "/a/t", upto=seq).count()
+        assert row["synced_rows"] == df.count() - ops.newer_than(df, "updated_at", row["watermark_value"]).count()
     assert plans.drain(spark, df, SPEC, drained, *paths(folder + "/a")) == drained
     assert plans.catch_up(spark, df, SPEC, caught, *paths(folder + "/b")) == caught
 
@@ -214,6 +240,15 @@ def test_updates_fold_and_deletes_show_up(spark, folder):
     latest = ops.replacing_merge(stored, ["id"], "updated_at", ["batch_seq"]).drop("batch_seq")
     assert {(r["id"], r["v"]) for r in latest.collect()} == {(1, "new"), (2, "gone")}
     assert [r["id"] for r in ops.surplus_rows(changed, latest).collect()] == [2]
+    n = plans.fold_target(
+        spark,
+        SPEC,
+        paths(folder)[0],
+        folder + "/folded",
+        upto=1,
+        fold=lambda rows: ops.replacing_merge(rows, ["id"], "updated_at", ["batch_seq"]),
+    )
+    assert n == 2 and bag(sources.read_target(spark, folder + "/folded")) == bag(latest)
 
 
 def test_late_rows_are_found_by_key(spark):

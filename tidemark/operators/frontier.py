@@ -14,10 +14,10 @@ def contiguous_frontier(
     where ``done`` holds, if given). Order and repeats do not matter, places
     below ``start`` or off the grid are ignored, every key keeps a row.
 
-    The frontier is the least place that is not done but starts the grid or
-    follows a done one. Both facts are marked per place, so the work is two hash
-    aggregations by (key, place) and by key: no window and no sort, and a key
-    with much of the table is spread over all tasks.
+    The frontier is the least place that is not done but follows a done one, or
+    ``start`` if that is not done. Both facts are marked per place, so the work
+    is two hash aggregations by (key, place) and by key: no window and no sort,
+    and a key with much of the table is spread over all tasks.
     """
     place = F.col(seq).cast("bigint")
     valid = (place >= start) & (F.pmod(place - start, F.lit(step)) == 0)
@@ -28,15 +28,18 @@ def contiguous_frontier(
     def mark(at: Column, is_done: bool) -> Column:
         return F.struct(at.cast("bigint").alias("place"), F.lit(is_done).alias("done"))
 
-    first = mark(F.lit(start), False)
-    marks = F.when(valid, F.array(first, mark(place, True), mark(place + step, False))).otherwise(F.array(first))
+    marks = F.when(valid, F.array(mark(place, True), mark(place + step, False))).otherwise(
+        F.array(mark(F.lit(start), False))
+    )
     places = (
         df.select(F.col(key), F.explode(marks).alias("m"))
         .groupBy(key, F.col("m.place").alias("place"))
         .agg(F.max("m.done").alias("done"))
     )
-    frontier = F.min(F.when(~F.col("done"), F.col("place")))
-    below = ((F.col("frontier") - start) / step).cast("bigint")
+    started = F.max((F.col("place") == start) & F.col("done"))
+    first_gap = F.min(F.when(~F.col("done"), F.col("place")))
+    frontier = F.when(started, first_gap).otherwise(F.lit(start).cast("bigint"))
+    below = F.expr(f"(frontier - ({start})) div {step}")
     return (
         places.groupBy(key)
         .agg(frontier.alias("frontier"), F.count_if("done").alias("n_done"))

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.operators.ordering import page
 from tidemark.types import MAX_GATHER_ROWS, TIMESTAMP_OPTIONS, fits_one_task
 
+# How many copies of one row a task writes out at a time.
+COPIES_PER_PIECE = 10_000
+
 
 def tail_by_count(
     source: DataFrame, target: DataFrame, keys: Sequence[str], max_gather: int = MAX_GATHER_ROWS
@@ -40,7 +43,7 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
     for wide tables that agree on most rows. It can overlook a row only if two
     different rows share an MD5 digest.
     """
-    target = target.select(*source.columns)
+    target = target.select(*(f"`{c}`" for c in source.columns))
     if not by_digest:
         return _except_all(source, target)
     suspects = _uneven_digests(source, target)
@@ -52,7 +55,7 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
 
 def surplus_rows(source: DataFrame, target: DataFrame, by_digest: bool = False) -> DataFrame:
     """Target rows the source no longer has: deletes, which no watermark shows."""
-    return missing_rows(target, source.select(*target.columns), by_digest)
+    return missing_rows(target, source, by_digest)
 
 
 def _uneven_digests(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -75,14 +78,33 @@ def _is_map(field: T.StructField) -> bool:
 def _comparable(df: DataFrame) -> list[Column]:
     """Maps cannot be compared, their sorted entries can."""
     return [
-        F.array_sort(F.map_entries(f.name)).alias(f.name) if _is_map(f) else F.col(f.name)
+        F.array_sort(F.map_entries(f.name)).alias(f.name) if _is_map(f) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ]
 
 
 def _except_all(source: DataFrame, target: DataFrame) -> DataFrame:
-    rest = source.select(*_comparable(source)).exceptAll(target.select(*_comparable(target)))
+    """The multiset difference, with many copies of one row spread over tasks.
+
+    Like the built-in operator this counts every distinct row up on one side and
+    down on the other. The rows left are cut into pieces of limited copies and
+    shuffled as such before the copies are written out, so that no task has to
+    produce all copies of a row.
+    """
+    names = source.columns
+    sides = source.select(*_comparable(source), F.lit(1).alias("_net")).unionByName(
+        target.select(*_comparable(target), F.lit(-1).alias("_net"))
+    )
+    columns = [f"`{name}`" for name in names]
+    net = sides.groupBy(*columns).agg(F.sum("_net").alias("_net")).filter("_net > 0")
+    pieces = net.withColumn("_piece", F.explode(F.expr(f"sequence(0L, (_net - 1) div {COPIES_PER_PIECE})")))
+    # a fixed number of tasks: by their bytes, pieces would look worth joining
+    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pieces.repartition(tasks, "_piece", *columns)
+    copies = F.least(F.lit(COPIES_PER_PIECE), F.col("_net") - F.col("_piece") * COPIES_PER_PIECE)
+    rest = spread.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
     back = [
-        F.map_from_entries(f.name).alias(f.name) if _is_map(f) else F.col(f.name) for f in source.schema.fields
+        F.map_from_entries(f.name).alias(f.name) if _is_map(f) else F.col(f"`{f.name}`")
+        for f in source.schema.fields
     ]
     return rest.select(*back)

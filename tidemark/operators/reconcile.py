@@ -51,7 +51,7 @@ def uneven_ranges(
     hashes are combined by exclusive or and by sum, so no row is shuffled.
     """
     columns = list(columns) or source.columns
-    start = (F.floor(F.col(key) / width) * width).alias("range_start")
+    start = (F.col(key) - F.pmod(F.col(key), F.lit(width))).alias("range_start")
 
     def summed(df: DataFrame, sign: int) -> DataFrame:
         row = F.xxhash64(*columns, *(F.isnull(c) for c in columns))

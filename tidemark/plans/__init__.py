@@ -1,7 +1,8 @@
-from tidemark.plans.incremental import catch_up, drain, late_rows, poll_once, poll_table, store
+from tidemark.plans.incremental import catch_up, drain, late_rows, poll_once, poll_table, recover, store
 from tidemark.plans.replicate import copy_tables, poll_cycle, state_path, sync_tables, target_path
 from tidemark.plans.snapshot import (
     CopyResult,
+    fold_target,
     snapshot_plus_delta,
     snapshot_rows,
     snapshot_table,
@@ -13,10 +14,12 @@ __all__ = [
     "catch_up",
     "copy_tables",
     "drain",
+    "fold_target",
     "late_rows",
     "poll_cycle",
     "poll_once",
     "poll_table",
+    "recover",
     "snapshot_plus_delta",
     "snapshot_rows",
     "snapshot_table",

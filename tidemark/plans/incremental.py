@@ -8,13 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.delta import in_range, newer_than, read_cut
 from tidemark.operators.missing import missing_rows, tail_by_count
-from tidemark.operators.ordering import tie_safe_batches
+from tidemark.operators.ordering import key_positions
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import read_max
 from tidemark.plans.snapshot import table_watermark
-from tidemark.sources.state import append_state
-from tidemark.sources.target import read_target, write_batch
-from tidemark.types import DEFAULT_BATCH_ROWS, TableSpec, TableState, Watermark, as_text
+from tidemark.sources.state import append_state, append_state_rows
+from tidemark.sources.target import discard_uncommitted, read_target, write_batch, write_batches
+from tidemark.types import (
+    DEFAULT_BATCH_ROWS,
+    MAX_BROADCAST_ROWS,
+    TableSpec,
+    TableState,
+    Watermark,
+    as_text,
+)
 
 
 def check_watermark(state: TableState, watermark: Watermark) -> None:
@@ -77,7 +84,7 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
     check_watermark(state, Watermark("count"))
     source = project(df, spec.excluded)
     # an earlier write of this batch that was never recorded does not count as stored
-    stored = read_target(spark, target, keep_layout=True).filter(F.col("batch_seq") <= state.batch_seq)
+    stored = read_target(spark, target, upto=state.batch_seq)
     stored = stored.select(*source.columns)
     if by_position:
         kept = tail_by_count(df, stored, spec.sort_key)
@@ -93,6 +100,12 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
     return saved
 
 
+def recover(spark: SparkSession, df: DataFrame, spec: TableSpec, state: TableState, target: str) -> list[int]:
+    """Once after a restart: drop batches that were stored but never recorded."""
+    rows = project(df, spec.excluded)
+    return discard_uncommitted(rows, target, state.batch_seq, spec.month_of, spec.sort_key)
+
+
 def drain(
     spark: SparkSession,
     df: DataFrame,
@@ -104,23 +117,55 @@ def drain(
 ) -> TableState:
     """Work off the backlog that exists now in batches of whole tie groups.
 
-    All cuts are found in one pass over the watermark column; every batch is
-    then a range filter with its own partition and state row. A batch re-reads
-    the table as far as its files overlap the range, so for a long backlog take
-    :func:`catch_up`.
+    One pass over the watermark column finds the batch of every value; a second
+    pass looks each row's batch up and writes all batches in one job, so the
+    number of batches does not multiply the scans. The lookup has one row per
+    distinct watermark; its rows are counted, and it is broadcast only if they
+    are few. Otherwise both sides are shuffled, and adaptive execution splits hot
+    values. A row that arrived since, with a value of its own, goes into the
+    last batch. Numbers of batches may have gaps where a tie group fills several.
     """
     watermark = table_watermark(df, spec)
     check_watermark(state, watermark)
-    column = watermark.column
+    recover(spark, df, spec, state, target)
+    column, dtype = watermark.column, df.schema[watermark.column].dataType
     new = newer_than(df, column, state.watermark_value).select(column)
-    ends = tie_safe_batches(new, column, batch_rows).orderBy("batch_no")
-    for row in ends.select(as_text("hi", df.schema[column].dataType).alias("hi")).toLocalIterator():
-        rows = in_range(df, column, state.watermark_value, row["hi"])
-        moved = replace(
-            state, watermark_column=column, watermark_value=row["hi"], batch_seq=state.batch_seq + 1
-        )
-        state = store(spark, project(rows, spec.excluded), spec, moved, target, state_path)
-    return state
+    seq = F.lit(state.batch_seq + 1) + F.floor(F.col("start") / batch_rows)
+    values = key_positions(new, [column]).select(column, seq.alias("batch_seq"), "stop")
+    ends = values.groupBy("batch_seq").agg(
+        F.max(column).alias("hi"), F.max("stop").alias("stop"), F.count("*").alias("n_values")
+    )
+    last = ends.select(
+        F.max("batch_seq").alias("seq"), as_text(F.max("hi"), dtype).alias("hi"), F.sum("n_values").alias("n_values")
+    ).first()
+    if last["hi"] is None:
+        return state
+    rows = in_range(df, column, state.watermark_value, last["hi"])
+    lookup = values.select(column, "batch_seq")
+    if last["n_values"] <= MAX_BROADCAST_ROWS:
+        lookup = F.broadcast(lookup)
+    placed = rows.join(lookup, column, "left").select(
+        *(f"`{c}`" for c in df.columns), F.coalesce("batch_seq", F.lit(last["seq"])).alias("batch_seq")
+    )
+    n_rows = write_batches(project(placed, spec.excluded), target, spec.month_of, spec.sort_key)
+    final = replace(
+        state,
+        synced_rows=state.synced_rows + n_rows,
+        watermark_column=column,
+        watermark_value=last["hi"],
+        batch_seq=last["seq"],
+    )
+    total = F.when(F.col("batch_seq") == last["seq"], final.synced_rows).otherwise(state.synced_rows + F.col("stop"))
+    log = ends.select(
+        F.lit(spec.name).alias("table"),
+        total.alias("synced_rows"),
+        F.lit(state.initial_sync_complete).alias("initial_sync_complete"),
+        F.lit(column).alias("watermark_column"),
+        as_text("hi", dtype).alias("watermark_value"),
+        "batch_seq",
+    )
+    append_state_rows(log, state_path, spec.name)
+    return final
 
 
 def catch_up(

@@ -8,9 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.incremental import poll_table
+from tidemark.plans.incremental import poll_table, recover
 from tidemark.plans.snapshot import CopyResult, snapshot_table
-from tidemark.sources.state import load_state, state_of
+from tidemark.sources.state import compact_state_log, load_state, state_of
 from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec
 
 Reader = Callable[[str], DataFrame]
@@ -27,17 +27,21 @@ def state_path(root: str) -> str:
 def copy_tables(
     spark: SparkSession, read: Reader, specs: Sequence[TableSpec], root: str, workers: int = DEFAULT_WORKERS
 ) -> list[CopyResult]:
-    """First copy of every table that is not complete yet.
+    """First copy of every table that is not complete yet; the start of a run.
 
+    What an interrupted run stored for a complete table but never recorded is
+    dropped.
     A few tables are in flight at once so that small ones do not leave the
     cluster idle. A table that fails is reported; the others go on.
     """
     states = load_state(spark, state_path(root))
 
     def copy(spec: TableSpec) -> CopyResult:
-        if state_of(states, spec.name).initial_sync_complete:
+        df, state, target = read(spec.name), state_of(states, spec.name), target_path(root, spec.name)
+        if state.initial_sync_complete:
+            recover(spark, df, spec, state, target)
             return CopyResult(spec.name, "skipped")
-        return snapshot_table(spark, read(spec.name), spec, target_path(root, spec.name), state_path(root))
+        return snapshot_table(spark, df, spec, target, state_path(root))
 
     return _for_each(spark, copy, specs, workers)
 
@@ -74,6 +78,7 @@ def sync_tables(
     workers: int = DEFAULT_WORKERS,
 ) -> list[CopyResult]:
     """Copy what is missing, then poll until no healthy table has anything new."""
+    compact_state_log(spark, state_path(root))
     results = copy_tables(spark, read, specs, root, workers)
     totals = {r.table: r for r in results}
     active = [s for s in specs if totals[s.name].status != "error"]

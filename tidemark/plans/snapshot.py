@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,14 @@ from tidemark.operators.delta import in_range
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import choose, read_max
 from tidemark.sources.state import append_state
-from tidemark.sources.target import check_schema, read_target, target_schema, write_batch
+from tidemark.sources.target import (
+    BATCH_COLUMN,
+    MONTH_COLUMN,
+    check_schema,
+    read_target,
+    target_schema,
+    write_batch,
+)
 from tidemark.types import TableSpec, TableState, Watermark, typed_literal
 
 
@@ -66,3 +74,20 @@ def snapshot_plus_delta(df: DataFrame, watermark: Watermark, upto: str) -> DataF
     """The snapshot and everything after it as one table: each row exactly once."""
     later = in_range(df, watermark.column, upto, None)
     return snapshot_rows(df, watermark, upto).unionByName(later)
+
+
+def fold_target(
+    spark: SparkSession,
+    spec: TableSpec,
+    target: str,
+    folded: str,
+    upto: int,
+    fold: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> int:
+    """Rewrite the committed batches of a target into one at a new path, folded on the way.
+
+    ``fold`` gets the rows with their ``batch_seq``, the arrival order that merges
+    need. A table cannot be read and overwritten in one job, hence the new path.
+    """
+    rows = fold(read_target(spark, target, keep_layout=True, upto=upto))
+    return write_batch(rows.drop(BATCH_COLUMN, MONTH_COLUMN), folded, 0, spec.month_of, spec.sort_key)

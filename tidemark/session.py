@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,7 @@ def local_session(cores: str | int = "*", app: str = "tidemark", **conf: str) ->
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -46,3 +48,22 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared scratch folder."""
     return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def delete_files(spark: SparkSession, files: Iterable[str]) -> None:
+    """Delete single files; folders are never removed."""
+    for file in files:
+        fs, hadoop_path = _file_system(spark, file)
+        fs.delete(hadoop_path, False)
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path

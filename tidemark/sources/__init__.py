@@ -7,6 +7,8 @@ from tidemark.sources.jsonlines import (
 from tidemark.sources.state import (
     STATE_SCHEMA,
     append_state,
+    append_state_rows,
+    compact_state_log,
     fold_state,
     latest_per_key,
     load_state,
@@ -16,18 +18,23 @@ from tidemark.sources.state import (
 )
 from tidemark.sources.target import (
     check_schema,
+    discard_uncommitted,
     month_layout,
     read_target,
     target_schema,
     write_batch,
+    write_batches,
     write_derived,
 )
 
 __all__ = [
     "STATE_SCHEMA",
     "append_state",
+    "append_state_rows",
     "check_schema",
+    "compact_state_log",
     "count_bad_lines",
+    "discard_uncommitted",
     "fold_state",
     "latest_per_key",
     "load_state",
@@ -40,6 +47,7 @@ __all__ = [
     "state_of",
     "target_schema",
     "write_batch",
+    "write_batches",
     "write_derived",
     "write_json_lines",
 ]

@@ -6,9 +6,9 @@ from collections.abc import Iterable
 from dataclasses import astuple
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.session import delete_files, path_exists
 from tidemark.types import TableState
 
 STATE_SCHEMA = T.StructType(
@@ -36,32 +36,52 @@ def fold_state(log: DataFrame) -> DataFrame:
     return latest_per_key(log, ["table"], "batch_seq")
 
 
-def append_state(spark: SparkSession, path: str, states: Iterable[TableState]) -> None:
-    """Add rows to the log, a small file each, after the data they speak of are stored.
+def append_state_rows(rows: DataFrame, path: str, table: str) -> None:
+    """Add rows of one table to the log, after the data they speak of are stored.
 
     Every table has its own folder: tables are copied side by side, and two
     jobs that append to one folder would share its staging area.
     """
+    typed = rows.select(*(F.col(f.name).cast(f.dataType) for f in STATE_SCHEMA.fields))
+    typed.write.mode("append").parquet(f"{path}/table-{quote(table, safe='')}")
+
+
+def append_state(spark: SparkSession, path: str, states: Iterable[TableState]) -> None:
+    """Add single states to the log, a small file each."""
     for state in states:
-        fields = zip(STATE_SCHEMA.fields, astuple(state))
-        row = spark.range(0, 1, 1, 1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in fields))
-        row.write.mode("append").parquet(f"{path}/table-{quote(state.table, safe='')}")
+        fields = zip(STATE_SCHEMA.names, astuple(state))
+        row = spark.range(0, 1, 1, 1).select(*(F.lit(value).alias(name) for name, value in fields))
+        append_state_rows(row, path, state.table)
 
 
 def read_state_log(spark: SparkSession, path: str) -> DataFrame:
     """The log; empty if there is none yet, an error if it is something else."""
-    try:
-        log = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], STATE_SCHEMA)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], STATE_SCHEMA)
+    log = spark.read.option("recursiveFileLookup", "true").parquet(path)
     found = {f.name: f.dataType for f in log.schema.fields}
     if found != {f.name: f.dataType for f in STATE_SCHEMA.fields}:
         raise ValueError(f"{path} is no state log: {log.schema.simpleString()}")
     return log.select(*STATE_SCHEMA.names)
 
 
+def compact_state_log(spark: SparkSession, path: str) -> int:
+    """Replace the log by its latest rows; returns how many files went.
+
+    For the writer of the log, between polls. The latest rows are appended before
+    older files are deleted, and saying a row twice changes nothing, so a crash
+    at any point leaves a log that reads the same.
+    """
+    log = read_state_log(spark, path)
+    old = log.inputFiles()
+    latest = load_state(spark, path)
+    if len(old) <= len(latest):
+        return 0
+    append_state(spark, path, latest.values())
+    delete_files(spark, old)
+    return len(old)
+
+
 def load_state(spark: SparkSession, path: str) -> dict[str, TableState]:
     """Latest state by table name; one row per table comes to the driver."""
     return {row["table"]: TableState(**row.asDict()) for row in fold_state(read_state_log(spark, path)).collect()}

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalar import month_number
+from tidemark.session import path_exists
 
 BATCH_COLUMN = "batch_seq"
 MONTH_COLUMN = "yyyymm"
@@ -37,10 +38,12 @@ def check_schema(df: DataFrame, target: T.StructType) -> None:
 
 def target_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema of an existing target, from one footer; None if there is none."""
+    if not path_exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path).schema
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without data files
             return None
         raise
 
@@ -57,22 +60,63 @@ def write_batch(
     A repeated batch replaces itself, so a write that is replayed after a crash
     changes nothing. Rows are counted in the task that writes them.
     """
-    counted = Observation()
     if month_of is not None:
         rows = month_layout(df, month_of, sort_key)
     else:
         rows = df.sortWithinPartitions(*sort_key) if sort_key else df
-    rows = rows.observe(counted, F.count("*").alias("n_rows"))
-    writer = rows.write.mode("overwrite")
+    layout = [MONTH_COLUMN] if month_of is not None else []
+    return _write_counted(rows, f"{path}/{BATCH_COLUMN}={batch_seq}", layout, "static")
+
+
+def write_batches(
+    df: DataFrame, path: str, month_of: str | None = None, sort_key: Sequence[str] = ()
+) -> int:
+    """Write all batches of ``df``, told apart by its ``batch_seq``, in one job.
+
+    Only the batches in ``df`` are replaced. As in :func:`month_layout`, the rows
+    of a batch come together and adaptive execution splits a batch that is too
+    large.
+    """
+    layout = [BATCH_COLUMN]
     if month_of is not None:
-        writer = writer.partitionBy(MONTH_COLUMN)
-    writer.parquet(f"{path}/{BATCH_COLUMN}={batch_seq}")
+        df = df.withColumn(MONTH_COLUMN, month_number(month_of))
+        layout.append(MONTH_COLUMN)
+    rows = df.hint("rebalance", *layout).sortWithinPartitions(*layout, *sort_key)
+    return _write_counted(rows, path, layout, "dynamic")
+
+
+def _write_counted(rows: DataFrame, path: str, layout: Sequence[str], overwrite: str) -> int:
+    counted = Observation()
+    writer = rows.observe(counted, F.count("*").alias("n_rows")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", overwrite).partitionBy(*layout).parquet(path)
     return counted.get["n_rows"]
 
 
-def read_target(spark: SparkSession, path: str, keep_layout: bool = False) -> DataFrame:
-    """All batches; the layout columns only on request."""
+def discard_uncommitted(
+    df: DataFrame, path: str, last_seq: int, month_of: str | None = None, sort_key: Sequence[str] = ()
+) -> list[int]:
+    """Empty the batches above the last one the state log knows; for a restart.
+
+    A run that died between data and state may have left them. Partition pruning
+    opens none of the committed files. ``df`` gives the schema.
+    """
+    spark = df.sparkSession
+    if target_schema(spark, path) is None:
+        return []
+    left = spark.read.parquet(path).filter(F.col(BATCH_COLUMN) > last_seq).select(BATCH_COLUMN).distinct()
+    stale = sorted(row[BATCH_COLUMN] for row in left.collect())
+    for seq in stale:
+        write_batch(df.filter(F.lit(False)), path, seq, month_of, sort_key)
+    return stale
+
+
+def read_target(
+    spark: SparkSession, path: str, keep_layout: bool = False, upto: int | None = None
+) -> DataFrame:
+    """All batches, or those committed up to a state's; the layout columns only on request."""
     df = spark.read.parquet(path)
+    if upto is not None:
+        df = df.filter(F.col(BATCH_COLUMN) <= upto)
     return df if keep_layout else df.drop(BATCH_COLUMN, MONTH_COLUMN)
 
 

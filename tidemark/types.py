@@ -16,6 +16,9 @@ POLL_INTERVAL = "5 seconds"
 # limits and small tables; anything larger goes by key ranges instead.
 MAX_GATHER_ROWS = 1_000_000
 
+# Up to this many narrow lookup rows (a key and a number) may be broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
 # JSON cuts timestamps to milliseconds unless told otherwise.
 TIMESTAMP_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
