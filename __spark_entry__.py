@@ -153,6 +153,16 @@ def catch_up(spark, sf_dir):
     return sources.read_target(spark, target)
 
 
+def snapshot_in_parts(spark, sf_dir):
+    """A resumable first copy of line items in four watermark ranges."""
+    root = scratch_path(spark, "parts")
+    spec = TableSpec("lineitem", sort_key=LINE_ITEMS.sort_key, month_of="l_shipdate", parts=4)
+    results = plans.copy_tables(spark, lambda name: table(spark, sf_dir, name), [spec], root)
+    if results[0].status != "ok":
+        raise RuntimeError(f"the copy failed: {results}")
+    return sources.read_target(spark, plans.target_path(root, "lineitem"))
+
+
 def snapshot_then_drain(spark, sf_dir):
     return _snapshot_and_drain(spark, table(spark, sf_dir, "lineitem"), "1999-01-01")
 
@@ -401,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         snapshot_plus_delta,
         incremental_drain,
         catch_up,
+        snapshot_in_parts,
         snapshot_then_drain,
         sync_all_tables,
         page_ordered,
@@ -540,6 +551,7 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_plus_delta": "SELECT * FROM lineitem",
         "incremental_drain": "SELECT * FROM lineitem",
         "catch_up": "SELECT * FROM lineitem",
+        "snapshot_in_parts": "SELECT * FROM lineitem",
         "snapshot_then_drain": "SELECT * FROM lineitem",
         "sync_all_tables": _union(
             f"SELECT '{name}' AS table_name, count(*) AS src, count(*) AS dst, CAST(0 AS BIGINT) AS diff, "

@@ -143,6 +143,45 @@ def test_a_drained_batch_never_splits_equal_watermarks(spark, folder):
     assert bag(stored) == bag(df)
 
 
+def test_an_interrupted_copy_goes_on_where_it_stopped(spark, folder, monkeypatch):
+    target, log = paths(folder)
+    rows = [(i, i % 20, "a") for i in range(80)] + [(200 + i, None, "n") for i in range(3)]
+    df, spec = table(spark, rows), replace(SPEC, parts=4)
+    written, real = [], plans.snapshot.write_batch
+
+    def dies_at_part_two(rows, path, seq, *layout):
+        if seq == 2 and 2 not in written:
+            written.append(2)
+            real(rows.limit(1), path, seq, *layout)
+            raise RuntimeError("driver lost")
+        written.append(seq)
+        return real(rows, path, seq, *layout)
+
+    monkeypatch.setattr(plans.snapshot, "write_batch", dies_at_part_two)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        plans.snapshot_in_parts(spark, df, spec, target, log)
+    state = sources.load_state(spark, log)["t"]
+    assert (state.initial_sync_complete, state.batch_seq) == (False, 1)
+    grown = table(spark, rows + [(300 + i, 25, "b") for i in range(5)])
+    result = plans.snapshot_in_parts(spark, grown, spec, target, log)
+    assert (result.status, result.n_rows, written) == ("ok", 83, [0, 1, 2, 2, 3])
+    state = sources.load_state(spark, log)["t"]
+    assert state.initial_sync_complete and state.watermark_value == "2024-01-20 00:00:00"
+    follow(spark, grown, state, folder)
+    assert bag(sources.read_target(spark, target)) == bag(grown)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, "n")], [(1, 3, "a")] * 5])
+def test_copy_in_parts_of_odd_tables(spark, folder, rows):
+    df = table(spark, rows or [(0, 0, "")]).filter(F.lit(bool(rows)))
+    result = plans.snapshot_in_parts(spark, df, replace(SPEC, parts=3), *paths(folder))
+    assert (result.status, result.n_rows) == ("ok", len(rows))
+    assert sources.load_state(spark, paths(folder)[1])["t"].initial_sync_complete
+    grown = table(spark, rows + [(9, 9, "z")])
+    follow(spark, grown, sources.load_state(spark, paths(folder)[1])["t"], folder)
+    assert bag(sources.read_target(spark, paths(folder)[0])) == bag(grown)
+
+
 def test_exact_copies_are_kept_as_often_as_they_are(spark, folder):
     df = table(spark, [(1, 2, "x")] * 7 + [(2, 1, "y")] * 3)
     follow(spark, df, TableState("t"), folder, 2)

@@ -68,7 +68,8 @@ def _uneven_digests(source: DataFrame, target: DataFrame) -> DataFrame:
 def _digest(df: DataFrame) -> Column:
     """Over the whole row as text, with NULLs and every microsecond in it."""
     row = F.to_json(F.struct(*_comparable(df)), {"ignoreNullFields": "false", **TIMESTAMP_OPTIONS})
-    return F.unhex(F.md5(row.cast("binary")))
+    # never NULL, so that no join on it adds a filter that computes it again
+    return F.coalesce(F.unhex(F.md5(row.cast("binary"))), F.lit(b""))
 
 
 def _is_map(field: T.StructField) -> bool:

@@ -52,8 +52,8 @@ def batch_ledger(df: DataFrame, keys: Sequence[str], batch_rows: int) -> DataFra
     ``lo`` and ``hi`` are the first and last key (a struct for several keys). A
     key that spans several batches is split by arithmetic on its places.
     """
-    first = F.floor(F.col("start") / batch_rows)
-    last = F.floor((F.col("stop") - 1) / batch_rows)
+    first = F.expr(f"start div {batch_rows}")
+    last = F.expr(f"(stop - 1) div {batch_rows}")
     key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
     spans = key_positions(df, keys).withColumn("batch_no", F.explode(F.sequence(first, last)))
     inside = F.least("stop", (F.col("batch_no") + 1) * batch_rows) - F.greatest("start", F.col("batch_no") * batch_rows)
@@ -70,7 +70,7 @@ def tie_safe_batches(df: DataFrame, column: str, batch_rows: int) -> DataFrame:
     """
     return (
         key_positions(df.filter(F.col(column).isNotNull()), [column])
-        .groupBy(F.floor(F.col("start") / batch_rows).alias("batch_no"))
+        .groupBy(F.expr(f"start div {batch_rows}").alias("batch_no"))
         .agg(F.sum("n_rows").alias("n_rows"), F.min(column).alias("lo"), F.max(column).alias("hi"))
     )
 

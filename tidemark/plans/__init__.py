@@ -3,6 +3,7 @@ from tidemark.plans.replicate import copy_tables, poll_cycle, state_path, sync_t
 from tidemark.plans.snapshot import (
     CopyResult,
     fold_target,
+    snapshot_in_parts,
     snapshot_plus_delta,
     snapshot_rows,
     snapshot_table,
@@ -20,6 +21,7 @@ __all__ = [
     "poll_once",
     "poll_table",
     "recover",
+    "snapshot_in_parts",
     "snapshot_plus_delta",
     "snapshot_rows",
     "snapshot_table",

@@ -130,7 +130,7 @@ def drain(
     recover(spark, df, spec, state, target)
     column, dtype = watermark.column, df.schema[watermark.column].dataType
     new = newer_than(df, column, state.watermark_value).select(column)
-    seq = F.lit(state.batch_seq + 1) + F.floor(F.col("start") / batch_rows)
+    seq = F.lit(state.batch_seq + 1) + F.expr(f"start div {batch_rows}")
     values = key_positions(new, [column]).select(column, seq.alias("batch_seq"), "stop")
     ends = values.groupBy("batch_seq").agg(
         F.max(column).alias("hi"), F.max("stop").alias("stop"), F.count("*").alias("n_values")

@@ -9,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.incremental import poll_table, recover
-from tidemark.plans.snapshot import CopyResult, snapshot_table
+from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table
 from tidemark.sources.state import compact_state_log, load_state, state_of
 from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec
 
@@ -41,7 +41,8 @@ def copy_tables(
         if state.initial_sync_complete:
             recover(spark, df, spec, state, target)
             return CopyResult(spec.name, "skipped")
-        return snapshot_table(spark, df, spec, target, state_path(root))
+        snapshot = snapshot_in_parts if spec.parts > 1 else snapshot_table
+        return snapshot(spark, df, spec, target, state_path(root))
 
     return _for_each(spark, copy, specs, workers)
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.delta import in_range
+from tidemark.operators.ordering import tie_safe_batches
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import choose, read_max
-from tidemark.sources.state import append_state
+from tidemark.session import path_exists
+from tidemark.sources.state import append_state, load_state, pending_batches, read_state_log, state_of
 from tidemark.sources.target import (
     BATCH_COLUMN,
     MONTH_COLUMN,
@@ -19,7 +22,7 @@ from tidemark.sources.target import (
     target_schema,
     write_batch,
 )
-from tidemark.types import TableSpec, TableState, Watermark, typed_literal
+from tidemark.types import TableSpec, TableState, Watermark, as_text, typed_literal
 
 
 @dataclass(frozen=True)
@@ -70,6 +73,60 @@ def snapshot_table(
     return CopyResult(spec.name, "ok" if stored >= n_rows else "target_short", n_rows)
 
 
+def snapshot_in_parts(
+    spark: SparkSession, df: DataFrame, spec: TableSpec, target: str, state_path: str
+) -> CopyResult:
+    """The same copy in ``spec.parts`` watermark ranges, each stored and recorded by itself.
+
+    A run that is interrupted goes on with the parts the log does not hold: the
+    ranges are planned once, below the state folder, and kept. Parts are whole tie
+    groups of about equal size; rows without a watermark are in the first.
+    """
+    watermark = table_watermark(df, spec)
+    if watermark.by_count:
+        return snapshot_table(spark, df, spec, target, state_path)
+    plan_path = f"{state_path}_plans/{quote(spec.name, safe='')}"
+    if not path_exists(spark, plan_path):
+        _plan_parts(df, watermark.column, spec.parts).write.parquet(plan_path)
+    plan = spark.read.parquet(plan_path)
+    log = read_state_log(spark, state_path)
+    state = state_of(load_state(spark, state_path), spec.name)
+    existing = target_schema(spark, target)
+    last = plan.agg(F.max("batch_seq")).first()[0]
+    # one row per part
+    for part in pending_batches(plan, log, spec.name).orderBy("batch_seq").collect():
+        rows = in_range(df, watermark.column, part["after"], part["upto"])
+        if part["batch_seq"] == 0:
+            rows = snapshot_rows(df, watermark, part["upto"])
+        rows = project(rows, spec.excluded)
+        if existing is not None:
+            check_schema(rows, existing)
+        n_rows = write_batch(rows, target, part["batch_seq"], spec.month_of, spec.sort_key)
+        state = TableState(
+            spec.name,
+            state.synced_rows + n_rows,
+            part["batch_seq"] == last,
+            watermark.column,
+            part["upto"],
+            part["batch_seq"],
+        )
+        append_state(spark, state_path, [state])
+    stored = read_target(spark, target, keep_layout=True, upto=last).count() if state.synced_rows else 0
+    return CopyResult(spec.name, "ok" if stored >= state.synced_rows else "target_short", state.synced_rows)
+
+
+def _plan_parts(df: DataFrame, column: str, parts: int) -> DataFrame:
+    """``batch_seq, after, upto`` of each part; one part without bounds for an empty table."""
+    spark, dtype = df.sparkSession, df.schema[column].dataType
+    n_rows = df.agg(F.count(column)).first()[0]
+    batches = tie_safe_batches(df, column, max(1, -(-n_rows // parts)))
+    # at most ``parts`` rows
+    ends = [row["hi"] for row in batches.orderBy("batch_no").select(as_text("hi", dtype).alias("hi")).collect()]
+    ends = ends or [None]
+    bounds = [(seq, after, upto) for seq, (after, upto) in enumerate(zip([None, *ends], ends))]
+    return spark.createDataFrame(bounds, "batch_seq long, after string, upto string").coalesce(1)
+
+
 def snapshot_plus_delta(df: DataFrame, watermark: Watermark, upto: str) -> DataFrame:
     """The snapshot and everything after it as one table: each row exactly once."""
     later = in_range(df, watermark.column, upto, None)

@@ -40,13 +40,17 @@ class Watermark:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """What to copy of one table and how to lay it out in the target."""
+    """What to copy of one table and how to lay it out in the target.
+
+    ``parts`` above 1 makes the first copy of a large table resumable.
+    """
 
     name: str
     sort_key: tuple[str, ...] = ()
     excluded: tuple[str, ...] = ()
     month_of: str | None = None
     watermark: Watermark | None = None
+    parts: int = 1
 
 
 @dataclass(frozen=True)
