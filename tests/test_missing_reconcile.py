@@ -52,6 +52,27 @@ def test_maps_compare_by_content(spark, by_digest):
     assert rest.columns == ["id", "m"]
 
 
+@pytest.mark.parametrize("by_digest", [False, True])
+def test_nested_values_keep_their_bounds(spark, by_digest):
+    one = spark.sql("SELECT array(1, 2) AS a, array() AS b, struct(null AS p, 1 AS q) AS s")
+    for other in (
+        "SELECT array(1) AS a, array(2) AS b, struct(null AS p, 1 AS q) AS s",
+        "SELECT array(1, null, 2) AS a, array() AS b, struct(null AS p, 1 AS q) AS s",
+        "SELECT array(1, 2) AS a, array() AS b, struct(1 AS p, null AS q) AS s",
+        "SELECT array(1, 2) AS a, null AS b, struct(null AS p, 1 AS q) AS s",
+    ):
+        target = spark.createDataFrame([], "a array<int>, b array<int>, s struct<p:int,q:int>").unionByName(
+            spark.sql(other).selectExpr(
+                "cast(a AS array<int>) a", "cast(b AS array<int>) b", "cast(s AS struct<p:int,q:int>) s"
+            )
+        )
+        source = one.selectExpr(
+            "cast(a AS array<int>) a", "cast(b AS array<int>) b", "cast(s AS struct<p:int,q:int>) s"
+        )
+        assert ops.missing_rows(source, target, by_digest).count() == 1, other
+        assert ops.missing_rows(source, source, by_digest).count() == 0
+
+
 def test_many_copies_of_one_row_are_written_by_many_tasks(spark):
     source = spark.range(0, 200_003, 1, 4).select(F.lit("x").alias("v"), F.lit(None).cast("int").alias("n"))
     rest = ops.missing_rows(source, source.limit(3))

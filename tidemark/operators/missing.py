@@ -11,6 +11,7 @@ from tidemark.types import MAX_GATHER_ROWS, TIMESTAMP_OPTIONS, fits_one_task
 
 # How many copies of one row a task writes out at a time.
 COPIES_PER_PIECE = 10_000
+DIGEST = ["_hash_1", "_hash_2"]
 
 
 def tail_by_count(
@@ -38,19 +39,21 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
     """Source rows that the target lacks, as a multiset.
 
     Equal rows are counted before the shuffle, so copies of one row cost
-    nothing. ``by_digest`` shuffles a 128-bit digest per distinct row instead of
-    the row and compares whole rows only where digests differ in count: the way
-    for wide tables that agree on most rows. It can overlook a row only if two
-    different rows share an MD5 digest.
+    nothing. ``by_digest`` shuffles two 64-bit hashes per distinct row instead of
+    the row and compares whole rows only where those differ in count: the way for
+    wide tables that agree on most rows. It can overlook a row only if a different
+    row has both hashes in common.
     """
     target = target.select(*(f"`{c}`" for c in source.columns))
     if not by_digest:
         return _except_all(source, target)
     suspects = _uneven_digests(source, target)
-    hash_name = "_digest"
-    left = source.withColumn(hash_name, _digest(source)).join(suspects, hash_name, "left_semi")
-    right = target.withColumn(hash_name, _digest(target)).join(suspects, hash_name, "left_semi")
-    return _except_all(left.drop(hash_name), right.drop(hash_name))
+
+    def suspected(df: DataFrame) -> DataFrame:
+        digested = df.withColumns(dict(zip(DIGEST, _digest(df))))
+        return digested.join(suspects, DIGEST, "left_semi").drop(*DIGEST)
+
+    return _except_all(suspected(source), suspected(target))
 
 
 def surplus_rows(source: DataFrame, target: DataFrame, by_digest: bool = False) -> DataFrame:
@@ -59,17 +62,30 @@ def surplus_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
 
 
 def _uneven_digests(source: DataFrame, target: DataFrame) -> DataFrame:
-    signed = source.select(_digest(source).alias("_digest"), F.lit(1).alias("_side")).unionByName(
-        target.select(_digest(target).alias("_digest"), F.lit(-1).alias("_side"))
-    )
-    return signed.groupBy("_digest").agg(F.sum("_side").alias("_net")).filter("_net <> 0").select("_digest")
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*(h.alias(n) for n, h in zip(DIGEST, _digest(df))), F.lit(sign).alias("_net"))
 
+    both = side(source, 1).unionByName(side(target, -1))
+    return both.groupBy(*DIGEST).agg(F.sum("_net").alias("_net")).filter("_net <> 0").drop("_net")
 
-def _digest(df: DataFrame) -> Column:
-    """Over the whole row as text, with NULLs and every microsecond in it."""
-    row = F.to_json(F.struct(*_comparable(df)), {"ignoreNullFields": "false", **TIMESTAMP_OPTIONS})
-    # never NULL, so that no join on it adds a filter that computes it again
-    return F.coalesce(F.unhex(F.md5(row.cast("binary"))), F.lit(b""))
+
+def _digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of the row with different starts.
+
+    The hash skips NULLs and runs through nested values without their bounds, so
+    the places of NULLs are hashed too, and nested values as JSON text.
+    """
+    flat, nulls = [], []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        nulls.append(F.when(value.isNull(), "n").otherwise("v"))
+        if isinstance(field.dataType, T.MapType):
+            value = F.array_sort(F.map_entries(value))
+        if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
+            value = F.to_json(value, {"ignoreNullFields": "false", **TIMESTAMP_OPTIONS})
+        flat.append(value)
+    row = [*flat, F.concat(*nulls)]
+    return [F.xxhash64(*row), F.xxhash64(F.lit(1), *row)]
 
 
 def _is_map(field: T.StructField) -> bool:
