@@ -104,3 +104,11 @@ def test_continuous_trigger_keeps_polling(spark, folder):
     finally:
         query.stop()
     assert ids(spark.read.parquet(target)) == list(range(9))
+
+
+def test_json_lines_are_followed_with_their_microseconds(spark, folder):
+    df = spark.range(5).select("id", F.timestamp_micros(F.col("id")).cast("timestamp_ntz").alias("at"))
+    sources.write_json_lines(df, f"{folder}/in")
+    stream = streaming.read_stream(spark, f"{folder}/in", df.schema, file_format="json")
+    run(streaming.follow(stream, f"{folder}/out", f"{folder}/offsets", once=True))
+    assert sorted(map(tuple, spark.read.parquet(f"{folder}/out").collect())) == sorted(map(tuple, df.collect()))

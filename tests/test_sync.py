@@ -290,6 +290,26 @@ def test_updates_fold_and_deletes_show_up(spark, folder):
     assert n == 2 and bag(sources.read_target(spark, folder + "/folded")) == bag(latest)
 
 
+def test_a_source_by_month_is_pruned(spark, folder):
+    source = f"{folder}/source"
+    rows = [(i, i * 3, "a") for i in range(60)]
+    sources.write_batch(table(spark, rows), source, 0, "updated_at")
+    df = sources.read_target(spark, source, keep_layout=True).drop("batch_seq")
+    spec = replace(SPEC, month_column="yyyymm")
+    bounded = ops.in_range(df, "updated_at", "2024-03-10", "2024-04-05", "yyyymm")
+    plan = bounded._jdf.queryExecution().executedPlan().toString()
+    assert ">= 202403" in plan.split("PartitionFilters")[1] and "<= 202404" in plan.split("PartitionFilters")[1]
+    plans.snapshot_table(spark, df.filter("id < 20"), spec, *paths(folder))
+    state = sources.load_state(spark, paths(folder)[1])["t"]
+    state = plans.poll_table(spark, df, spec, state, *paths(folder), batch_rows=7)
+    state = plans.drain(spark, df.filter("id < 50"), spec, state, *paths(folder), batch_rows=10)
+    plans.catch_up(spark, df, spec, state, *paths(folder))
+    assert bag(sources.read_target(spark, paths(folder)[0])) == bag(table(spark, rows))
+    assert sources.read_target(spark, paths(folder)[0], keep_layout=True).columns == [
+        "id", "updated_at", "v", "batch_seq"
+    ]
+
+
 def test_late_rows_are_found_by_key(spark):
     source = table(spark, [(i, i, "a") for i in range(10)] + [(99, 7, "late"), (98, 1, "too late")])
     target = table(spark, [(i, i, "a") for i in range(10)])
@@ -314,8 +334,9 @@ def test_many_tables_one_of_them_broken(spark, folder):
     tables["a"] = table(spark, [(i, i, "a") for i in range(9)])
     polled = plans.poll_cycle(spark, read, specs, folder)
     assert [(r.status, r.n_rows) for r in polled] == [("ok", 4), ("skipped", 0), ("ok", 0)]
-    final = plans.sync_tables(spark, read, specs, folder)
-    assert [r.status for r in final] == ["skipped", "error", "skipped"]
+    tables["b"] = table(spark, [(i, i, "b") for i in range(20)])
+    final = plans.sync_tables(spark, read, specs, folder, batch_rows=5)
+    assert [(r.status, r.n_rows) for r in final] == [("skipped", 0), ("error", 0), ("skipped", 12)]
     stored = sources.read_target(spark, plans.target_path(folder, "a"))
     assert ops.reconcile_counts({"a": (tables["a"], stored)}).first()["status"] == "match"
 

@@ -40,14 +40,19 @@ def in_range(
 
 
 def read_cut(
-    df: DataFrame, column: str, after: object, limit: int, max_gather: int = MAX_GATHER_ROWS
+    df: DataFrame,
+    column: str,
+    after: object,
+    limit: int,
+    max_gather: int = MAX_GATHER_ROWS,
+    month_column: str | None = None,
 ) -> str | None:
     """Watermark of the ``limit``-th new row as text (of the last, if fewer; None if none).
 
     Reads the watermark column only. The usual small backlog is one aggregate;
     a long one is cut by a top-k if that is small, else from key positions.
     """
-    new = newer_than(df, column, after).select(column)
+    new = newer_than(df, column, after, month_column).select(column)
     dtype = df.schema[column].dataType
 
     def text(row: DataFrame) -> str | None:

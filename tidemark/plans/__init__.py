@@ -1,5 +1,12 @@
 from tidemark.plans.incremental import catch_up, drain, late_rows, poll_once, poll_table, recover, store
-from tidemark.plans.replicate import copy_tables, poll_cycle, state_path, sync_tables, target_path
+from tidemark.plans.replicate import (
+    copy_tables,
+    drain_cycle,
+    poll_cycle,
+    state_path,
+    sync_tables,
+    target_path,
+)
 from tidemark.plans.snapshot import (
     CopyResult,
     fold_target,
@@ -15,6 +22,7 @@ __all__ = [
     "catch_up",
     "copy_tables",
     "drain",
+    "drain_cycle",
     "fold_target",
     "late_rows",
     "poll_cycle",

@@ -42,10 +42,11 @@ def poll_once(
     """
     watermark = table_watermark(df, spec)
     check_watermark(state, watermark)
-    upto = read_cut(df, watermark.column, state.watermark_value, batch_rows)
+    after = state.watermark_value
+    upto = read_cut(df, watermark.column, after, batch_rows, month_column=spec.month_column)
     if upto is None:
         return None, state
-    rows = project(in_range(df, watermark.column, state.watermark_value, upto), spec.excluded)
+    rows = project(in_range(df, watermark.column, after, upto, spec.month_column), spec.withheld)
     moved = replace(
         state, watermark_column=watermark.column, watermark_value=upto, batch_seq=state.batch_seq + 1
     )
@@ -82,13 +83,13 @@ def poll_table(
 def _poll_by_content(spark, df, spec, state, target, state_path, by_position) -> TableState:
     """Without a watermark: rows the target lacks, or on request those after its count."""
     check_watermark(state, Watermark("count"))
-    source = project(df, spec.excluded)
+    source = project(df, spec.withheld)
     # an earlier write of this batch that was never recorded does not count as stored
     stored = read_target(spark, target, upto=state.batch_seq)
     stored = stored.select(*source.columns)
     if by_position:
         kept = tail_by_count(df, stored, spec.sort_key)
-        rows = project(kept, spec.excluded)
+        rows = project(kept, spec.withheld)
     else:
         rows = missing_rows(source, stored)
     seq = state.batch_seq + 1
@@ -102,7 +103,7 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
 
 def recover(spark: SparkSession, df: DataFrame, spec: TableSpec, state: TableState, target: str) -> list[int]:
     """Once after a restart: drop batches that were stored but never recorded."""
-    rows = project(df, spec.excluded)
+    rows = project(df, spec.withheld)
     return discard_uncommitted(rows, target, state.batch_seq, spec.month_of, spec.sort_key)
 
 
@@ -129,7 +130,9 @@ def drain(
     check_watermark(state, watermark)
     recover(spark, df, spec, state, target)
     column, dtype = watermark.column, df.schema[watermark.column].dataType
-    new = newer_than(df, column, state.watermark_value).select(column)
+    new = newer_than(df, column, state.watermark_value, spec.month_column).select(column)
+    if new.isEmpty():
+        return state
     seq = F.lit(state.batch_seq + 1) + F.expr(f"start div {batch_rows}")
     values = key_positions(new, [column]).select(column, seq.alias("batch_seq"), "stop")
     ends = values.groupBy("batch_seq").agg(
@@ -138,16 +141,14 @@ def drain(
     last = ends.select(
         F.max("batch_seq").alias("seq"), as_text(F.max("hi"), dtype).alias("hi"), F.sum("n_values").alias("n_values")
     ).first()
-    if last["hi"] is None:
-        return state
-    rows = in_range(df, column, state.watermark_value, last["hi"])
+    rows = in_range(df, column, state.watermark_value, last["hi"], spec.month_column)
     lookup = values.select(column, "batch_seq")
     if last["n_values"] <= MAX_BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
     placed = rows.join(lookup, column, "left").select(
         *(f"`{c}`" for c in df.columns), F.coalesce("batch_seq", F.lit(last["seq"])).alias("batch_seq")
     )
-    n_rows = write_batches(project(placed, spec.excluded), target, spec.month_of, spec.sort_key)
+    n_rows = write_batches(project(placed, spec.withheld), target, spec.month_of, spec.sort_key)
     final = replace(
         state,
         synced_rows=state.synced_rows + n_rows,
@@ -174,11 +175,11 @@ def catch_up(
     """The whole backlog as one bounded range: one scan, fully parallel, one state row."""
     watermark = table_watermark(df, spec)
     check_watermark(state, watermark)
-    new = newer_than(df, watermark.column, state.watermark_value)
+    new = newer_than(df, watermark.column, state.watermark_value, spec.month_column)
     upto = read_max(new, watermark.column)
     if upto is None:
         return state
-    rows = project(in_range(df, watermark.column, state.watermark_value, upto), spec.excluded)
+    rows = project(in_range(df, watermark.column, state.watermark_value, upto, spec.month_column), spec.withheld)
     moved = replace(
         state, watermark_column=watermark.column, watermark_value=upto, batch_seq=state.batch_seq + 1
     )

@@ -8,10 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans.incremental import poll_table, recover
-from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table
+from tidemark.plans.incremental import drain, poll_table, recover
+from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table, table_watermark
 from tidemark.sources.state import compact_state_log, load_state, state_of
-from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec
+from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec, TableState
 
 Reader = Callable[[str], DataFrame]
 
@@ -56,18 +56,24 @@ def poll_cycle(
     workers: int = DEFAULT_WORKERS,
 ) -> list[CopyResult]:
     """One poll of every copied table; a table that fails waits for the next cycle."""
-    states = load_state(spark, state_path(root))
+    return _follow_up(spark, read, specs, root, batch_rows, workers, poll_table)
 
-    def poll(spec: TableSpec) -> CopyResult:
-        before = state_of(states, spec.name)
-        if not before.initial_sync_complete:
-            return CopyResult(spec.name, "skipped")
-        after = poll_table(
-            spark, read(spec.name), spec, before, target_path(root, spec.name), state_path(root), batch_rows
-        )
-        return CopyResult(spec.name, "ok", after.synced_rows - before.synced_rows)
 
-    return _for_each(spark, poll, specs, workers)
+def drain_cycle(
+    spark: SparkSession,
+    read: Reader,
+    specs: Sequence[TableSpec],
+    root: str,
+    batch_rows: int = DEFAULT_BATCH_ROWS,
+    workers: int = DEFAULT_WORKERS,
+) -> list[CopyResult]:
+    """The whole backlog of every copied table; tables without a watermark are polled."""
+
+    def follow(spark, df, spec, state, target, log, batch_rows) -> TableState:
+        step = poll_table if table_watermark(df, spec).by_count else drain
+        return step(spark, df, spec, state, target, log, batch_rows)
+
+    return _follow_up(spark, read, specs, root, batch_rows, workers, follow)
 
 
 def sync_tables(
@@ -78,22 +84,44 @@ def sync_tables(
     batch_rows: int = DEFAULT_BATCH_ROWS,
     workers: int = DEFAULT_WORKERS,
 ) -> list[CopyResult]:
-    """Copy what is missing, then poll until no healthy table has anything new."""
+    """Copy what is missing, then drain until no healthy table has anything new."""
     compact_state_log(spark, state_path(root))
     results = copy_tables(spark, read, specs, root, workers)
     totals = {r.table: r for r in results}
     active = [s for s in specs if totals[s.name].status != "error"]
     while active:
-        polled = poll_cycle(spark, read, active, root, batch_rows, workers)
-        for r in polled:
+        drained = drain_cycle(spark, read, active, root, batch_rows, workers)
+        for r in drained:
             last = totals[r.table]
             status = r.status if r.status == "error" else last.status
             totals[r.table] = CopyResult(r.table, status, last.n_rows + r.n_rows, r.error)
-        moving = {r.table for r in polled if r.status == "ok" and r.n_rows}
+        moving = {r.table for r in drained if r.status == "ok" and r.n_rows}
         active = [s for s in active if s.name in moving]
     return [totals[s.name] for s in specs]
 
 
+def _follow_up(
+    spark: SparkSession,
+    read: Reader,
+    specs: Sequence[TableSpec],
+    root: str,
+    batch_rows: int,
+    workers: int,
+    step: Callable[..., TableState],
+) -> list[CopyResult]:
+    states = load_state(spark, state_path(root))
+
+    def follow(spec: TableSpec) -> CopyResult:
+        before = state_of(states, spec.name)
+        if not before.initial_sync_complete:
+            return CopyResult(spec.name, "skipped")
+        target = target_path(root, spec.name)
+        after = step(spark, read(spec.name), spec, before, target, state_path(root), batch_rows)
+        return CopyResult(spec.name, "ok", after.synced_rows - before.synced_rows)
+
+    return _for_each(spark, follow, specs, workers)
+
+
 def _for_each(
     spark: SparkSession, work: Callable[[TableSpec], CopyResult], specs: Sequence[TableSpec], workers: int
 ) -> list[CopyResult]:

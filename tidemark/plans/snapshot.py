@@ -63,7 +63,7 @@ def snapshot_table(
     """
     watermark = table_watermark(df, spec)
     upto = None if watermark.by_count else read_max(df, watermark.column)
-    rows = project(snapshot_rows(df, watermark, upto), spec.excluded)
+    rows = project(snapshot_rows(df, watermark, upto), spec.withheld)
     existing = target_schema(spark, target)
     if existing is not None:
         check_schema(rows, existing)
@@ -95,10 +95,10 @@ def snapshot_in_parts(
     last = plan.agg(F.max("batch_seq")).first()[0]
     # one row per part
     for part in pending_batches(plan, log, spec.name).orderBy("batch_seq").collect():
-        rows = in_range(df, watermark.column, part["after"], part["upto"])
+        rows = in_range(df, watermark.column, part["after"], part["upto"], spec.month_column)
         if part["batch_seq"] == 0:
             rows = snapshot_rows(df, watermark, part["upto"])
-        rows = project(rows, spec.excluded)
+        rows = project(rows, spec.withheld)
         if existing is not None:
             check_schema(rows, existing)
         n_rows = write_batch(rows, target, part["batch_seq"], spec.month_of, spec.sort_key)

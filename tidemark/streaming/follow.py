@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.projection import project
 from tidemark.sources.target import write_batch, write_derived
-from tidemark.types import POLL_INTERVAL
+from tidemark.types import POLL_INTERVAL, TIMESTAMP_OPTIONS
 
 
 def read_stream(
@@ -22,6 +22,8 @@ def read_stream(
 ) -> DataFrame:
     """New files of a folder (or a glob) as a stream, with excluded columns left out."""
     reader = spark.readStream.schema(schema).format(file_format)
+    if file_format == "json":
+        reader = reader.options(**TIMESTAMP_OPTIONS)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return project(reader.load(path), excluded)

@@ -42,6 +42,9 @@ class Watermark:
 class TableSpec:
     """What to copy of one table and how to lay it out in the target.
 
+    ``month_of`` names the date column whose month partitions the target.
+    ``month_column`` names a partition column of the source that holds the month
+    of its watermark: reads of new rows prune by it, and it is not copied.
     ``parts`` above 1 makes the first copy of a large table resumable.
     """
 
@@ -49,9 +52,14 @@ class TableSpec:
     sort_key: tuple[str, ...] = ()
     excluded: tuple[str, ...] = ()
     month_of: str | None = None
+    month_column: str | None = None
     watermark: Watermark | None = None
     parts: int = 1
 
+    @property
+    def withheld(self) -> tuple[str, ...]:
+        return (*self.excluded, self.month_column) if self.month_column else self.excluded
+
 
 @dataclass(frozen=True)
 class TableState:
