@@ -157,7 +157,7 @@ def snapshot_in_parts(spark, sf_dir):
     """A resumable first copy of line items in four watermark ranges."""
     root = scratch_path(spark, "parts")
     spec = TableSpec("lineitem", sort_key=LINE_ITEMS.sort_key, month_of="l_shipdate", parts=4)
-    results = plans.copy_tables(spark, lambda name: table(spark, sf_dir, name), [spec], root)
+    results = plans.copy_tables(spark, sources.file_reader(spark, sf_dir, suffix=".parquet"), [spec], root)
     if results[0].status != "ok":
         raise RuntimeError(f"the copy failed: {results}")
     return sources.read_target(spark, plans.target_path(root, "lineitem"))
@@ -172,9 +172,7 @@ def sync_all_tables(spark, sf_dir):
     root = scratch_path(spark, "sync")
     dated = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
     specs = [TableSpec(name, month_of=dated.get(name)) for name in ops.select_tables(TABLES)]
-
-    def read(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
+    read = sources.file_reader(spark, sf_dir, suffix=".parquet")
 
     failed = [r for r in plans.sync_tables(spark, read, specs, root) if r.status != "ok"]
     if failed:

@@ -12,7 +12,7 @@ from tidemark.session import local_session, scratch_path  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "tidemark-tests")
+    session = local_session(4, "tidemark-tests", **{"spark.sql.shuffle.partitions": "4"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

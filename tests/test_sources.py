@@ -166,3 +166,15 @@ def test_a_failing_derived_table_blocks_nothing(spark, folder):
 
     results = sources.write_derived(spark.range(3), {"a": broken, "b": lambda df: seen.append(df.count())})
     assert results == [("a", "no such view"), ("b", None)] and seen == [3]
+
+
+def test_catalog_tables_without_views(spark, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    for name in ("orders", "customer"):
+        spark.range(3).write.parquet(f"{folder}/{name}")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW temp_{name} AS SELECT 1")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS shop.{name} (id BIGINT) USING parquet LOCATION '{folder}/{name}'")
+    spark.sql("CREATE VIEW IF NOT EXISTS shop.recent AS SELECT * FROM shop.orders")
+    assert sources.list_tables(spark, "shop") == ["customer", "orders"]
+    assert sources.table_reader(spark, "shop")("orders").count() == 3
+    assert sources.file_reader(spark, folder)("customer").count() == 3

@@ -171,6 +171,30 @@ def test_an_interrupted_copy_goes_on_where_it_stopped(spark, folder, monkeypatch
     assert bag(sources.read_target(spark, target)) == bag(grown)
 
 
+def test_parts_that_were_begun_are_finished_in_parts(spark, folder, monkeypatch):
+    df, real = table(spark, [(i, i, "a") for i in range(30)]), plans.snapshot.write_batch
+
+    def dies(rows, path, seq, *layout):
+        if seq == 2:
+            raise RuntimeError("driver lost")
+        return real(rows, path, seq, *layout)
+
+    monkeypatch.setattr(plans.snapshot, "write_batch", dies)
+    assert plans.copy_tables(spark, lambda _: df, [replace(SPEC, parts=3)], folder)[0].status == "error"
+    monkeypatch.setattr(plans.snapshot, "write_batch", real)
+    assert plans.copy_tables(spark, lambda _: df, [SPEC], folder)[0].n_rows == 30
+    assert bag(sources.read_target(spark, plans.target_path(folder, "t"))) == bag(df)
+
+
+def test_count_mode_over_an_empty_copy_by_month(spark, folder):
+    spec = TableSpec("t", month_of="day", watermark=Watermark("count"))
+    df = spark.sql("SELECT date'2024-01-02' AS day, 'x' AS v")
+    plans.snapshot_table(spark, df.filter("false"), spec, *paths(folder))
+    state = sources.load_state(spark, paths(folder)[1])["t"]
+    assert plans.poll_table(spark, df, spec, state, *paths(folder)).synced_rows == 1
+    assert sources.read_target(spark, paths(folder)[0]).count() == 1
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, "n")], [(1, 3, "a")] * 5])
 def test_copy_in_parts_of_odd_tables(spark, folder, rows):
     df = table(spark, rows or [(0, 0, "")]).filter(F.lit(bool(rows)))

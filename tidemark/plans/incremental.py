@@ -13,7 +13,13 @@ from tidemark.operators.projection import project
 from tidemark.operators.watermark import read_max
 from tidemark.plans.snapshot import table_watermark
 from tidemark.sources.state import append_state, append_state_rows
-from tidemark.sources.target import discard_uncommitted, read_target, write_batch, write_batches
+from tidemark.sources.target import (
+    discard_uncommitted,
+    read_target,
+    target_schema,
+    write_batch,
+    write_batches,
+)
 from tidemark.types import (
     DEFAULT_BATCH_ROWS,
     MAX_BROADCAST_ROWS,
@@ -85,8 +91,10 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
     check_watermark(state, Watermark("count"))
     source = project(df, spec.withheld)
     # an earlier write of this batch that was never recorded does not count as stored
-    stored = read_target(spark, target, upto=state.batch_seq)
-    stored = stored.select(*source.columns)
+    if target_schema(spark, target) is None:  # an empty copy may have left no file
+        stored = source.filter(F.lit(False))
+    else:
+        stored = read_target(spark, target, upto=state.batch_seq).select(*(f"`{c}`" for c in source.columns))
     if by_position:
         kept = tail_by_count(df, stored, spec.sort_key)
         rows = project(kept, spec.withheld)
@@ -128,11 +136,11 @@ def drain(
     """
     watermark = table_watermark(df, spec)
     check_watermark(state, watermark)
-    recover(spark, df, spec, state, target)
     column, dtype = watermark.column, df.schema[watermark.column].dataType
     new = newer_than(df, column, state.watermark_value, spec.month_column).select(column)
     if new.isEmpty():
         return state
+    recover(spark, df, spec, state, target)
     seq = F.lit(state.batch_seq + 1) + F.expr(f"start div {batch_rows}")
     values = key_positions(new, [column]).select(column, seq.alias("batch_seq"), "stop")
     ends = values.groupBy("batch_seq").agg(

@@ -41,7 +41,8 @@ def copy_tables(
         if state.initial_sync_complete:
             recover(spark, df, spec, state, target)
             return CopyResult(spec.name, "skipped")
-        snapshot = snapshot_in_parts if spec.parts > 1 else snapshot_table
+        in_parts = spec.parts > 1 or state.batch_seq >= 0  # parts that were begun are finished
+        snapshot = snapshot_in_parts if in_parts else snapshot_table
         return snapshot(spark, df, spec, target, state_path(root))
 
     return _for_each(spark, copy, specs, workers)

@@ -16,6 +16,7 @@ from tidemark.sources.state import (
     read_state_log,
     state_of,
 )
+from tidemark.sources.tables import file_reader, list_tables, table_reader
 from tidemark.sources.target import (
     check_schema,
     discard_uncommitted,
@@ -35,8 +36,10 @@ __all__ = [
     "compact_state_log",
     "count_bad_lines",
     "discard_uncommitted",
+    "file_reader",
     "fold_state",
     "latest_per_key",
+    "list_tables",
     "load_state",
     "month_layout",
     "pending_batches",
@@ -45,6 +48,7 @@ __all__ = [
     "read_target",
     "read_with_bad_lines",
     "state_of",
+    "table_reader",
     "target_schema",
     "write_batch",
     "write_batches",
