@@ -374,10 +374,10 @@ def cdc_stream_batches(spark, sf_dir):
     stream = streaming.read_stream(spark, f"{sf_dir}/orders.parquet*", schema)
     target, revenue = scratch_path(spark, "stream"), scratch_path(spark, "revenue")
 
-    def add_revenue(batch: DataFrame) -> None:
+    def add_revenue(batch: DataFrame, batch_seq: int) -> None:
         price = F.col("o_totalprice").cast("decimal(18,2)")
         per_status = batch.groupBy("o_orderstatus").agg(F.sum(price).alias("p"), F.count("*").alias("n"))
-        per_status.write.mode("append").parquet(revenue)
+        per_status.write.mode("overwrite").parquet(f"{revenue}/batch_seq={batch_seq}")
 
     streaming.follow_in_batches(
         stream,

@@ -161,11 +161,12 @@ def test_schema_mismatch_is_an_error(spark, folder):
 def test_a_failing_derived_table_blocks_nothing(spark, folder):
     seen = []
 
-    def broken(batch):
+    def broken(batch, seq):
         raise RuntimeError("no such view")
 
-    results = sources.write_derived(spark.range(3), {"a": broken, "b": lambda df: seen.append(df.count())})
-    assert results == [("a", "no such view"), ("b", None)] and seen == [3]
+    sinks = {"a": broken, "b": lambda df, seq: seen.append((df.count(), seq))}
+    results = sources.write_derived(spark.range(3), 7, sinks)
+    assert results == [("a", "no such view"), ("b", None)] and seen == [(3, 7)]
 
 
 def test_catalog_tables_without_views(spark, folder):

@@ -94,8 +94,9 @@ def test_all_parts(spark):
 
 
 def test_malformed_escapes_stay(spark):
-    url = "store://u:100%@h:1/d"
-    assert parts(spark, [url])[url]["password"] == "100%"
+    url, mixed = "store://u:100%@h:1/d", "store://u:a%40b%zz+%2b@h:1/d"
+    found = parts(spark, [url, mixed])
+    assert (found[url]["password"], found[mixed]["password"]) == ("100%", "a@b%zz++")
 
 
 @pytest.mark.parametrize(

@@ -51,8 +51,9 @@ def _group(text: Column, pattern: str) -> Column:
 
 
 def _percent_decode(text: Column) -> Column:
-    """Malformed escapes leave the text as it is; a plus sign is no space here."""
-    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+    """Decode what is an escape; other percent signs and plus signs stand for themselves."""
+    literal = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(F.replace(literal, F.lit("+"), F.lit("%2B"))), text)
 
 
 def split_url(url: str | Column, scheme: str | None = None) -> Column:

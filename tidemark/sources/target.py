@@ -121,17 +121,18 @@ def read_target(
 
 
 def write_derived(
-    batch: DataFrame, sinks: Mapping[str, Callable[[DataFrame], object]]
+    batch: DataFrame, batch_seq: int, sinks: Mapping[str, Callable[[DataFrame, int], object]]
 ) -> list[tuple[str, str | None]]:
     """Feed derived tables from a batch that is already stored.
 
-    Returns ``(sink, error)`` for each: a failing derived table is reported and
-    neither blocks the others nor the base rows.
+    A sink gets the batch and its number, so that it can replace what a replay
+    wrote before. Returns ``(sink, error)`` for each: a failing derived table is
+    reported and neither blocks the others nor the base rows.
     """
     results = []
     for name, write in sinks.items():
         try:
-            write(batch)
+            write(batch, batch_seq)
             results.append((name, None))
         except Exception as error:  # a sink may fail in any way
             results.append((name, str(error)))

@@ -54,7 +54,7 @@ def follow_in_batches(
     interval: str = POLL_INTERVAL,
     month_of: str | None = None,
     sort_key: Sequence[str] = (),
-    derived: Mapping[str, Callable[[DataFrame], object]] | None = None,
+    derived: Mapping[str, Callable[[DataFrame, int], object]] | None = None,
     on_error: Callable[[str, str], object] = lambda sink, error: None,
 ) -> StreamingQuery:
     """The same into the batch layout, with derived tables fed after the base rows.
@@ -68,7 +68,7 @@ def follow_in_batches(
         if derived:
             spark = batch.sparkSession
             stored = spark.read.schema(batch.schema).parquet(f"{target}/batch_seq={batch_id}")
-            for sink, error in write_derived(stored, derived):
+            for sink, error in write_derived(stored, batch_id, derived):
                 if error is not None:
                     on_error(sink, error)
 
