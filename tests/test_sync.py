@@ -130,6 +130,10 @@ def test_a_drain_that_dies_leaves_nothing_behind(spark, folder):
     assert sources.read_target(spark, target, upto=state.batch_seq).count() == 12
     final = plans.drain(spark, df, SPEC, sources.load_state(spark, log)["t"], target, log, batch_rows=30)
     assert final.synced_rows == 60
+    moved = df.withColumn("updated_at", F.expr("updated_at + INTERVAL 1 YEAR"))
+    plans.drain(spark, moved, SPEC, final, target, folder + "/lost", batch_rows=4)
+    plans.catch_up(spark, moved, SPEC, final, target, log)
+    df = df.unionByName(moved)
     assert bag(sources.read_target(spark, target)) == bag(df)
 
 
