@@ -36,10 +36,12 @@ def as_bag(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+    """Those of training-data operators have none where SQL can't express them; tests/llm holds these."""
+    assert set(ORACLE) <= set(QUERIES)
+    assert {n for n in set(QUERIES) - set(ORACLE) if not n.startswith("op")} <= {"pipeline"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, duck, name):
     ours = QUERIES[name](spark, SF_DIR)
     theirs = duck.execute(ORACLE[name])
