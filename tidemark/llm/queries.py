@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, let_workers_import, packing
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +33,17 @@ def op2_bpe(spark, sf_dir):
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op7_simhash(spark, sf_dir):
+    found = near.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", fingerprint.as_hex(F.col("fp")[0]).alias("fingerprint"), "component_id")
+
+
+def op9_fingerprint(spark, sf_dir):
+    return fingerprint.document_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_bpe, op7_simhash, op9_fingerprint)}
 
 
 def oracle_sql() -> dict[str, str]:
