@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,8 +42,20 @@ def op9_fingerprint(spark, sf_dir):
     return fingerprint.document_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", "expected_severity", "severity", "risk", "toxic")
+
+
+def op10_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_bpe, op7_simhash, op9_fingerprint)}
+    return {f.__name__: f for f in (op1_packing, op2_bpe, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
