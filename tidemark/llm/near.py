@@ -64,19 +64,25 @@ def simhash(hashes: np.ndarray, n_words: int = 1) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, words: int = 4, n_words: int = 1) -> DataFrame:
-    """doc_id and ``fp``, an array of ``n_words`` longs. A null or empty text has all bits clear."""
+    """doc_id, text_hash and ``fp``, an array of ``n_words`` longs. A null or empty text has all bits clear."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [simhash(shingle_hashes(t or "", words), n_words) for t in batch.column(1).to_pylist()]
+            found = [simhash(shingle_hashes(t or "", words), n_words) for t in batch.column(2).to_pylist()]
             fp = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fp], ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fp array<long>"
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text_hash(text), text).mapInArrow(
+        run, "doc_id long, text_hash long, fp array<long>"
     )
 
 
+def text_hash(text: Column) -> Column:
+    """With doc_id it tells rows apart that share their id; null and empty texts are alike."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash")
+
+
 def exact_grids(radius: int = 4, groups: int = 8) -> list[list[int]]:
     """Grids that miss no pair within ``radius``: each fixes all but ``radius`` of ``groups`` equal groups of segments.
 
@@ -204,17 +210,8 @@ def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_word
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 4, n_words: int = 1, radius: int = 4, grids: list[list[int]] | None = None
-) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id that links of at most ``radius`` bits reach.
-
-    Equal fingerprints are one node, so groups of copies of any size are not
-    compared among themselves; a cell yields a spanning forest, not all its
-    pairs. Null and empty texts have the all-clear fingerprint and are linked
-    by it like others. A null doc_id is never a component's name, unless it is
-    alone; repeated rows are repeated; other columns are ignored.
-    """
+def _grouped(docs: DataFrame, words: int, n_words: int, radius: int, grids: list[list[int]] | None) -> DataFrame:
+    """doc_id, text_hash, fp, ``root`` (a name of the group) and component_id of every row."""
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
     fingerprints(docs, words, n_words).write.parquet(path)
@@ -229,8 +226,23 @@ def near_duplicates(
     named = classes.select("node", "least").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("component", "node")).select("node", "root", "least")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "root").select("node", "component_id")
-    return prints.join(named, "node").select("doc_id", "fp", "component_id")
+    named = named.join(names, "root").select("node", "root", "component_id")
+    return prints.join(named, "node").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = 4, n_words: int = 1, radius: int = 4, grids: list[list[int]] | None = None
+) -> DataFrame:
+    """doc_id, fp and component_id, the smallest doc_id that links of at most ``radius`` bits reach.
+
+    Equal fingerprints are one node, so groups of copies of any size are not
+    compared among themselves; a cell yields a spanning forest, not all its
+    pairs. Null and empty texts have the all-clear fingerprint and are linked
+    by it like others. Rows without doc_id never name a group; one of theirs
+    alone has a null component_id. Repeated rows are repeated; other columns
+    are ignored.
+    """
+    return _grouped(docs, words, n_words, radius, grids).select("doc_id", "fp", "component_id")
 
 
 #: Wide fingerprints for similarities: four words, five-word shingles.
@@ -246,5 +258,21 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     Nulls, empty texts, ties and repeated rows as in ``near_duplicates``.
     """
-    grids = sampled_grids(WIDE["n_words"], **WIDE_GRIDS)
-    return near_duplicates(docs, **WIDE, radius=WIDE_RADIUS, grids=grids).select("doc_id", "component_id")
+    return _similar(docs).select("doc_id", "component_id")
+
+
+def _similar(docs: DataFrame) -> DataFrame:
+    return _grouped(docs, **WIDE, radius=WIDE_RADIUS, grids=sampled_grids(WIDE["n_words"], **WIDE_GRIDS))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs with one row of each group of similar documents: the one with the smallest doc_id.
+
+    Of rows that share it the text with the smallest hash stays, once; null ids
+    come first. Empty and null texts are one group. All columns stay.
+    """
+    kept = _similar(docs).groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    kept = kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_hash(F.col("text").cast("string"))})
+    chosen = keyed.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return chosen.dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")

@@ -18,6 +18,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.near import text_hash
 from tidemark.session import scratch_path
 
 K = 5
@@ -304,8 +305,8 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     Rows: doc_id, start and end (code points, end exclusive), n_words,
     source_id (a document that holds the longest piece of it), similarity (the
     share of its words with a partner there, ``similarity`` or more in every
-    piece) and ``rest``, the document's text without its passages, on the row
-    of its first passage. Every seed is matched with its first occurrence, and
+    piece), and on the row of a document's first passage ``rest``, its text
+    without the passages, with text_hash, the hash of its text. Every seed is matched with its first occurrence, and
     pieces with different sources are united, so a passage is found however
     many documents hold parts of it. A passage must share two seeds with a
     document. Rows with null doc_id or text take no part; rows that share a
@@ -327,22 +328,37 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     ready = found.join(source, ["src", "lo", "hi"]).groupBy("doc").agg(
         F.collect_list(F.struct("src", "lo", "own", "other", "words")).alias("chains")
     )
-    joined = texts.join(ready, "doc").select("doc", "text", "chains")
+    joined = texts.join(ready, "doc").select("doc", "text", "chains", text_hash(F.col("text")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, text, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += _passages_of(doc, text, held, least_words, similarity)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 7
+            for doc, text, held, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(*p, key) for p in _passages_of(doc, text, held, least_words, similarity)]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.string(), pa.int64()]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 8
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "end", "n_words", "source_id", "similarity", "rest"])
+            names = ["doc_id", "start", "end", "n_words", "source_id", "similarity", "rest", "text_hash"]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-    kinds = "doc_id long, start long, end long, n_words long, source_id long, similarity double, rest string"
+    kinds = "doc_id long, start long, end long, n_words long, source_id long, similarity double, rest string, text_hash long"
     return joined.mapInArrow(run, kinds).distinct()
 
 
+def without_repeats(docs: DataFrame, least_words: int = 50, similarity: float = 0.8) -> DataFrame:
+    """docs without the passages that an earlier document holds; the first document keeps its own.
+
+    A document of which nothing but white space would be left goes; one that
+    was blank before stays. All columns stay as they are but ``text``.
+    """
+    found = repeated_passages(docs, least_words, similarity).where("rest is not null")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("rest").alias("_rest"))
+    keyed = docs.withColumn("_text", text_hash(F.col("text").cast("string")))
+    on = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    cut = keyed.join(found, on, "left").where(r"_rest is null or _rest rlike '\\S'")
+    return cut.withColumn("text", F.coalesce("_rest", "text")).select(*("`" + c.replace("`", "``") + "`" for c in docs.columns))
+
+
 def _passages_of(doc: int, text: str, held: list[dict], least_words: int, similarity: float) -> list[tuple]:
     words, pieces = word_hashes(text), []
     for chain in held:

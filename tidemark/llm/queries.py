@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing, passages, quality, toxicity
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing, passages, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +34,12 @@ def op2_bpe(spark, sf_dir):
 
 
 def op5_passages(spark, sf_dir):
-    return passages.repeated_passages(_table(spark, sf_dir, "documents")).drop("rest")
+    return passages.repeated_passages(_table(spark, sf_dir, "documents")).drop("rest", "text_hash")
+
+
+def op6_secrets(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.find_secrets(docs, secrets.fit_secrets(docs))
 
 
 def op7_simhash(spark, sf_dir):
@@ -59,7 +64,7 @@ def op10_quality(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_bpe, op5_passages, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_bpe, op5_passages, op6_secrets, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
