@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import let_workers_import, near, packing, passages, secrets, toxicity
+from tidemark.llm import let_workers_import, near, packing, passages, secret_scan, toxicity
 from tidemark.llm.queries import vocabulary
 from tidemark.session import scratch_path
 
@@ -36,7 +36,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a mark in place of every secret."""
     let_workers_import(spark)
-    return _recounted(docs, secrets.redact_secrets(docs, secrets.fit_secrets(docs)))
+    return _recounted(docs, secret_scan.redact_secrets(docs, secret_scan.fit_secrets(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprint, let_workers_import, near, packing, passages, pii, quality, secrets, toxicity
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, neighbours, packing, passages, pii, quality, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,11 @@ def op2_bpe(spark, sf_dir):
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_neighbours(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_pii(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return pii.find_pii(docs, pii.fit_pii(docs))
@@ -44,7 +49,7 @@ def op5_passages(spark, sf_dir):
 
 def op6_secrets(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return secrets.find_secrets(docs, secrets.fit_secrets(docs))
+    return secret_scan.find_secrets(docs, secret_scan.fit_secrets(docs))
 
 
 def op7_simhash(spark, sf_dir):
@@ -69,7 +74,7 @@ def op10_quality(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_bpe, op4_pii, op5_passages, op6_secrets, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_bpe, op3_neighbours, op4_pii, op5_passages, op6_secrets, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
