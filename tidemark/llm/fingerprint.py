@@ -171,7 +171,8 @@ def count_within(prints: DataFrame, queries: DataFrame, radius: int = 3, blocks:
     tables = F.explode(block_tables(radius, blocks))
     held = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
     asked = queries.select("fp").distinct()
-    left = asked.select("fp", tables.alias("g")).select(
+    # each side is many times the table that its size is guessed from: sorted, not broadcast
+    left = asked.select("fp", tables.alias("g")).hint("merge").select(
         "fp", F.col("g.t").alias("t"), F.col("fp").bitwiseAND(F.col("g.mask")).alias("key"), F.col("g.differ").alias("differ")
     )
     right = held.select(F.col("fp").alias("other"), "n", tables.alias("g")).select(
