@@ -319,6 +319,10 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     rows = spark.read.parquet(path)
     firsts = rows.groupBy("seed").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
     firsts = firsts.where("last <> first.doc").select("seed", F.col("first.doc").alias("src"), F.col("first.at").alias("other"))
+    # read from a table, so that the join alone deals the rows and a seed of very many can be split among tasks
+    path = scratch_path(spark, "firsts")
+    firsts.write.parquet(path)
+    firsts = spark.read.parquet(path)
     matches = rows.join(firsts, "seed").where("doc <> src").select("doc", "src", F.col("at").alias("own"), "other")
     path = scratch_path(spark, "chains")
     _chain_rows(matches).write.parquet(path)
