@@ -17,8 +17,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal model, fitted on the labelled ones, does not reject. Blank texts stay."""
     let_workers_import(spark)
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_toxicity(docs.withColumn("_row", F.struct(*_quoted(docs))).select("_row", "text"), model)
-    return scored.where("not toxic").select("_row.*")
+    clash = [c for c in docs.columns if c.lower() in ("expected_severity", "severity", "toxic", "risk")]
+    carried = docs.withColumn("_clashing", F.struct(*map(F.col, clash))) if clash else docs
+    kept = toxicity.score_toxicity(carried, model).where("not toxic")
+    return kept.select(*(F.col(f"_clashing.{c}") if c in clash else F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,10 +69,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-def _quoted(docs: DataFrame) -> list[str]:
-    return ["`" + c.replace("`", "``") + "`" for c in docs.columns]
-
-
 def _recounted(before: DataFrame, after: DataFrame) -> DataFrame:
     """``n_chars`` follows the text; texts that did not change keep theirs, as it is equal."""
     if "n_chars" not in after.columns:

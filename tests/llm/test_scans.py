@@ -1,0 +1,153 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tidemark.llm import boosting, pii, secret_scan
+
+
+def plain_pii(text):
+    """The contract's patterns, word for word."""
+    found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m.group().split(".")):
+            found.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m.group() if c in "0123456789"]
+        doubled = [x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))]
+        if 12 <= len(d) <= 19 and sum(doubled) % 10 == 0:
+            found.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= sum(c in "0123456789" for c in m.group()) <= 15:
+            found.append(("phone", *m.span()))
+    return sorted(found, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def plain_secrets(text):
+    pattern = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    found = [("assign", *m.span()) for m in re.finditer(pattern, text, re.IGNORECASE | re.ASCII) if len(m.group(2)) >= 6]
+    found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(found, key=lambda s: (s[1], secret_scan.KINDS.index(s[0])))
+
+
+numbers = st.text("0123456789 .-+()@ab%é\n,:/", max_size=120)
+addresses = st.text("ab.@-_%+1é ", max_size=60)
+keys = st.lists(st.sampled_from(["password", "API_KEY", "ſecret", "toKen", "=", ":", " ", "'", '"', "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "x", "+/.", "\n"]), max_size=14).map("".join)
+
+
+@settings(max_examples=500, deadline=None)
+@given(numbers | addresses)
+def test_base_pii(text):
+    assert pii.base_spans(text) == plain_pii(text)
+
+
+@settings(max_examples=500, deadline=None)
+@given(keys)
+def test_base_secrets(text):
+    assert secret_scan.base_spans(text) == plain_secrets(text)
+
+
+@pytest.fixture(scope="module")
+def models(spark):
+    return pii.fit_pii(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+@pytest.fixture(scope="module")
+def crf(spark):
+    return secret_scan.fit_secrets(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+def digest(spans):
+    return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+def test_pii_of_whole_tables(sample, edge, empty, models):
+    for docs in (sample, edge):
+        want = sorted(((r.doc_id, *(sum(k == n for k, _, _ in s) for n in pii.KINDS), digest(s)) for r in docs.collect()
+                       for s in [plain_pii(r.text or "")]), key=str)
+        got = pii.find_pii(docs, models).collect()
+        assert sorted((tuple(r)[:-1] for r in got), key=str) == want
+        for r in got:
+            base = plain_pii(next(x.text for x in docs.collect() if x.doc_id == r.doc_id) or "") if r.doc_id == 15 else []
+            assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(r.spans.split(","))
+    assert pii.find_pii(empty, models).count() == 0
+
+
+def test_boosted_trees_add_disguised_data(models):
+    def added(text):
+        return [s for base, found in pii.find_in_texts([text], models) for s in found if s not in base]
+
+    assert added("write to john.smith at example.com today") == [("email", 9, 34)]
+    assert added("reach me: (437) 555-0689 please")[0][0] == "phone"
+    assert added("host 10[.]20[.]3[.]4 is down")[0][0] == "ip"
+    assert added("pay with 4111.1111.1111.1111 now")[0][0] == "card"
+    for clean in ("look at the sun. It is at hand", "chapter 12, pages 100-120", "built on 2024-01-02 10:20:30", ""):
+        assert added(clean) == []
+
+
+def test_boosting_learns_an_interaction():
+    draw = np.random.default_rng(1)
+    x = draw.random((4000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(int)
+    model = boosting.fit_boosted(x, y)
+    p = model.probability(x)
+    assert ((p > 0.5) == y).mean() > 0.97
+    assert abs(p.mean() - y.mean()) < 0.03
+    assert boosting.fit_boosted(x, np.zeros(4000, int)).threshold > 1
+
+
+def test_secrets_of_whole_tables(sample, edge, empty, crf):
+    for docs in (sample, edge):
+        want = sorted(((r.doc_id, *(sum(k == n for k, _, _ in s) for n in secret_scan.KINDS), digest(s)) for r in docs.collect()
+                       for s in [plain_secrets(r.text or "")]), key=str)
+        got = secret_scan.find_secrets(docs, crf).collect()
+        assert sorted((tuple(r)[:-1] for r in got), key=str) == want
+    assert secret_scan.find_secrets(empty, crf).count() == 0
+
+
+def test_field_tags_secrets_in_other_words(crf):
+    def added(text):
+        return [text[a:b] for base, found in secret_scan.find_in_texts([text], crf) for k, a, b in found if k == secret_scan.ADDED]
+
+    assert added('the pass phrase is "9f8A7bC6d5E4f3a2B1c0" ok') == ["9f8A7bC6d5E4f3a2B1c0"]
+    for clean in ("an ordinary sentence about nothing at all", "call 4539578763621486 now", "version 1.2.3.4 of 2024-01-02", ""):
+        assert added(clean) == []
+
+
+def test_pruned_decoding_is_viterbis(crf, sample):
+    for r in sample.limit(25).collect():
+        tokens = secret_scan._TOKEN.findall(r.text)[:400]
+        wide, score = ["", "", *tokens, "", ""], []
+        for t in range(len(tokens)):
+            score.append(sum(crf.row(wide[t + o])[o] for o in range(5)) + secret_scan.file_features(tokens) @ crf.file)
+        labels = crf.viterbi(np.array(score))
+        begins = [i for i, y in enumerate(labels) if y == secret_scan.B]
+        assert [a for a, _ in crf.tag([tokens])[0]] == begins
+
+
+def test_gradient_of_the_field_is_right():
+    """A tiny chain: probabilities of all label sequences add up as forward-backward says."""
+    windows = [["secret", "=", "abc123def456"] + [""] * 21, ["the", "sun", "rises"] + [""] * 21] * 3
+    labels = np.array([[0, 0, 1] + [0] * 21, [0] * 24] * 3)
+    crf = secret_scan.fit_crf(windows, labels, np.zeros((6, 3)), rounds=60)
+    assert crf.tag([w[:3] for w in windows]) == [[(2, 3)], []] * 3
+
+
+def test_redaction_keeps_the_rest(edge, empty, crf):
+    before = sorted((tuple(r) for r in edge.collect()), key=str)
+    redacted = secret_scan.redact_secrets(edge, crf)
+    assert redacted.schema.names == edge.schema.names
+    after = sorted((tuple(r) for r in redacted.collect()), key=str)
+    changed = [(a, b) for a, b in zip(before, after, strict=True) if a != b]
+    assert {a[0] for a, _ in changed} == {15, 16}
+    for a, b in changed:
+        assert b[1] == {15: a[1].replace("hunter2", "[SECRET]"), 16: "[SECRET] and [SECRET]"}[a[0]] and a[2:] == b[2:]
+    assert secret_scan.redact_secrets(empty, crf).count() == 0
+
+
+def test_a_field_without_secrets_tags_nothing():
+    crf = secret_scan.fit_crf([], np.zeros((0, 24), int), np.zeros((0, 3)))
+    assert crf.tag([["password", "=", "abcdef123"]]) == [[]]

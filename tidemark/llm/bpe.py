@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.words import NOT_PLAIN, WORD_LEVEL_WORDS, WordCache, slices
+from tidemark.llm.words import NOT_PLAIN, WORD_LEVEL_WORDS, WordCache, held, slices
 
 ENCODED = "doc_id long, ids binary, decoded string"
 
@@ -217,14 +217,9 @@ class WordEncoder:
         return " ".join(self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist())
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def word_encoder(path: str) -> WordEncoder:
     """The worker's encoder for a vocabulary, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return held(f"encoding {path}", lambda: WordEncoder(path))
 
 
 def _over_texts(docs: DataFrame, per_batch: Callable, schema: str, names: list[str], kinds: list) -> DataFrame:

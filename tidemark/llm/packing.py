@@ -8,6 +8,7 @@ merged in rounds of bounded groups until one is left.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.words import BYTE_LEVEL_WORDS, NOT_PLAIN, WordCache, slices
+from tidemark.llm.words import BYTE_LEVEL_WORDS, NOT_PLAIN, WordCache, held, slices
 from tidemark.session import scratch_path
 
 WINDOW = 2048
@@ -146,17 +147,10 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     return encode
 
 
-_ENCODERS: dict[str, Callable] = {}
-
-
 def encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     """The worker's encoder for a vocabulary, kept between tasks."""
-    if path not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = byte_level_encoder(path)
-    return _ENCODERS[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return held(f"packing {path}", lambda: byte_level_encoder(path))
 
 
 def _frame(rows: list[tuple]) -> pa.RecordBatch:

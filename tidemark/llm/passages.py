@@ -19,13 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.near import text_hash
+from tidemark.llm.words import held
 from tidemark.session import scratch_path
 
 K = 5
 #: Any exact common run of K + WINDOW - 1 words has a common seed.
-WINDOW = 12
+WINDOW = 8
 #: Cost of each word, of either document, between the starts of two chained seeds.
-GAP = 0.2
+GAP = 0.1
 #: Words beyond a chain's seeds to which its alignment may reach.
 REACH = K + WINDOW + 3
 #: A longer run of words without a partner ends a passage.
@@ -46,14 +47,13 @@ class _Hashes(dict):
         return found
 
 
-_HASHES = _Hashes()
 _WORD = regex.compile(r"\S+")
 
 
 def word_hashes(text: str) -> np.ndarray:
     """One hash per word; words are what white space separates, in lower case."""
-    words = text.lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, words), "<u8", len(words))
+    words, known = text.lower().split(), held("passage words", _Hashes)
+    return np.fromiter(map(known.__getitem__, words), "<u8", len(words))
 
 
 def _slid(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -192,12 +192,25 @@ def align(own: np.ndarray, other: np.ndarray, at_own: list[int], at_other: list[
             gaps = np.diff(piece)
             cut = int(np.argmax(gaps)) + 1
             piece = piece[:cut] if cut * 2 > len(piece) else piece[cut:]
+        piece = _trimmed(piece)
         if len(piece) >= LEAST_PIECE:
             length = int(piece[-1] + 1 - piece[0])
             out.append((int(first + piece[0]), int(first + piece[0]) + length, len(piece) / length))
     return out
 
 
+def _trimmed(hits: np.ndarray) -> np.ndarray:
+    """The hits without those at the ends that stand behind more misses than hits: they are chance."""
+    if len(hits) < 2:
+        return hits
+    worth = np.full(hits[-1] + 1 - hits[0], -2)
+    worth[hits - hits[0]] = 1
+    total, middle = np.cumsum(worth), len(worth) // 2
+    start = int(np.argmin(np.r_[0, total[:middle]]))
+    end = middle + int(np.argmax(total[middle:]))
+    return hits[(hits - hits[0] >= start) & (hits - hits[0] <= end)]
+
+
 def merge_pieces(pieces: list[tuple], least_words: int) -> list[tuple]:
     """Unite pieces (start, end, similarity, source) that overlap or touch; keep those of enough words.
 

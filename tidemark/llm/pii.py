@@ -148,7 +148,8 @@ def _disguised(kind: str, span: str, turn: int) -> tuple[str, str]:
         fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
         wrong = digits[:-1] + str((int(digits[-1]) + 1 + turn % 9) % 10)
         return (".".join(fours), "/".join(fours), "  ".join(fours), "_".join(fours))[turn % 4], wrong
-    good = (span.lstrip("+"), "00" + span.lstrip("+"), re.sub(r"[ ().-]+", "/", span.lstrip("+")))[turn % 3]
+    bare, local = span.lstrip("+"), re.sub(r"\A\+[0-9]{1,3}[ .-]?", "", span)
+    good = (bare, local, "00" + bare, local, re.sub(r"[ ().-]+", "/", bare))[turn % 5]
     date = f"20{digits[:2]}-0{turn % 9 + 1}-1{turn % 10} 1{turn % 10}"
     return good, (digits[:3] + " " + digits[3:7], date, date.replace("-", "/"))[turn % 3]
 

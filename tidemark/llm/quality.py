@@ -161,7 +161,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS)
     def rows_of(chosen: DataFrame, limit: int):
         got = _described(texts.join(chosen, "doc_id").limit(limit), ["doc_id", "quality"], "doc_id long, quality int").toPandas()
         got = got.sort_values("doc_id", kind="stable")
-        x = np.array(got["features"].tolist(), float).reshape(len(got), -1)
+        x = np.array(got["features"].tolist() or np.zeros((0, len(text_features("")))), float)
         return x, got["quality"].to_numpy(int)
 
     good, _ = rows_of(bounded_sample(usable.where("quality = 1"), F.col("doc_id"), bound), bound)

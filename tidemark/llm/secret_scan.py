@@ -7,6 +7,7 @@ by Viterbi.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections import Counter
@@ -299,10 +300,32 @@ def training_windows(doc: int, text: str) -> list[tuple[list[str], list[int], li
         if marks[0] == I:
             marks[0] = B
         fill = SPAN - len(part)
-        out.append(([t[:200] for t in part] + [""] * fill, marks + [O] * fill, flags, good))
+        window = ([t[:200] for t in part] + [""] * fill, marks + [O] * fill, flags, good)
+        out += [window, *_varied(*window)] if good else [window]
     return out
 
 
+def _varied(tokens: list[str], labels: list[int], flags: list[float], good: bool) -> list[tuple]:
+    """The window with its secrets in another alphabet, as it stands and with other words where it names or assigns them.
+
+    So the field learns the look of a secret beside the words around it.
+    """
+    coded = [
+        base64.b64encode(hashlib.sha256(t.encode()).digest()).decode().replace("=", "7")[: 14 + sum(map(ord, t)) % 27]
+        if y != O and len(t) >= 8
+        else t
+        for t, y in zip(tokens, labels, strict=True)
+    ]
+    plain = [t for t, y in zip(tokens, labels, strict=True) if y == O and t.isalpha()] or ["is"]
+    other = list(coded)
+    for i, y in enumerate(labels):
+        if y == B:
+            for j in range(max(0, i - 3), i):
+                if labels[j] == O:
+                    other[j] = '"' if tokens[j] in "\"'" and tokens[j] else plain[(i + j) % len(plain)]
+    return [(coded, labels, flags, good), (other, labels, [0.0, *flags[1:]], good)]
+
+
 def fit_secrets(docs: DataFrame, bound: int = TRAINING_DOCS) -> Crf:
     """Fit the field on windows of at most ``bound`` documents, whose base spans are the labels."""
     chosen = bounded_sample(docs.where("text is not null and doc_id is not null"), F.xxhash64("doc_id"), bound)
@@ -368,20 +391,23 @@ def find_secrets(docs: DataFrame, crf: Crf) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame, crf: Crf, mask: str = "[SECRET]") -> DataFrame:
-    """docs with ``mask`` in place of every secret in ``text``; all other columns and rows stay as they are."""
+    """docs with ``mask`` in place of every secret in ``text``; all other columns and rows stay as they are.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only texts go to Python, and only those that change come back.
+    """
+
+    @F.arrow_udf("string")
+    def changed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts, out = batch.column(at).to_pylist(), []
-            for text, (_, found) in zip(texts, find_in_texts([t or "" for t in texts], crf), strict=True):
-                if found:
-                    text = masked(text, sorted({*secret_parts(text), *((a, b) for k, a, b in found if k == ADDED)}), mask)
-                out.append(text)
-            columns = [pa.array(out, batch.schema.types[at]) if i == at else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            texts = [t or "" for t in batch.to_pylist()]
+            out: list[str | None] = []
+            for text, (_, found) in zip(texts, find_in_texts(texts, crf), strict=True):
+                spans = {*secret_parts(text), *((a, b) for k, a, b in found if k == ADDED)} if found else None
+                out.append(masked(text, sorted(spans), mask) if spans else None)
+            yield pa.array(out, pa.string())
+
+    text = F.col("text").cast("string")
+    return docs.withColumn("text", F.coalesce(changed(text), text))
 
 
 def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:

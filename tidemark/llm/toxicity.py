@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,20 +49,20 @@ class OrdinalModel:
         return np.diff(np.concatenate([np.zeros((len(scores), 1)), below, np.ones((len(scores), 1))], 1), axis=1)
 
 
-def weak_grades(found: list[set[str]], toxic: np.ndarray) -> np.ndarray:
+def weak_grades(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Grades for rows labelled only toxic or not: the toxic ones are graded by how many marked features they hold.
 
     A marked feature occurs in toxic rows far more often than in others. The
     cuts are the thirds of the toxic rows.
     """
-    in_toxic, in_clean = Counter(), Counter()
-    for seen, label in zip(found, toxic, strict=True):
-        (in_toxic if label else in_clean).update(seen)
-    odds = (len(toxic) - toxic.sum() + 1) / (toxic.sum() + 1)
-    marked = {f for f, n in in_toxic.items() if n >= LEAST_DOCS and n * odds > 12 * (in_clean[f] + 0.5)}
-    hits = np.array([len(seen & marked) for seen in found])
     if not toxic.any():
         return np.zeros(len(toxic), int)
+    size = int(cols.max(initial=-1)) + 1
+    in_toxic = np.bincount(cols, toxic[rows], size)
+    in_clean = np.bincount(cols, 1 - toxic[rows], size)
+    odds = (len(toxic) - toxic.sum() + 1) / (toxic.sum() + 1)
+    marked = (in_toxic >= LEAST_DOCS) & (in_toxic * odds > 12 * (in_clean + 0.5))
+    hits = np.bincount(rows, marked[cols], len(toxic))
     cuts = np.quantile(hits[toxic == 1], [1 / 3, 2 / 3])
     return np.where(toxic == 1, 1 + (hits[:, None] > cuts[None, :]).sum(1), 0)
 
@@ -73,17 +72,20 @@ def fit_ordinal(texts: list[str], toxic: np.ndarray, rounds: int = 250, decay: f
 
     With rows of one class only, the model says that class for all.
     """
-    found = [features(t) for t in texts]
-    grade = weak_grades(found, toxic)
     if not len(texts) or toxic.min() == toxic.max():
         always = bool(len(texts)) and bool(toxic.max())
         return OrdinalModel({}, [-30.0 if always else 30.0] * (GRADES - 1), 0.5)
+    number: dict[str, int] = {}
     held = np.arange(len(texts)) % 4 == 3
-    names = _telling({t: (seen, y) for t, seen, y, out in zip(texts, found, toxic, held, strict=True) if not out})
-    number = {f: i for i, f in enumerate(names)}
-    index = [np.array(sorted(number[f] for f in seen & number.keys()), int) for seen in found]
-    rows = np.repeat(np.arange(len(texts)), [len(i) for i in index])
-    cols = np.concatenate([*index, np.empty(0, int)])
+    index = [np.fromiter((number.setdefault(f, len(number)) for f in features(t)), "i4") for t in texts]
+    rows, cols = np.repeat(np.arange(len(texts)), [len(i) for i in index]), np.concatenate(index)
+    grade = weak_grades(rows, cols, toxic)
+    first = {hash(t): i for i, t in reversed(list(enumerate(texts))) if not held[i]}  # copies of a text count once
+    telling = _telling(rows, cols, toxic, np.array(sorted(first.values())))
+    names = [f for f, i in number.items() if telling[i]]
+    del number
+    keep = telling[cols]
+    rows, cols = rows[keep], (np.cumsum(telling) - 1)[cols[keep]]
     use = ~held[rows]
     train_rows, train_cols = rows[use], cols[use]
 
@@ -118,18 +120,15 @@ def fit_ordinal(texts: list[str], toxic: np.ndarray, rounds: int = 250, decay: f
     return model
 
 
-def _telling(distinct: dict[str, tuple[set[str], int]]) -> list[str]:
-    """Features that lean to one class; copies of a text count once."""
-    all_of, toxic_of = Counter(), Counter()
-    for seen, label in distinct.values():
-        all_of.update(seen)
-        if label:
-            toxic_of.update(seen)
-    rate = sum(label for _, label in distinct.values()) / max(1, len(distinct))
+def _telling(rows: np.ndarray, cols: np.ndarray, toxic: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Which features lean to one class among the ``distinct`` rows."""
+    chosen = np.zeros(len(toxic), bool)
+    chosen[distinct] = True
+    use, size = chosen[rows], int(cols.max(initial=-1)) + 1
+    n, k = np.bincount(cols[use], minlength=size), np.bincount(cols[use], toxic[rows[use]], size)
+    rate = toxic[distinct].mean() if len(distinct) else 0.0
     spread = max(rate * (1 - rate), 1e-9)
-    return sorted(
-        f for f, n in all_of.items() if n >= LEAST_DOCS and abs(toxic_of[f] - n * rate) >= LEAST_Z * (n * spread) ** 0.5
-    )
+    return (n >= LEAST_DOCS) & (np.abs(k - n * rate) >= LEAST_Z * np.sqrt(n * spread))
 
 
 def _threshold(model: OrdinalModel, scores: np.ndarray, toxic: np.ndarray, held: np.ndarray) -> float:
@@ -139,8 +138,8 @@ def _threshold(model: OrdinalModel, scores: np.ndarray, toxic: np.ndarray, held:
         return 0.5
     order = np.argsort(-risk)
     hits = np.cumsum(truth[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + truth.sum())
-    best = int(np.argmax(f1))
+    measure = 2 * hits / (np.arange(1, len(order) + 1) + truth.sum())
+    best = int(np.argmax(measure))
     after = risk[order[best + 1]] if best + 1 < len(order) else 0.0
     return float(min(0.95, max(0.05, (risk[order[best]] + after) / 2)))
 
@@ -158,31 +157,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS)
     return fit_ordinal(got["text"].tolist(), got["toxic"].to_numpy(int))
 
 
+SCORES = "expected_severity double, severity int, toxic boolean, risk double"
+
+
 def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """All columns of docs with expected_severity (0 to 3), severity (likeliest grade) and toxic (boolean).
+    """All columns of docs with expected_severity (0 to 3), severity (likeliest grade), toxic (boolean) and risk.
 
     A null or empty text has no features and is as severe as the cuts alone say,
     which is clean for any model fitted on both classes. Columns of these names
-    in ``docs`` are replaced; repeated rows are scored alike.
+    in ``docs`` are replaced; repeated rows are scored alike. Only texts go to
+    Python and only scores come back.
     """
-    schema = "expected_severity double, severity int, toxic boolean, risk double"
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = np.array([model.score(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()], float)
+    @F.arrow_udf(f"struct<{SCORES.replace(' ', ':').replace(',:', ',')}>")
+    def judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            scores = np.fromiter((model.score(t.as_py() or "") for t in batch), float, len(batch))
             p = model.grades(scores)
-            new = [
-                pa.array(p @ np.arange(GRADES)),
-                pa.array(p.argmax(1).astype("i4")),
-                pa.array(1 - p[:, 0] >= model.threshold),
-                pa.array(1 - p[:, 0]),
-            ]
-            names = [*kept, *(part.split()[0] for part in schema.split(", "))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], names)
-
-    made = {part.split()[0] for part in schema.split(", ")}
-    kept = [c for c in docs.columns if c.lower() not in made]
-    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in kept]
-    carried = docs.select(*quoted, F.col("text").cast("string").alias("_scored_text"))
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in carried.schema.fields[:-1])
-    return carried.mapInArrow(run, f"{fields}, {schema}")
+            columns = [p @ np.arange(GRADES), p.argmax(1).astype("i4"), 1 - p[:, 0] >= model.threshold, 1 - p[:, 0]]
+            yield pa.StructArray.from_arrays([pa.array(c) for c in columns], [part.split()[0] for part in SCORES.split(", ")])
+
+    made = [part.split()[0] for part in SCORES.split(", ")]
+    kept = ["`" + c.replace("`", "``") + "`" for c in docs.columns if c.lower() not in made]
+    return docs.select(*kept, judged(F.col("text").cast("string")).alias("_scores")).select(
+        *kept, *(F.col(f"_scores.{m}") for m in made)
+    )

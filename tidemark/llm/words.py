@@ -21,6 +21,17 @@ NOT_PLAIN = re.compile(
     "Ѐ-ԯ‐-‧‰-⁞₠-₿、-〃ぁ-ゖ]"
 )
 
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], object]):
+    """What a worker keeps between tasks. One thing at a time: workers outlive the operator that filled them."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 #: Words a worker remembers for good; beyond it, those of one slice at a time.
 CACHE_WORDS = 600_000
 
