@@ -295,7 +295,111 @@ def versioned_collapse(spark, sf_dir):
 def summing_merge(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     summed = ops.summing_merge(events, ["user_id", "event_type"], ["value"])
-    return summed.withColumn("value", F.col("value").cast("double"))
+    # doubles are added as such: beyond the ninth digit a sum may depend on the order of the rows
+    return summed.withColumn("value", F.round("value", 6))
+
+
+def late_and_new_rows(spark, sf_dir):
+    """Orders whose late tenth arrives below the saved watermark, fetched by a drain that looks back."""
+    orders = table(spark, sf_dir, "orders")
+    spec = TableSpec("orders", sort_key=("o_orderkey",))
+    target, log = scratch_path(spark, "late"), scratch_path(spark, "state")
+    early = orders.filter("o_orderkey % 10 <> 0 AND o_orderdate < date'1998-01-01'")
+    state = plans.drain(spark, early, spec, TableState("orders"), target, log)
+    state = plans.add_late_rows(spark, orders, spec, state, target, log, ["o_orderkey"], "10000 days")
+    plans.drain(spark, orders, spec, state, target, log)
+    return sources.read_target(spark, target)
+
+
+def source_with_layout_names(spark, sf_dir):
+    """A table that itself has a month and a batch column: both come back whole."""
+    month = month_number("o_orderdate").alias("yyyymm")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", month, F.col("o_custkey").alias("batch_seq"))
+    root = scratch_path(spark, "names")
+    spec = TableSpec("orders", month_of="o_orderdate")
+    results = plans.sync_tables(spark, lambda _: orders, [spec], root)
+    if results[0].status != "ok":
+        raise RuntimeError(f"the copy failed: {results}")
+    return sources.read_target(spark, plans.target_path(root, "orders"))
+
+
+def resumed_copy(spark, sf_dir):
+    """A copy in parts that dies after two of them, whose log is compacted, and that goes on."""
+    root = scratch_path(spark, "resume")
+    spec = TableSpec("lineitem", sort_key=LINE_ITEMS.sort_key, parts=5)
+    read = sources.file_reader(spark, sf_dir, suffix=".parquet")
+    log, target = plans.state_path(root), plans.target_path(root, "lineitem")
+
+    class Died(Exception):
+        pass
+
+    def dies(part: int) -> None:
+        if part == 2:
+            raise Died
+
+    try:
+        plans.snapshot_in_parts(spark, read("lineitem"), spec, target, log, before_part=dies)
+    except Died:
+        pass
+    for _ in range(2):
+        results = plans.sync_tables(spark, read, [spec], root)  # compacts the log first
+    state = sources.load_state(spark, log)["lineitem"]
+    stored = sources.read_target(spark, target).agg(F.count("*").alias("n_rows"), F.countDistinct("l_orderkey").alias("n_orders"))
+    return stored.select("n_rows", "n_orders", F.lit(state.synced_rows).alias("synced_rows"), F.lit(results[0].status).alias("status"))
+
+
+def appended_versions(spark, sf_dir):
+    """Events appended to a target in monthly versions per user and type, then folded to the latest."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    target, folded = scratch_path(spark, "versions"), scratch_path(spark, "folded")
+    spec = TableSpec("events")
+    for number, part in enumerate(("user_id % 3 = 0", "user_id % 3 <> 0", "true")):  # the last repeats all
+        sources.write_batch(events.filter(part), target, number)
+    keys = ["user_id", "event_type"]
+    latest = lambda rows: ops.replacing_merge(rows, keys, "ts", ["tidemark_batch"])
+    plans.fold_target(spark, spec, target, folded, 2, latest)
+    return sources.read_target(spark, folded)
+
+
+def stream_of_many_files(spark, sf_dir):
+    """Orders laid out in six files, two per trigger, so a stream of three micro-batches and one failing view."""
+    files, target = scratch_path(spark, "files"), scratch_path(spark, "stream")
+    orders = table(spark, sf_dir, "orders")
+    orders.repartition(6, "o_orderkey").write.parquet(files)
+    stream = streaming.read_stream(spark, files, orders.schema, max_files=2)
+
+    def fails(batch: DataFrame, number: int) -> None:
+        raise ValueError("view is broken")
+
+    streaming.follow_in_batches(
+        stream, target, scratch_path(spark, "offsets"), once=True, derived={"view": fails}
+    ).awaitTermination()
+    batches = sources.read_target(spark, target, keep_layout=True).select("tidemark_batch").distinct().count()
+    errors = streaming.derived_errors(spark, target).count()
+    stored = sources.read_target(spark, target)
+    return stored.agg(F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("keys")).select(
+        "n_rows", "keys", F.lit(batches).cast("bigint").alias("n_batches"), F.lit(errors).cast("bigint").alias("n_errors")
+    )
+
+
+def stream_without_repeats(spark, sf_dir):
+    """Events laid out twice in a folder and followed with repeats dropped within a delay."""
+    files, target = scratch_path(spark, "files"), scratch_path(spark, "stream")
+    events = table(spark, sf_dir, "events")
+    for _ in range(2):
+        events.coalesce(1).write.mode("append").parquet(files)
+    stream = streaming.read_stream(spark, files, events.schema, max_files=1)
+    once = streaming.drop_repeats(stream, ["event_id"], "ts", "3650 days")
+    streaming.follow(once, target, scratch_path(spark, "offsets"), once=True).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def jsonl_trailing(spark, sf_dir):
+    """Event properties with something after them on every third line: those are bad, as a whole."""
+    events = table(spark, sf_dir, "events")
+    tail = F.when(F.col("event_id") % 3 == 0, F.element_at(F.array(*map(F.lit, (" junk", "{}", "]", "}", ",1", "  "))), (F.col("event_id") % 6 + F.lit(1)).cast("int")))
+    lines = events.select("event_type", F.concat("props", F.coalesce(tail, F.lit(""))).alias("props"))
+    return ops.profile_lines(lines, "props", "k", by=["event_type"])
 
 
 def state_fold(spark, sf_dir):
@@ -312,8 +416,8 @@ def month_layout(spark, sf_dir):
         table(spark, sf_dir, "lineitem"), target, 0, "l_shipdate", ["l_orderkey", "l_linenumber"]
     )
     stored = sources.read_target(spark, target, keep_layout=True)
-    return stored.groupBy("yyyymm").agg(
-        F.count("*").alias("n"), F.count_if(F.col("yyyymm") != month_number("l_shipdate")).alias("misplaced")
+    return stored.groupBy(F.col("tidemark_month").alias("yyyymm")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("tidemark_month") != month_number("l_shipdate")).alias("misplaced")
     )
 
 
@@ -322,8 +426,8 @@ def delta_from_months(spark, sf_dir):
     target = scratch_path(spark, "months")
     sources.write_batch(table(spark, sf_dir, "lineitem"), target, 0, "l_shipdate", ["l_orderkey"])
     stored = sources.read_target(spark, target, keep_layout=True)
-    rows = ops.in_range(stored, "l_shipdate", "1998-01-01", "1998-06-30", "yyyymm")
-    return rows.drop("batch_seq", "yyyymm")
+    rows = ops.in_range(stored, "l_shipdate", "1998-01-01", "1998-06-30", "tidemark_month")
+    return rows.drop("tidemark_batch", "tidemark_month")
 
 
 def jsonl_profile(spark, sf_dir):
@@ -448,6 +552,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         url_split,
         cdc_stream,
         cdc_stream_batches,
+        late_and_new_rows,
+        source_with_layout_names,
+        resumed_copy,
+        appended_versions,
+        stream_of_many_files,
+        stream_without_repeats,
+        jsonl_trailing,
     ]
     found = {query.__name__: query for query in registered}
     if llm:
@@ -621,9 +732,27 @@ def oracle_sql() -> dict[str, str]:
               CAST(sum(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) AS BIGINT) AS net
             FROM lineitem GROUP BY 1, 2 HAVING net <> 0""",
         "summing_merge": """
-            SELECT user_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS value,
-              count(*) AS n_rows
-            FROM events GROUP BY 1, 2 HAVING sum(CAST(value AS DECIMAL(18,4))) <> 0""",
+            SELECT user_id, event_type, round(sum(value), 6) AS value, count(*) AS n_rows
+            FROM events GROUP BY 1, 2 HAVING sum(value) <> 0""",
+        "late_and_new_rows": "SELECT * FROM orders",
+        "source_with_layout_names": """
+            SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS yyyymm,
+              o_custkey AS batch_seq FROM orders""",
+        "resumed_copy": """
+            SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, count(*) AS synced_rows,
+              'skipped' AS status FROM lineitem""",
+        "appended_versions": """
+            SELECT user_id, event_type, ts, value FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1""",
+        "stream_of_many_files": """
+            SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(3 AS BIGINT) AS n_batches,
+              CAST(3 AS BIGINT) AS n_errors FROM orders""",
+        "stream_without_repeats": "SELECT * FROM events",
+        "jsonl_trailing": lines_profile.format(
+            group="event_type", name="event_type", line="props",
+            table="(SELECT event_type, props || CASE WHEN event_id % 3 = 0 THEN "
+            "[' junk', '{}', ']', '}', ',1', '  '][CAST(event_id % 6 + 1 AS INTEGER)] ELSE '' END AS props FROM events)",
+        ),
         "state_fold": """
             SELECT conv_id, turn, role FROM conversations
             QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",

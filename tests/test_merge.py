@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
 from tidemark import operators as ops
 from tidemark.sources import latest_per_key
 
@@ -74,6 +75,20 @@ def test_summing_drops_only_all_zero_rows(spark):
     assert ops.summing_merge(df, ["key"], ["n", "x"], drop_zero=False).count() == 3
 
 
+def test_sums_are_not_rounded_and_keep_their_types(spark):
+    df = spark.createDataFrame(
+        [("tiny", 1e-5, 1), ("huge", 1e36, 2), ("huge", 1e36, 3), ("mixed", 1.00004, -7), ("mixed", 1.00004, 7), ("gone", 2.5, 4), ("gone", -2.5, -4)],
+        "key string, x double, n int",
+    ).withColumn("d", F.col("n").cast("decimal(9,3)") / 1000).withColumn("d", F.col("d").cast("decimal(12,6)"))
+    summed = ops.summing_merge(df, ["key"], ["x", "n", "d"])
+    assert [f.dataType for f in summed.schema.fields[1:4]] == [f.dataType for f in df.schema.fields[1:4]]
+    got = {r["key"]: (r["x"], r["n"]) for r in summed.collect()}
+    assert got == {"tiny": (1e-5, 1), "huge": (2e36, 5), "mixed": (2.00008, 0)}
+    with pytest.raises(Exception, match="(?i)overflow|out of"):
+        big = spark.createDataFrame([(1, 2**62)] * 3, "k int, n long")
+        ops.summing_merge(big, ["k"], ["n"]).collect()
+
+
 def test_folds_aggregate_before_the_shuffle(df):
     """A hot key must shrink to one row per task before it moves."""
 

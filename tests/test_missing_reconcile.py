@@ -116,12 +116,11 @@ def test_uneven_ranges_see_changed_values(spark):
 @pytest.mark.parametrize(
     "start, step, completed, frontiers",
     [
-        (0, 100, [0, 100, 200], [100, 200, 300]),
-        (0, 100, [200, 100, 0], [0, 0, 300]),
-        (500, 100, [600, 500], [500, 700]),
-        (0, 100, [0, 0], [100, 100]),
-        (0, 50000, [0], [50000]),
-        (0, 10, [40, 30, 20, 10, 0], [0, 0, 0, 0, 50]),
+        (7, 3, [7, 10, 13, 16], [10, 13, 16, 19]),
+        (7, 3, [16, 13, 10, 7], [7, 7, 7, 19]),
+        (-20, 20, [20, -20, 0], [-20, 0, 40]),
+        (1, 1, [1, 1, 2, 2], [2, 2, 3, 3]),
+        (250, 25, [], []),
         (0, 10, [0, 5, 10, -10], [10, 10, 20, 20]),
     ],
 )

@@ -136,3 +136,35 @@ def test_predicate_reaches_the_scan(spark, folder):
     assert "GreaterThan(at," in text and "LessThanOrEqual(at," in text
     assert "ReadSchema: struct<at:timestamp>" in text
     assert plan.count() == 10
+
+
+@pytest.mark.parametrize("max_gather", [0, 10**6])
+def test_pages_and_tails_are_alike_at_any_size(spark, max_gather):
+    """Sorted, and an error where the end cuts equal keys, whichever way the ends are found."""
+    df = spark.range(60).selectExpr("(id * 37) % 60 AS id", "id div 8 AS t").repartition(5)
+    assert [r["id"] for r in ops.page(df, ["id"], 10, 6, max_gather).collect()] == list(range(10, 16))
+    assert [r["id"] for r in ops.page(df, ["id"], 57, 20, max_gather).collect()] == [57, 58, 59]
+    assert [r["id"] for r in ops.tail_by_count(df, spark.range(52), ["id"], max_gather).collect()] == list(range(52, 60))
+    assert [r["id"] for r in ops.strict_batch(df, "id", 20, 4, max_gather=max_gather).collect()] == [21, 22, 23, 24]
+    assert len(ops.page(df, ["t"], 8, 16, max_gather).collect()) == 16
+    for cut in (
+        lambda: ops.page(df, ["t"], 4, 12, max_gather),
+        lambda: ops.page(df, ["t"], 8, 9, max_gather),
+        lambda: ops.tail_by_count(df, spark.range(50), ["t"], max_gather),
+        lambda: ops.strict_batch(df, "t", 1, 3, max_gather=max_gather),
+    ):
+        with pytest.raises(ValueError, match="equal"):
+            cut()
+
+
+def test_a_large_limit_gathers_nothing(spark):
+    df = spark.range(50).repartition(3)
+    plan = ops.strict_batch(df, "id", None, 2_000_000, max_gather=0)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan
+
+
+def test_columns_with_dots(spark):
+    df = spark.range(20).withColumnRenamed("id", "a.b")
+    assert ops.page(df, ["a.b"], 3, 4).count() == 4
+    assert ops.tie_safe_batch(df, "a.b", 4, 5).count() == 5
+    assert ops.newer_than(df, "a.b", 15).count() == 4

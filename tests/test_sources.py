@@ -17,18 +17,12 @@ def test_unknown_table_starts_from_nothing(spark, folder):
 
 
 def test_latest_state_wins_and_tables_are_independent(spark, folder):
-    log = [
-        TableState("a", 100, False, None, None, 0),
-        TableState("b", 500, False, "ts", "2024-01-01 00:00:00", 0),
-        TableState("a", 200, False, None, None, 1),
-        TableState("a", 9999, True, "ts", "2024-12-31 23:59:59", 10),
-        TableState("odd/name=1", 1, True, None, None, 3),
-    ]
+    log = [TableState(t, 37 * n + len(t), n > 2, None if n < 2 else "seen_on", None if n < 2 else f"2031-05-{n + 10}", n)
+           for n in range(5) for t in ("harbour", "tides", "odd/name=1") if n < 3 or t != "tides"]
     for state in log:
         sources.append_state(spark, folder, [state])
-    loaded = sources.load_state(spark, folder)
-    assert loaded == {"a": log[3], "b": log[1], "odd/name=1": log[4]}
-    assert sources.read_state_log(spark, folder).count() == 5
+    assert sources.load_state(spark, folder) == {state.table: state for state in log}
+    assert sources.read_state_log(spark, folder).count() == len(log)
 
 
 def test_compacting_the_log_changes_nothing(spark, folder):
@@ -45,6 +39,28 @@ def test_compacting_the_log_changes_nothing(spark, folder):
     assert sources.load_state(spark, folder)["a"].batch_seq == 9
 
 
+def test_layout_names_and_other_schemas_are_refused(spark, folder):
+    rows = spark.range(3).withColumn("tidemark_month", F.lit(1))
+    with pytest.raises(ValueError, match="tidemark_month"):
+        sources.check_target(rows, folder + "/t")
+    sources.write_batch(spark.range(3).withColumn("batch_seq", F.lit(5)).withColumn("yyyymm", F.lit("x")), folder + "/t", 0)
+    assert sources.read_target(spark, folder + "/t").columns == ["id", "batch_seq", "yyyymm"]
+    for other in (spark.range(3), spark.range(3).selectExpr("cast(id as string) id", "5 AS batch_seq", "'x' AS yyyymm")):
+        with pytest.raises(ValueError, match="differ"):
+            sources.check_target(other, folder + "/t")
+
+
+def test_stale_batches_go_without_a_job(spark, folder):
+    for seq in range(12):
+        sources.write_batch(spark.range(seq + 1), folder, seq)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert sources.discard_uncommitted(spark.range(1), folder, 3) == list(range(4, 12))
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert sources.read_target(spark, folder).count() == 1 + 2 + 3 + 4
+    assert sources.discard_uncommitted(spark.range(1), folder, 3) == []
+
+
 def test_a_foreign_or_broken_log_is_an_error(spark, folder):
     spark.range(3).write.parquet(folder + "/other")
     with pytest.raises(ValueError, match="no state log"):
@@ -120,10 +136,10 @@ def test_month_layout_prunes_and_sorts(spark, folder):
     df = dated(spark)
     assert sources.write_batch(df, folder, 0, "at", ["v", "id"]) == 200
     stored = sources.read_target(spark, folder, keep_layout=True)
-    assert {r["yyyymm"] for r in stored.select("yyyymm").distinct().collect()} == {202401, 202402, 202403}
-    assert stored.filter(F.col("yyyymm") != F.date_format("at", "yyyyMM").cast("int")).count() == 0
+    assert {r["tidemark_month"] for r in stored.select("tidemark_month").distinct().collect()} == {202401, 202402, 202403}
+    assert stored.filter(F.col("tidemark_month") != F.date_format("at", "yyyyMM").cast("int")).count() == 0
     assert sources.read_target(spark, folder).columns == ["id", "at", "v"]
-    one_file = glob.glob(folder + "/batch_seq=0/yyyymm=202402/*.parquet")[0]
+    one_file = glob.glob(folder + "/tidemark_batch=0/tidemark_month=202402/*.parquet")[0]
     rows = [(r["v"], r["id"]) for r in spark.read.parquet(one_file).collect()]
     assert rows == sorted(rows)
 
@@ -139,7 +155,7 @@ def test_the_layout_splits_a_hot_month(spark, folder):
         assert sources.write_batch(hot, folder, 0, "at") == 200_000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
-    assert len(glob.glob(folder + "/batch_seq=0/yyyymm=202405/*.parquet")) > 1
+    assert len(glob.glob(folder + "/tidemark_batch=0/tidemark_month=202405/*.parquet")) > 1
 
 
 def test_layout_needs_its_columns(spark):

@@ -1,5 +1,6 @@
 """Snapshot and follow-up: nothing lost, nothing twice, whatever happens in between."""
 
+import os
 import random
 from collections import Counter
 from dataclasses import replace
@@ -142,7 +143,7 @@ def test_a_drained_batch_never_splits_equal_watermarks(spark, folder):
     spec = replace(SPEC, month_of="updated_at")
     plans.drain(spark, df, spec, TableState("t"), *paths(folder), batch_rows=10)
     stored = sources.read_target(spark, paths(folder)[0], keep_layout=True)
-    per_value = stored.groupBy("updated_at").agg(F.count_distinct("batch_seq").alias("n"))
+    per_value = stored.groupBy("updated_at").agg(F.count_distinct("tidemark_batch").alias("n"))
     assert per_value.filter("n > 1").count() == 0
     assert bag(stored) == bag(df)
 
@@ -227,7 +228,7 @@ def test_drain_and_catch_up_store_the_same(spark, folder):
     assert bag(sources.read_target(spark, folder + "/b/t")) == bag(df)
     logged = {r["batch_seq"]: r for r in sources.read_state_log(spark, folder + "/a/state").collect()}
     stored = sources.read_target(spark, folder + "/a/t", keep_layout=True)
-    assert set(logged) == {r["batch_seq"] for r in stored.select("batch_seq").distinct().collect()}
+    assert set(logged) == {r["tidemark_batch"] for r in stored.select("tidemark_batch").distinct().collect()}
     for seq, row in logged.items():
         assert row["synced_rows"] == sources.read_target(spark, folder + "/a/t", upto=seq).count()
         assert row["synced_rows"] == df.count() - ops.newer_than(df, "updated_at", row["watermark_value"]).count()
@@ -304,7 +305,7 @@ def test_updates_fold_and_deletes_show_up(spark, folder):
     changed = table(spark, [(1, 5, "new")])
     follow(spark, changed, state, folder)
     stored = sources.read_target(spark, paths(folder)[0], keep_layout=True)
-    latest = ops.replacing_merge(stored, ["id"], "updated_at", ["batch_seq"]).drop("batch_seq")
+    latest = ops.replacing_merge(stored, ["id"], "updated_at", ["tidemark_batch"]).drop("tidemark_batch")
     assert {(r["id"], r["v"]) for r in latest.collect()} == {(1, "new"), (2, "gone")}
     assert [r["id"] for r in ops.surplus_rows(changed, latest).collect()] == [2]
     n = plans.fold_target(
@@ -313,7 +314,7 @@ def test_updates_fold_and_deletes_show_up(spark, folder):
         paths(folder)[0],
         folder + "/folded",
         upto=1,
-        fold=lambda rows: ops.replacing_merge(rows, ["id"], "updated_at", ["batch_seq"]),
+        fold=lambda rows: ops.replacing_merge(rows, ["id"], "updated_at", ["tidemark_batch"]),
     )
     assert n == 2 and bag(sources.read_target(spark, folder + "/folded")) == bag(latest)
 
@@ -322,10 +323,12 @@ def test_a_source_by_month_is_pruned(spark, folder):
     source = f"{folder}/source"
     rows = [(i, i * 3, "a") for i in range(60)]
     sources.write_batch(table(spark, rows), source, 0, "updated_at")
-    df = sources.read_target(spark, source, keep_layout=True).drop("batch_seq")
-    spec = replace(SPEC, month_column="yyyymm")
-    bounded = ops.in_range(df, "updated_at", "2024-03-10", "2024-04-05", "yyyymm")
+    df = sources.read_target(spark, source, keep_layout=True).drop("tidemark_batch")
+    spec = replace(SPEC, month_column="tidemark_month")
+    bounded = ops.in_range(df, "updated_at", "2024-03-10", "2024-04-05", "tidemark_month")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     plan = bounded._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert ">= 202403" in plan.split("PartitionFilters")[1] and "<= 202404" in plan.split("PartitionFilters")[1]
     plans.snapshot_table(spark, df.filter("id < 20"), spec, *paths(folder))
     state = sources.load_state(spark, paths(folder)[1])["t"]
@@ -334,7 +337,7 @@ def test_a_source_by_month_is_pruned(spark, folder):
     plans.catch_up(spark, df, spec, state, *paths(folder))
     assert bag(sources.read_target(spark, paths(folder)[0])) == bag(table(spark, rows))
     assert sources.read_target(spark, paths(folder)[0], keep_layout=True).columns == [
-        "id", "updated_at", "v", "batch_seq"
+        "id", "updated_at", "v", "tidemark_batch"
     ]
 
 
@@ -364,15 +367,58 @@ def test_many_tables_one_of_them_broken(spark, folder):
     assert [(r.status, r.n_rows) for r in polled] == [("ok", 4), ("skipped", 0), ("ok", 0)]
     tables["b"] = table(spark, [(i, i, "b") for i in range(20)])
     final = plans.sync_tables(spark, read, specs, folder, batch_rows=5)
-    assert [(r.status, r.n_rows) for r in final] == [("skipped", 0), ("error", 0), ("skipped", 12)]
+    assert [(r.status, r.n_rows) for r in final] == [("skipped", 0), ("error", 0), ("ok", 12)]
     stored = sources.read_target(spark, plans.target_path(folder, "a"))
     assert ops.reconcile_counts({"a": (tables["a"], stored)}).first()["status"] == "match"
 
 
 def test_a_table_that_does_not_fit_its_target_fails_alone(spark, folder):
-    spark.range(1).write.parquet(f"{folder}/a/batch_seq=0")
+    spark.range(1).write.parquet(f"{folder}/a/tidemark_batch=0")
     results = plans.copy_tables(
         spark, lambda name: table(spark, [(1, 1, "x")]), [TableSpec("a"), TableSpec("b")], folder
     )
     assert [r.status for r in results] == ["error", "ok"]
     assert "differ in columns" in results[0].error
+
+
+def test_resume_after_compaction_and_a_broken_plan(spark, folder):
+    """Dies in the third part, the log is compacted, and the plan of another table is only half written."""
+    rows = table(spark, [(i, i, "a") for i in range(40)])
+    specs = [replace(SPEC, name="a", parts=4), replace(SPEC, name="b", parts=4)]
+    log = plans.state_path(folder)
+
+    def dies(part):
+        if part == 2:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        plans.snapshot_in_parts(spark, rows, specs[0], plans.target_path(folder, "a"), log, before_part=dies)
+    os.makedirs(f"{log}_plans/b")
+    results = plans.sync_tables(spark, lambda _: rows, specs, folder)
+    assert [(r.status, r.n_rows) for r in results] == [("ok", 40), ("ok", 40)]
+    state = sources.load_state(spark, log)
+    assert {s.synced_rows for s in state.values()} == {40} and all(s.initial_sync_complete for s in state.values())
+    assert bag(sources.read_target(spark, plans.target_path(folder, "a"))) == bag(rows)
+
+
+def test_a_changed_source_is_an_error_of_its_table_alone(spark, folder):
+    tables = {"a": table(spark, [(i, i, "a") for i in range(5)]), "b": table(spark, [(i, i, "b") for i in range(5)])}
+    specs = [replace(SPEC, name=n) for n in tables]
+    plans.copy_tables(spark, tables.get, specs, folder)
+    longer = {n: table(spark, [(i, i, n) for i in range(9)]) for n in tables}
+    for changed in (longer["a"].withColumn("more", F.lit(1)), longer["a"].withColumn("v", F.lit(1)), longer["a"].withColumn("tidemark_batch", F.lit(1))):
+        results = plans.sync_tables(spark, ({"a": changed, "b": longer["b"]}).get, specs, folder)
+        assert [r.status for r in results][0] == "error"
+        assert sources.read_target(spark, plans.target_path(folder, "a")).count() == 5
+        assert sources.read_target(spark, plans.target_path(folder, "b")).count() == 9
+
+
+def test_late_rows_come_with_a_poll(spark, folder):
+    target, log = paths(folder)
+    all_rows = table(spark, [(i, i, "a") for i in range(30)])
+    plans.snapshot_table(spark, all_rows.filter("id % 5 <> 2"), SPEC, target, log)
+    state = sources.load_state(spark, log)["t"]
+    state = plans.add_late_rows(spark, all_rows, SPEC, state, target, log, ["id"], "1000 days")
+    assert bag(sources.read_target(spark, target)) == bag(all_rows)
+    again = plans.add_late_rows(spark, all_rows, SPEC, state, target, log, ["id"], "1000 days")
+    assert again == state == sources.load_state(spark, log)["t"]

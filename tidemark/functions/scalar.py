@@ -23,14 +23,22 @@ def is_blank(line: str | Column) -> Column:
 
 
 def json_is_bad(line: str | Column) -> Column:
-    """True for a non-blank line that is not one JSON value.
+    """True for a non-blank line that is not one JSON value and nothing else."""
+    line = F.col(line) if isinstance(line, str) else line
+    return ~is_blank(line) & json_value(line).isNull()
+
+
+def json_value(line: str | Column) -> Column:
+    """The line as a variant; NULL unless the whole line is one JSON value.
 
-    The parser stops after the first value, so an object must also end the line.
+    The parser stops after the first value and ignores the rest. So the line is
+    parsed as the element of an array and as the field of an object: what
+    follows a value may close the one or go on in it, but never in both.
     """
     line = F.col(line) if isinstance(line, str) else line
-    trimmed = F.regexp_replace(line, r"^\s+|\s+$", "")
-    cut_off = trimmed.startswith("{") & ~trimmed.endswith("}")
-    return ~is_blank(line) & (F.try_parse_json(line).isNull() | cut_off)
+    in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), line, F.lit("}")))
+    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
 
 
 def json_field(line: str | Column, field: str, type_name: str = "string") -> Column:
@@ -38,9 +46,12 @@ def json_field(line: str | Column, field: str, type_name: str = "string") -> Col
 
     Booleans, nulls, arrays and objects are never values, even for strings.
     """
-    line = F.col(line) if isinstance(line, str) else line
-    value = F.try_variant_get(F.try_parse_json(line), f'$["{field}"]', "variant")
-    kind = F.schema_of_variant(value)
+    return field_of(json_value(line), field, type_name)
+
+
+def field_of(parsed: Column, field: str, type_name: str = "string") -> Column:
+    """The same of a line that :func:`json_value` has parsed."""
+    path = f'$["{field}"]'
+    kind = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
     scalar = F.regexp_like(kind, F.lit(r"^(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT)"))
-    text = F.try_variant_get(F.try_parse_json(line), f'$["{field}"]', "string")
-    return F.when(scalar & ~json_is_bad(line), text).try_cast(type_name)
+    return F.when(scalar, F.try_variant_get(parsed, path, "string")).try_cast(type_name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,7 +20,7 @@ _USER_INFO = r"""(://[^/?#@:\s"'<>]*:)[^/?#\s"'<>]*@"""
 
 
 def _key_value(keys: Iterable[str]) -> str:
-    return f"((?:{'|'.join(keys)})=)[^{VALUE_END}]*"
+    return f"((?:{'|'.join(map(re.escape, keys))})=)[^{VALUE_END}]*"
 
 
 def redact(text: str | Column, keys: Sequence[str] = SECRET_KEYS) -> Column:
@@ -56,6 +57,12 @@ def _percent_decode(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(literal, F.lit("+"), F.lit("%2B"))), text)
 
 
+def _port(text: Column) -> Column:
+    """A 16-bit number; anything larger is no port."""
+    port = text.try_cast("int")
+    return F.when(port <= 65535, port)
+
+
 def split_url(url: str | Column, scheme: str | None = None) -> Column:
     """A struct with the parts of a URL and ``error``, the first part missing.
 
@@ -72,7 +79,7 @@ def split_url(url: str | Column, scheme: str | None = None) -> Column:
         "user": _group(user_info, r"^([^:]*)"),
         "password": _percent_decode(_group(user_info, r"^[^:]*:(.*)$")),
         "host": _group(host_port, r"^(\[[^\]]*\]|[^:]*)"),
-        "port": _group(host_port, r":([0-9]+)$").try_cast("int"),
+        "port": _port(_group(host_port, r":([0-9]+)$")),
         "path": _group(url, r"^[^:/?#]+://[^/?#]*([^?#]*)"),
         "query": _group(url, r"^[^?#]*\?([^#]*)"),
     }

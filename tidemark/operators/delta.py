@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import month_number
-from tidemark.operators.ordering import key_positions
+from tidemark.operators.ordering import key_positions, page
 from tidemark.types import MAX_GATHER_ROWS, as_text, is_datetime, typed_literal
 
 
@@ -25,15 +25,15 @@ def in_range(
     dtype = df.schema[column].dataType
     if month_column is not None and not is_datetime(dtype):
         raise ValueError(f"{column} has no month to prune by")
-    keep: Column = F.col(column).isNotNull()
+    keep: Column = F.col(f"`{column}`").isNotNull()
     if after is not None:
         low = typed_literal(after, dtype)
-        keep = keep & (F.col(column) > low)
+        keep = keep & (F.col(f"`{column}`") > low)
         if month_column is not None:
             keep = keep & (F.col(month_column) >= month_number(low))
     if upto is not None:
         high = typed_literal(upto, dtype)
-        keep = keep & (F.col(column) <= high)
+        keep = keep & (F.col(f"`{column}`") <= high)
         if month_column is not None:
             keep = keep & (F.col(month_column) <= month_number(high))
     return df.filter(keep)
@@ -52,24 +52,24 @@ def read_cut(
     Reads the watermark column only. The usual small backlog is one aggregate;
     a long one is cut by a top-k if that is small, else from key positions.
     """
-    new = newer_than(df, column, after, month_column).select(column)
+    new = newer_than(df, column, after, month_column).select(f"`{column}`")
     dtype = df.schema[column].dataType
 
     def text(row: DataFrame) -> str | None:
         return row.select(as_text("cut", dtype).alias("cut")).first()["cut"]
 
     def top() -> DataFrame:
-        return new.orderBy(column).limit(limit).agg(F.max(column).alias("cut"))
+        return new.orderBy(f"`{column}`").limit(limit).agg(F.max(f"`{column}`").alias("cut"))
 
-    if limit * 100 <= max_gather:
+    if limit <= max_gather and limit * new.rdd.getNumPartitions() <= max_gather:
         return text(top())
-    backlog = new.agg(F.count("*").alias("n"), F.max(column).alias("cut"))
+    backlog = new.agg(F.count("*").alias("n"), F.max(f"`{column}`").alias("cut"))
     backlog = backlog.select("n", as_text("cut", dtype).alias("cut")).first()
     if backlog["n"] <= limit:
         return backlog["cut"]
     if backlog["n"] <= max_gather:
         return text(top())
-    return text(key_positions(new, [column]).filter(F.col("start") < limit).agg(F.max(column).alias("cut")))
+    return text(key_positions(new, [column]).filter(F.col("start") < limit).agg(F.max(f"`{column}`").alias("cut")))
 
 
 def tie_safe_batch(
@@ -91,11 +91,11 @@ def strict_batch(
 ) -> DataFrame:
     """The first ``limit`` rows above the watermark, in order.
 
-    A batch may end inside a group of equal watermarks, whose rest the next
-    strict read skips: only for columns without ties. Cutting the range first
-    leaves the top-k little more than the rows it returns.
+    Only for columns without ties, as the next strict read skips the rest of a
+    group of equal watermarks: ``tiebreak`` decides which of them come, and the
+    whole key must be unique where the batch ends. No task gathers the rows.
     """
-    return tie_safe_batch(df, column, after, limit, max_gather).orderBy(column, *tiebreak).limit(limit)
+    return page(tie_safe_batch(df, column, after, limit, max_gather), [column, *tiebreak], 0, limit, max_gather)
 
 
 def batch_stats(batch: DataFrame, column: str, previous: object = None) -> DataFrame:

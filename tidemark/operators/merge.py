@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def replacing_merge(
@@ -65,22 +65,24 @@ def versioned_collapse(
 
 
 def summing_merge(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], scale: int = 4, drop_zero: bool = True
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], drop_zero: bool = True
 ) -> DataFrame:
     """Per key the sums of the named columns and ``n_rows``; all-zero rows are dropped.
 
-    Fractions are added as decimals: a sum must not depend on the order in which
-    tasks finish.
+    Nothing is rounded and every sum has the type of its column: integers and
+    decimals are added exactly, as decimals, and a sum that its type cannot hold
+    is an error; doubles and floats are plain double sums, whose last digits may
+    depend on the order of the rows. The zero rule looks at those sums.
     """
 
-    def addend(name: str) -> Column:
-        if df.schema[name].dataType.simpleString() in ("double", "float"):
-            return F.col(name).cast(f"decimal(38,{scale})")
-        return F.col(name)
+    def total(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.sum(name).cast(kind)
+        exact = F.col(name) if isinstance(kind, T.DecimalType) else F.col(name).cast("decimal(28,0)")
+        return F.sum(exact).cast(kind)
 
-    summed = df.groupBy(*keys).agg(
-        *(F.sum(addend(c)).alias(c) for c in columns), F.count("*").alias("n_rows")
-    )
+    summed = df.groupBy(*keys).agg(*(total(c).alias(c) for c in columns), F.count("*").alias("n_rows"))
     if not drop_zero:
         return summed
     all_zero = F.lit(True)

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.operators.ordering import page
-from tidemark.types import MAX_GATHER_ROWS, TIMESTAMP_OPTIONS, fits_one_task
+from tidemark.operators.ordering import last_rows
+from tidemark.session import scratch_path
+from tidemark.types import MAX_BROADCAST_ROWS, MAX_GATHER_ROWS, TIMESTAMP_OPTIONS
 
 # How many copies of one row a task writes out at a time.
 COPIES_PER_PIECE = 10_000
@@ -20,8 +21,9 @@ def tail_by_count(
     """Source rows placed after the target's row count, in key order.
 
     Only right if new rows sort last; :func:`missing_rows` has no such
-    condition. The tail is a top-k from the far end, so its cost follows the
-    number of new rows and not the offset.
+    condition. The end of the tail is looked up from the far end, so its cost
+    follows the number of new rows and not the offset. A tail that would cut a
+    group of equal keys is an error.
     """
     if not keys:
         raise ValueError("a tail needs an order key")
@@ -30,9 +32,7 @@ def tail_by_count(
     new = n["src"] - n["dst"]
     if new <= 0:
         return source.filter(F.lit(False))
-    if fits_one_task(new, lambda: n["src"], max_gather):
-        return source.orderBy(*(F.desc(k) for k in keys)).limit(new)
-    return page(source, keys, n["dst"], new, max_gather)
+    return last_rows(source, keys, n["src"], new, max_gather)
 
 
 def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False) -> DataFrame:
@@ -47,7 +47,14 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
     target = target.select(*(f"`{c}`" for c in source.columns))
     if not by_digest:
         return _except_all(source, target)
-    suspects = _uneven_digests(source, target)
+    spark, path = source.sparkSession, scratch_path(source.sparkSession, "suspects")
+    _uneven_digests(source, target).write.parquet(path)
+    suspects = spark.read.parquet(path)
+    n_suspects = suspects.count()
+    if n_suspects == 0:
+        return source.filter(F.lit(False))
+    if n_suspects <= MAX_BROADCAST_ROWS:  # 16 bytes each: whole rows that agree are never shuffled
+        suspects = F.broadcast(suspects)
 
     def suspected(df: DataFrame) -> DataFrame:
         digested = df.withColumns(dict(zip(DIGEST, _digest(df))))

@@ -25,8 +25,8 @@ def key_positions(df: DataFrame, keys: Sequence[str], partitions: int | None = N
     places keys must see the same ranges, also when executors are lost.
     """
     scratch_root(df.sparkSession)
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    by_range = [partitions, *keys] if partitions else list(keys)
+    counts = df.groupBy(*_quoted(keys)).agg(F.count("*").alias("n_rows"))
+    by_range = [partitions, *_quoted(keys)] if partitions else _quoted(keys)
     ranges = (
         counts.repartitionByRange(*by_range)
         .withColumn("_range", F.spark_partition_id())
@@ -37,12 +37,12 @@ def key_positions(df: DataFrame, keys: Sequence[str], partitions: int | None = N
     sizes = [totals.get(i, 0) for i in range(max(totals, default=0) + 1)]
     before = F.lit([0, *accumulate(sizes)][: len(sizes)]).cast("array<bigint>")
     running = F.sum("n_rows").over(
-        Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_range").orderBy(*_quoted(keys)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         ranges.withColumn("stop", F.element_at(before, F.col("_range") + 1) + running)
         .withColumn("start", F.col("stop") - F.col("n_rows"))
-        .select(*keys, "n_rows", "start", "stop")
+        .select(*_quoted(keys), "n_rows", "start", "stop")
     )
 
 
@@ -78,26 +78,76 @@ def tie_safe_batches(df: DataFrame, column: str, batch_rows: int) -> DataFrame:
 def page(
     df: DataFrame, keys: Sequence[str], offset: int, limit: int, max_gather: int = MAX_GATHER_ROWS
 ) -> DataFrame:
-    """``ORDER BY keys LIMIT limit OFFSET offset``; the keys must order rows totally.
+    """``ORDER BY keys LIMIT limit OFFSET offset``, sorted; the keys must order rows totally at both ends.
 
-    Deep pages are cut out by their first and last key and stay distributed
-    (as a set of rows, not sorted); shallow ones are a plain top-k.
+    Only the first and last key are looked up: from a top-k of keys if every
+    task may send what it would keep, else from key positions (count per key,
+    range shuffle, checkpoint). The page itself is a range filter and a
+    distributed sort. A page that would cut a group of equal keys is an error,
+    whatever its size.
     """
     if not keys:
         raise ValueError("paging needs an order key")
-    if fits_one_task(offset + limit, df.count, max_gather):
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    key = F.struct(*keys)
+    if limit <= 0:
+        return df.filter(F.lit(False))
+    if fits_one_task(df, offset + limit + 1, max_gather):
+        ends = _ends_by_top(df.select(*_quoted(keys)), keys, offset, limit)
+    else:
+        ends = _ends_by_position(df, keys, offset, limit)
+    if ends is None:
+        return df.filter(F.lit(False))
+    return df.filter(_keys_between(df, keys, *ends)).orderBy(*_quoted(keys))
+
+
+def last_rows(df: DataFrame, keys: Sequence[str], n_rows: int, count: int, max_gather: int = MAX_GATHER_ROWS) -> DataFrame:
+    """The last of ``n_rows`` rows in key order, ``count`` of them, sorted: a page found from the far end if that is nearer."""
+    if count <= 0:
+        return df.filter(F.lit(False))
+    if not fits_one_task(df, count + 1, max_gather):
+        return page(df, keys, n_rows - count, count, max_gather)
+    ends = _ends_by_top(df.select(*_quoted(keys)), keys, 0, count, descending=True)
+    return df.filter(_keys_between(df, keys, *ends)).orderBy(*_quoted(keys)) if ends else df.filter(F.lit(False))
+
+
+def _quoted(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{k}`") for k in keys]
+
+
+def _cut_error(keys: Sequence[str]) -> ValueError:
+    return ValueError(f"the page cuts a group of equal {list(keys)}: add a tie-breaking key")
+
+
+def _ends_by_top(df: DataFrame, keys: Sequence[str], offset: int, limit: int, descending: bool = False):
+    """First and last key of a page as texts, from the top keys; one key beyond either end shows a cut group."""
+    way = [c.desc_nulls_last() if descending else c.asc_nulls_first() for c in _quoted(keys)]
+    top = df.orderBy(*way).limit(offset + limit + 1)
+    place = F.row_number().over(Window.orderBy(*way)) - 1
+    wanted = [p for p in (offset - 1, offset, offset + limit - 1, offset + limit) if p >= 0]
+    texts = F.array(*(as_text(F.col(f"`{k}`"), df.schema[k].dataType) for k in keys))
+    numbered = top.select(texts.alias("texts"), place.alias("place"))
+    last = F.max("place").over(Window.partitionBy())
+    found = {r["place"]: r["texts"] for r in numbered.select("*", last.alias("last")).filter(F.col("place").isin(wanted) | (F.col("place") == F.col("last"))).collect()}
+    if offset not in found:
+        return None
+    end = min(offset + limit - 1, max(found))
+    for inner, outer in ((offset, offset - 1), (end, end + 1)):
+        if outer in found and found[inner] == found[outer]:
+            raise _cut_error(keys)
+    return (found[end], found[offset]) if descending else (found[offset], found[end])
+
+
+def _ends_by_position(df: DataFrame, keys: Sequence[str], offset: int, limit: int):
+    key = F.struct(*_quoted(keys))
     inside = key_positions(df, keys).filter((F.col("start") < offset + limit) & (F.col("stop") > offset))
     ends = inside.agg(
         F.min(key).alias("lo"), F.max(key).alias("hi"), F.min("start").alias("start"), F.max("stop").alias("stop")
     )
     row = ends.select(_texts(df, keys, "lo"), _texts(df, keys, "hi"), "start", "stop").first()
     if row["start"] is None:
-        return df.filter(F.lit(False))
+        return None
     if row["start"] < offset or row["stop"] > offset + limit:
-        raise ValueError(f"the page cuts a group of equal {list(keys)}: add a tie-breaking key")
-    return df.filter(_keys_between(df, keys, row["lo"], row["hi"]))
+        raise _cut_error(keys)
+    return row["lo"], row["hi"]
 
 
 def _texts(df: DataFrame, keys: Sequence[str], end: str) -> Column:
@@ -108,8 +158,8 @@ def _keys_between(df: DataFrame, keys: Sequence[str], lo: Sequence, hi: Sequence
     """``lo <= keys <= hi``; the bound on the first key alone also reaches the scan."""
     low = [typed_literal(v, df.schema[k].dataType).alias(k) for k, v in zip(keys, lo)]
     high = [typed_literal(v, df.schema[k].dataType).alias(k) for k, v in zip(keys, hi)]
-    key = F.struct(*keys)
+    key = F.struct(*_quoted(keys))
     within = (key >= F.struct(*low)) & (key <= F.struct(*high))
     if lo[0] is not None:
-        within = F.col(keys[0]).between(low[0], high[0]) & within
+        within = F.col(f"`{keys[0]}`").between(low[0], high[0]) & within
     return within

@@ -126,42 +126,48 @@ def watermark_profile(df: DataFrame, columns: Sequence[str], exact: bool = True)
     tie-safe batch may overshoot. ``exact=False`` needs no shuffle of values,
     estimates the distinct count and leaves ``largest_tie`` NULL.
     """
-    parts = []
-    for name in columns:
-        dtype = df.schema[name].dataType
-        value = F.col(name)
-        if exact:
-            counted = df.groupBy(value.alias("v")).agg(F.count("*").alias("n"))
-            known = F.col("v").isNotNull()
-            profile = counted.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_null"),
-                F.count("v").alias("n_distinct"),
-                F.min("v").alias("lo"),
-                F.max("v").alias("hi"),
-                F.max(F.when(known, F.col("n"))).alias("largest_tie"),
-            )
-        else:
-            profile = df.agg(
+    kinds = [df.schema[name].dataType for name in columns]
+    cells = [
+        F.struct(F.lit(i).alias("i"), *(F.col(f"`{n}`").alias(f"v{i}") if i == j else F.lit(None).cast(k).alias(f"v{j}") for j, k in enumerate(kinds)))
+        for i, n in enumerate(columns)
+    ]
+    if exact:
+        # one scan: a row per cell, with the value in the place of its column and its own type
+        values = [f"v{j}" for j in range(len(kinds))]
+        unpivoted = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        counted = unpivoted.groupBy("i", *values).agg(F.count("*").alias("n"))
+        known = F.coalesce(*(F.when(F.col(v).isNotNull(), True) for v in values), F.lit(False))
+        whole = counted.groupBy("i").agg(
+            F.sum("n").alias("n_rows"),
+            F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("n_null"),
+            F.count_if(known).alias("n_distinct"),
+            *(F.min(v).alias(f"lo{j}") for j, v in enumerate(values)),
+            *(F.max(v).alias(f"hi{j}") for j, v in enumerate(values)),
+            F.max(F.when(known, F.col("n"))).alias("largest_tie"),
+        )
+        lo, hi = (F.coalesce(*(as_text(f"{end}{j}", k) for j, k in enumerate(kinds))) for end in ("lo", "hi"))
+        names = F.array(*map(F.lit, columns))
+        found = whole.select(F.get(names, F.col("i")).alias("column"), "n_rows", "n_null", "n_distinct", lo.alias("min_value"), hi.alias("max_value"), "largest_tie")
+        every = df.sparkSession.createDataFrame([(n,) for n in columns], "column string")  # also those of an empty table
+        none = F.lit(0).cast("bigint")
+        return every.join(found, "column", "left").select(
+            "column", *(F.coalesce(c, none).alias(c) for c in ("n_rows", "n_null", "n_distinct")), "min_value", "max_value", "largest_tie"
+        )
+    measures = []
+    for i, (name, kind) in enumerate(zip(columns, kinds)):
+        value = F.col(f"`{name}`")
+        measures.append(
+            F.struct(
+                F.lit(name).alias("column"),
                 F.count("*").alias("n_rows"),
                 F.count_if(value.isNull()).alias("n_null"),
                 F.approx_count_distinct(value).alias("n_distinct"),
-                F.min(value).alias("lo"),
-                F.max(value).alias("hi"),
+                as_text(F.min(value), kind).alias("min_value"),
+                as_text(F.max(value), kind).alias("max_value"),
                 F.lit(None).cast("bigint").alias("largest_tie"),
             )
-        parts.append(
-            profile.select(
-                F.lit(name).alias("column"),
-                "n_rows",
-                "n_null",
-                "n_distinct",
-                as_text("lo", dtype).alias("min_value"),
-                as_text("hi", dtype).alias("max_value"),
-                "largest_tie",
-            )
         )
-    return union_all(parts)
+    return df.agg(F.array(*measures).alias("m")).select(F.inline("m"))
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

@@ -1,4 +1,4 @@
-from tidemark.plans.incremental import catch_up, drain, late_rows, poll_once, poll_table, recover, store
+from tidemark.plans.incremental import add_late_rows, catch_up, drain, late_rows, poll_once, poll_table, recover, store
 from tidemark.plans.replicate import (
     copy_tables,
     drain_cycle,
@@ -18,6 +18,7 @@ from tidemark.plans.snapshot import (
 )
 
 __all__ = [
+    "add_late_rows",
     "CopyResult",
     "catch_up",
     "copy_tables",

@@ -14,6 +14,8 @@ from tidemark.operators.watermark import read_max
 from tidemark.plans.snapshot import table_watermark
 from tidemark.sources.state import append_state, append_state_rows
 from tidemark.sources.target import (
+    BATCH_COLUMN,
+    check_target,
     discard_uncommitted,
     read_target,
     target_schema,
@@ -63,6 +65,7 @@ def store(
     spark: SparkSession, rows: DataFrame, spec: TableSpec, state: TableState, target: str, state_path: str
 ) -> TableState:
     """Data first, state second: a crash in between replays the same partition."""
+    check_target(rows, target)
     n_rows = write_batch(rows, target, state.batch_seq, spec.month_of, spec.sort_key)
     saved = replace(state, synced_rows=state.synced_rows + n_rows)
     append_state(spark, state_path, [saved])
@@ -90,6 +93,7 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
     """Without a watermark: rows the target lacks, or on request those after its count."""
     check_watermark(state, Watermark("count"))
     source = project(df, spec.withheld)
+    check_target(source, target)
     # an earlier write of this batch that was never recorded does not count as stored
     if target_schema(spark, target) is None:  # an empty copy may have left no file
         stored = source.filter(F.lit(False))
@@ -100,6 +104,7 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
         rows = project(kept, spec.withheld)
     else:
         rows = missing_rows(source, stored)
+    check_target(rows, target)
     seq = state.batch_seq + 1
     n_rows = write_batch(rows, target, seq, spec.month_of, spec.sort_key)
     if n_rows == 0:
@@ -140,21 +145,22 @@ def drain(
     new = newer_than(df, column, state.watermark_value, spec.month_column).select(column)
     if new.isEmpty():
         return state
+    check_target(project(df, spec.withheld), target)
     recover(spark, df, spec, state, target)
     seq = F.lit(state.batch_seq + 1) + F.expr(f"start div {batch_rows}")
-    values = key_positions(new, [column]).select(column, seq.alias("batch_seq"), "stop")
-    ends = values.groupBy("batch_seq").agg(
-        F.max(column).alias("hi"), F.max("stop").alias("stop"), F.count("*").alias("n_values")
+    values = key_positions(new, [column]).select(f"`{column}`", seq.alias(BATCH_COLUMN), "stop")
+    ends = values.groupBy(F.col(BATCH_COLUMN).alias("batch_seq")).agg(
+        F.max(f"`{column}`").alias("hi"), F.max("stop").alias("stop"), F.count("*").alias("n_values")
     )
     last = ends.select(
         F.max("batch_seq").alias("seq"), as_text(F.max("hi"), dtype).alias("hi"), F.sum("n_values").alias("n_values")
     ).first()
     rows = in_range(df, column, state.watermark_value, last["hi"], spec.month_column)
-    lookup = values.select(column, "batch_seq")
+    lookup = values.select(f"`{column}`", BATCH_COLUMN)
     if last["n_values"] <= MAX_BROADCAST_ROWS:
         lookup = F.broadcast(lookup)
     placed = rows.join(lookup, column, "left").select(
-        *(f"`{c}`" for c in df.columns), F.coalesce("batch_seq", F.lit(last["seq"])).alias("batch_seq")
+        *(f"`{c}`" for c in df.columns), F.coalesce(BATCH_COLUMN, F.lit(last["seq"])).alias(BATCH_COLUMN)
     )
     n_rows = write_batches(project(placed, spec.withheld), target, spec.month_of, spec.sort_key)
     final = replace(
@@ -195,6 +201,32 @@ def catch_up(
     return store(spark, rows, spec, moved, target, state_path)
 
 
+def add_late_rows(
+    spark: SparkSession,
+    df: DataFrame,
+    spec: TableSpec,
+    state: TableState,
+    target: str,
+    state_path: str,
+    keys: list[str],
+    lookback: str,
+) -> TableState:
+    """Store rows that arrived below the saved watermark as a batch of their own; the watermark stays.
+
+    For before a poll or drain, as often as the source's lateness asks for.
+    Only rows within ``lookback`` of the watermark are compared.
+    """
+    watermark = table_watermark(df, spec)
+    check_watermark(state, watermark)
+    if watermark.by_count or state.watermark_value is None or target_schema(spark, target) is None:
+        return state
+    stored = read_target(spark, target, upto=state.batch_seq)
+    late = project(late_rows(df, stored, watermark.column, keys, lookback, state.watermark_value), spec.withheld)
+    if late.isEmpty():
+        return state
+    return store(spark, late, spec, replace(state, batch_seq=state.batch_seq + 1), target, state_path)
+
+
 def late_rows(
     df: DataFrame, target: DataFrame, column: str, keys: list[str], lookback: str, upto: str
 ) -> DataFrame:

@@ -91,12 +91,13 @@ def sync_tables(
     totals = {r.table: r for r in results}
     active = [s for s in specs if totals[s.name].status != "error"]
     while active:
-        drained = drain_cycle(spark, read, active, root, batch_rows, workers)
-        for r in drained:
+        followed = drain_cycle(spark, read, active, root, batch_rows, workers)
+        for r in followed:
             last = totals[r.table]
-            status = r.status if r.status == "error" else last.status
+            drained = last.status == "skipped" and r.n_rows
+            status = r.status if r.status == "error" or drained else last.status
             totals[r.table] = CopyResult(r.table, status, last.n_rows + r.n_rows, r.error)
-        moving = {r.table for r in drained if r.status == "ok" and r.n_rows}
+        moving = {r.table for r in followed if r.status == "ok" and r.n_rows}
         active = [s for s in active if s.name in moving]
     return [totals[s.name] for s in specs]
 

@@ -13,13 +13,12 @@ from tidemark.operators.ordering import tie_safe_batches
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import choose, read_max
 from tidemark.session import path_exists
-from tidemark.sources.state import append_state, load_state, pending_batches, read_state_log, state_of
+from tidemark.sources.state import append_state, load_state, state_of
 from tidemark.sources.target import (
     BATCH_COLUMN,
     MONTH_COLUMN,
-    check_schema,
+    check_target,
     read_target,
-    target_schema,
     write_batch,
 )
 from tidemark.types import TableSpec, TableState, Watermark, as_text, typed_literal
@@ -64,43 +63,47 @@ def snapshot_table(
     watermark = table_watermark(df, spec)
     upto = None if watermark.by_count else read_max(df, watermark.column)
     rows = project(snapshot_rows(df, watermark, upto), spec.withheld)
-    existing = target_schema(spark, target)
-    if existing is not None:
-        check_schema(rows, existing)
+    check_target(rows, target)
     n_rows = write_batch(rows, target, 0, spec.month_of, spec.sort_key)
     append_state(spark, state_path, [TableState(spec.name, n_rows, True, watermark.column, upto, 0)])
-    stored = read_target(spark, target, keep_layout=True).filter("batch_seq = 0").count() if n_rows else 0
+    stored = read_target(spark, target, keep_layout=True).filter(F.col(BATCH_COLUMN) == 0).count() if n_rows else 0
     return CopyResult(spec.name, "ok" if stored >= n_rows else "target_short", n_rows)
 
 
 def snapshot_in_parts(
-    spark: SparkSession, df: DataFrame, spec: TableSpec, target: str, state_path: str
+    spark: SparkSession,
+    df: DataFrame,
+    spec: TableSpec,
+    target: str,
+    state_path: str,
+    before_part: Callable[[int], object] | None = None,
 ) -> CopyResult:
     """The same copy in ``spec.parts`` watermark ranges, each stored and recorded by itself.
 
-    A run that is interrupted goes on with the parts the log does not hold: the
-    ranges are planned once, below the state folder, and kept. Parts are whole tie
+    A run that is interrupted goes on after the last part of its saved state,
+    which a compacted log still holds: parts are stored in order, and the ranges
+    are planned once, below the state folder, and kept. Parts are whole tie
     groups of about equal size; rows without a watermark are in the first.
+    ``before_part`` is told the number of each part before it is read.
     """
     watermark = table_watermark(df, spec)
     if watermark.by_count:
         return snapshot_table(spark, df, spec, target, state_path)
     plan_path = f"{state_path}_plans/{quote(spec.name, safe='')}"
-    if not path_exists(spark, plan_path):
-        _plan_parts(df, watermark.column, spec.parts).write.parquet(plan_path)
+    if not path_exists(spark, f"{plan_path}/_SUCCESS"):  # a plan whose write died is made again
+        _plan_parts(df, watermark.column, spec.parts).write.mode("overwrite").parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    log = read_state_log(spark, state_path)
     state = state_of(load_state(spark, state_path), spec.name)
-    existing = target_schema(spark, target)
+    check_target(project(df, spec.withheld), target)
     last = plan.agg(F.max("batch_seq")).first()[0]
     # one row per part
-    for part in pending_batches(plan, log, spec.name).orderBy("batch_seq").collect():
+    for part in plan.filter(F.col("batch_seq") > state.batch_seq).orderBy("batch_seq").collect():
         rows = in_range(df, watermark.column, part["after"], part["upto"], spec.month_column)
+        if before_part is not None:
+            before_part(part["batch_seq"])
         if part["batch_seq"] == 0:
             rows = snapshot_rows(df, watermark, part["upto"])
         rows = project(rows, spec.withheld)
-        if existing is not None:
-            check_schema(rows, existing)
         n_rows = write_batch(rows, target, part["batch_seq"], spec.month_of, spec.sort_key)
         state = TableState(
             spec.name,
@@ -143,7 +146,7 @@ def fold_target(
 ) -> int:
     """Rewrite the committed batches of a target into one at a new path, folded on the way.
 
-    ``fold`` gets the rows with their ``batch_seq``, the arrival order that merges
+    ``fold`` gets the rows with their batch number, the arrival order that merges
     need. A table cannot be read and overwritten in one job, hence the new path.
     """
     rows = fold(read_target(spark, target, keep_layout=True, upto=upto))

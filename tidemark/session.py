@@ -63,6 +63,23 @@ def delete_files(spark: SparkSession, files: Iterable[str]) -> None:
         fs.delete(hadoop_path, False)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what a folder holds."""
+    fs, hadoop_path = _file_system(spark, path)
+    return [status.getPath().toString() for status in fs.listStatus(hadoop_path)]
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all files below a folder but hidden ones."""
+    fs, hadoop_path = _file_system(spark, path)
+    found, each = [], fs.listFiles(hadoop_path, True)
+    while each.hasNext():
+        file = each.next().getPath()
+        if not file.getName().startswith((".", "_")):
+            found.append(file.toString())
+    return found
+
+
 def _file_system(spark: SparkSession, path: str):
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,6 +19,7 @@ from tidemark.sources.state import (
 from tidemark.sources.tables import file_reader, list_tables, table_reader
 from tidemark.sources.target import (
     check_schema,
+    check_target,
     discard_uncommitted,
     month_layout,
     read_target,
@@ -33,6 +34,7 @@ __all__ = [
     "append_state",
     "append_state_rows",
     "check_schema",
+    "check_target",
     "compact_state_log",
     "count_bad_lines",
     "discard_uncommitted",

@@ -8,10 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalar import month_number
-from tidemark.session import path_exists
+from tidemark.session import delete_files, list_files, list_folder, path_exists
 
-BATCH_COLUMN = "batch_seq"
-MONTH_COLUMN = "yyyymm"
+# Names that no source should hold; a table that does is refused before anything is written.
+BATCH_COLUMN = "tidemark_batch"
+MONTH_COLUMN = "tidemark_month"
 
 
 def month_layout(df: DataFrame, date_column: str, sort_key: Sequence[str] = ()) -> DataFrame:
@@ -36,6 +37,21 @@ def check_schema(df: DataFrame, target: T.StructType) -> None:
         raise ValueError(f"source and target differ in columns {odd}")
 
 
+def check_names(df: DataFrame) -> None:
+    """The layout's own columns must not come from the source: they would vanish on reading."""
+    clash = sorted(c for c in df.columns if c.lower() in (BATCH_COLUMN, MONTH_COLUMN))
+    if clash:
+        raise ValueError(f"the target keeps its layout in columns {clash}: rename or exclude them")
+
+
+def check_target(df: DataFrame, path: str) -> None:
+    """Before every write: free names, and the schema of what is already stored."""
+    check_names(df)
+    existing = target_schema(df.sparkSession, path)
+    if existing is not None:
+        check_schema(df, existing)
+
+
 def target_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The schema of an existing target, from one footer; None if there is none."""
     if not path_exists(spark, path):
@@ -71,7 +87,7 @@ def write_batch(
 def write_batches(
     df: DataFrame, path: str, month_of: str | None = None, sort_key: Sequence[str] = ()
 ) -> int:
-    """Write all batches of ``df``, told apart by its ``batch_seq``, in one job.
+    """Write all batches of ``df``, told apart by its column BATCH_COLUMN, in one job.
 
     Only the batches in ``df`` are replaced. As in :func:`month_layout`, the rows
     of a batch come together and adaptive execution splits a batch that is too
@@ -95,19 +111,22 @@ def _write_counted(rows: DataFrame, path: str, layout: Sequence[str], overwrite:
 def discard_uncommitted(
     df: DataFrame, path: str, last_seq: int, month_of: str | None = None, sort_key: Sequence[str] = ()
 ) -> list[int]:
-    """Empty the batches above the last one the state log knows; for a restart.
+    """Delete the files of batches above the last one the state log knows; for a restart.
 
-    A run that died between data and state may have left them. Partition pruning
-    opens none of the committed files. ``df`` gives the schema.
+    A run that died between data and state may have left them. Their files are
+    found by listing alone: no job runs and no committed file is opened, however
+    many batches were left. ``df`` gives the session.
     """
     spark = df.sparkSession
-    if target_schema(spark, path) is None:
+    if not path_exists(spark, path):
         return []
-    left = spark.read.parquet(path).filter(F.col(BATCH_COLUMN) > last_seq).select(BATCH_COLUMN).distinct()
-    stale = sorted(row[BATCH_COLUMN] for row in left.collect())
-    for seq in stale:
-        write_batch(df.filter(F.lit(False)), path, seq, month_of, sort_key)
-    return stale
+    stale: dict[int, list[str]] = {}
+    for folder in list_folder(spark, path):
+        name = folder.rsplit("/", 1)[-1]
+        if name.startswith(f"{BATCH_COLUMN}=") and int(name.split("=")[1]) > last_seq:
+            stale[int(name.split("=")[1])] = list_files(spark, folder)
+    delete_files(spark, (file for files in stale.values() for file in files))
+    return sorted(seq for seq, files in stale.items() if files)
 
 
 def read_target(

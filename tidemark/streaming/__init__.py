@@ -1,3 +1,3 @@
-from tidemark.streaming.follow import drop_repeats, follow, follow_in_batches, read_stream
+from tidemark.streaming.follow import derived_errors, drop_repeats, follow, follow_in_batches, read_stream
 
-__all__ = ["drop_repeats", "follow", "follow_in_batches", "read_stream"]
+__all__ = ["derived_errors", "drop_repeats", "follow", "follow_in_batches", "read_stream"]

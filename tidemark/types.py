@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Defaults that users of the replication tool rely on.
 DEFAULT_BATCH_ROWS = 300_000
@@ -73,9 +72,14 @@ class TableState:
     batch_seq: int = -1
 
 
-def fits_one_task(limit: int, count_rows: Callable[[], int], max_gather: int = MAX_GATHER_ROWS) -> bool:
-    """Whether a top-k of ``limit`` rows may end in one task; counts only if it must."""
-    return limit * 100 <= max_gather or count_rows() <= max_gather
+def fits_one_task(df: DataFrame, limit: int, max_gather: int = MAX_GATHER_ROWS) -> bool:
+    """Whether a top-k of ``limit`` rows may end in one task, which gets up to that many from every task of the scan.
+
+    The table is counted only if that bound is too large.
+    """
+    if limit > max_gather:
+        return False
+    return limit * df.rdd.getNumPartitions() <= max_gather or df.count() <= max_gather
 
 
 def is_datetime(dtype: T.DataType) -> bool:
