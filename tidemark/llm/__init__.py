@@ -5,11 +5,20 @@ import os
 from pyspark.sql import SparkSession
 
 
+#: Texts are long and may be very long: so many bytes of them go to a Python worker at a time.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def let_workers_import(spark: SparkSession) -> None:
-    """Put this library on the import path of Python workers that see the same files.
+    """Put this library on the import path of Python workers that see the same files, and bound their batches.
 
-    On a cluster without a shared install, ship it with --py-files instead.
+    On a cluster without a shared install, ship it with --py-files instead. A
+    smaller bound that the session has set stays.
     """
+    held = spark.conf.get(_BATCH_CONF).rstrip("bB")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)

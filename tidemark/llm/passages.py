@@ -33,7 +33,7 @@ REACH = K + WINDOW + 3
 BREAK = 12
 #: Shorter aligned pieces are chance.
 LEAST_PIECE = 8
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 200_000
 _SPREAD = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(K)]
 
 

@@ -37,7 +37,7 @@ SPAN = 24
 REACH = 2
 O, B, I = 0, 1, 2
 _TOKEN = re.compile(r"[\w+/.-]+|[^\s\w]")
-_TYPES = 400_000
+_TYPES = 200_000
 SIZES = (2, 4, 6, 8, 12, 16, 20, 24, 32, 64)
 _HEX_LETTERS = set("abcdef")
 _NEVER = -1e9

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+
 #: The splitters of the two vocabularies, written with Python's
 #: own classes. They agree with the originals on PLAIN characters only.
 BYTE_LEVEL_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -28,12 +30,13 @@ def held(key: str, make: Callable[[], object]):
     """What a worker keeps between tasks. One thing at a time: workers outlive the operator that filled them."""
     if key not in _HELD:
         _HELD.clear()
+        pa.default_memory_pool().release_unused()
         _HELD[key] = make()
     return _HELD[key]
 
 
 #: Words a worker remembers for good; beyond it, those of one slice at a time.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 class WordCache(dict):
