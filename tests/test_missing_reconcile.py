@@ -144,3 +144,15 @@ def test_frontier_against_brute_force(spark):
         frontier = next(p for p in range(len(done) + 1) if p not in done)
         want[key] = (frontier, sum(s > frontier for s in done))
     assert got == want
+
+
+def test_same_rows_in_any_order(spark):
+    df = spark.range(500).selectExpr("id", "IF(id % 7 = 0, null, id % 11) AS v", "array(id, null) AS a")
+    assert ops.same_rows(df, df.repartition(5, "v").select("a", "v", "id"))
+    assert not ops.same_rows(df, df.filter("id <> 250"))
+    assert not ops.same_rows(df, df.unionByName(df.limit(1)))
+    assert not ops.same_rows(df, df.withColumn("v", F.when(F.col("id") == 3, 9).otherwise(F.col("v"))))
+    assert ops.same_rows(df.limit(0), df.limit(0))
+    plan = ops.missing_rows(df, df.filter("id > 9"), by_digest=True)
+    assert "SortMergeJoin" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count() == 10

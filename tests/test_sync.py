@@ -422,3 +422,20 @@ def test_late_rows_come_with_a_poll(spark, folder):
     assert bag(sources.read_target(spark, target)) == bag(all_rows)
     again = plans.add_late_rows(spark, all_rows, SPEC, state, target, log, ["id"], "1000 days")
     assert again == state == sources.load_state(spark, log)["t"]
+
+
+def test_only_recorded_batches_are_read(spark, folder):
+    rows = table(spark, [(i, i, "a") for i in range(10)])
+    plans.copy_tables(spark, lambda _: rows, [SPEC], folder)
+    sources.write_batch(rows, plans.target_path(folder, "t"), 1)  # never recorded
+    assert plans.read_synced(spark, folder, "t").count() == 10
+    assert plans.read_synced(spark, folder, "t").columns == rows.columns
+
+
+def test_poll_cycles_keep_the_log_short(spark, folder, monkeypatch):
+    monkeypatch.setattr("tidemark.plans.replicate.LOG_FILES", 3)
+    plans.copy_tables(spark, lambda _: table(spark, [(0, 0, "a")]), [SPEC], folder)
+    for n in range(1, 8):
+        plans.poll_cycle(spark, lambda _: table(spark, [(i, i, "a") for i in range(n + 1)]), [SPEC], folder)
+    assert len(sources.read_state_log(spark, plans.state_path(folder)).inputFiles()) <= 5
+    assert plans.read_synced(spark, folder, "t").count() == 8

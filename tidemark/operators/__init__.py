@@ -13,7 +13,7 @@ from tidemark.operators.merge import (
     summing_merge,
     versioned_collapse,
 )
-from tidemark.operators.missing import missing_rows, surplus_rows, tail_by_count
+from tidemark.operators.missing import missing_rows, same_rows, surplus_rows, tail_by_count
 from tidemark.operators.ordering import batch_ledger, key_positions, page, tie_safe_batches
 from tidemark.operators.profile import profile_lines
 from tidemark.operators.projection import kept_columns, parse_exclusions, project, select_tables
@@ -52,6 +52,7 @@ __all__ = [
     "reconcile_counts",
     "replacing_merge",
     "row_counts",
+    "same_rows",
     "select_tables",
     "strict_batch",
     "summing_merge",

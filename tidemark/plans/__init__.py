@@ -3,6 +3,7 @@ from tidemark.plans.replicate import (
     copy_tables,
     drain_cycle,
     poll_cycle,
+    read_synced,
     state_path,
     sync_tables,
     target_path,
@@ -27,6 +28,7 @@ __all__ = [
     "fold_target",
     "late_rows",
     "poll_cycle",
+    "read_synced",
     "poll_once",
     "poll_table",
     "recover",

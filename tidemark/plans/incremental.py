@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.delta import in_range, newer_than, read_cut
-from tidemark.operators.missing import missing_rows, tail_by_count
+from tidemark.operators.missing import missing_rows, same_rows, tail_by_count
 from tidemark.operators.ordering import key_positions
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import read_max
@@ -99,6 +99,8 @@ def _poll_by_content(spark, df, spec, state, target, state_path, by_position) ->
         stored = source.filter(F.lit(False))
     else:
         stored = read_target(spark, target, upto=state.batch_seq).select(*(f"`{c}`" for c in source.columns))
+    if not by_position and same_rows(source, stored):  # the usual poll: nothing is shuffled
+        return state
     if by_position:
         kept = tail_by_count(df, stored, spec.sort_key)
         rows = project(kept, spec.withheld)

@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.plans.incremental import drain, poll_table, recover
 from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table, table_watermark
 from tidemark.sources.state import compact_state_log, load_state, state_of
+from tidemark.sources.target import read_target
 from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec, TableState
 
 Reader = Callable[[str], DataFrame]
 
+# Files of the state log per table before a poll cycle compacts it.
+LOG_FILES = 20
+
 
 def target_path(root: str, table: str) -> str:
     return f"{root}/{table}"
@@ -24,6 +28,12 @@ def state_path(root: str) -> str:
     return f"{root}/sync_state"
 
 
+def read_synced(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The rows of a table that the state log vouches for; batches that were never recorded are left out."""
+    state = state_of(load_state(spark, state_path(root)), table)
+    return read_target(spark, target_path(root, table), upto=state.batch_seq)
+
+
 def copy_tables(
     spark: SparkSession, read: Reader, specs: Sequence[TableSpec], root: str, workers: int = DEFAULT_WORKERS
 ) -> list[CopyResult]:
@@ -56,7 +66,12 @@ def poll_cycle(
     batch_rows: int = DEFAULT_BATCH_ROWS,
     workers: int = DEFAULT_WORKERS,
 ) -> list[CopyResult]:
-    """One poll of every copied table; a table that fails waits for the next cycle."""
+    """One poll of every copied table; a table that fails waits for the next cycle.
+
+    Each poll adds a small file to the state log, which is compacted before
+    there are many to a table.
+    """
+    compact_state_log(spark, state_path(root), above=LOG_FILES * len(specs))
     return _follow_up(spark, read, specs, root, batch_rows, workers, poll_table)
 
 

@@ -65,8 +65,8 @@ def read_state_log(spark: SparkSession, path: str) -> DataFrame:
     return log.select(*STATE_SCHEMA.names)
 
 
-def compact_state_log(spark: SparkSession, path: str) -> int:
-    """Replace the log by its latest rows; returns how many files went.
+def compact_state_log(spark: SparkSession, path: str, above: int = 0) -> int:
+    """Replace a log of more than ``above`` files by its latest rows; returns how many files went.
 
     For the writer of the log, between polls. The latest rows are appended before
     older files are deleted, and saying a row twice changes nothing, so a crash
@@ -74,6 +74,8 @@ def compact_state_log(spark: SparkSession, path: str) -> int:
     """
     log = read_state_log(spark, path)
     old = log.inputFiles()
+    if len(old) <= above:
+        return 0
     latest = load_state(spark, path)
     if len(old) <= len(latest):
         return 0
