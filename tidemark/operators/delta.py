@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalar import month_number
 from tidemark.operators.ordering import key_positions, page
-from tidemark.types import MAX_GATHER_ROWS, as_text, is_datetime, typed_literal
+from tidemark.types import MAX_GATHER_ROWS, SMALL_LIMIT, as_text, is_datetime, typed_literal
 
 
 def newer_than(df: DataFrame, column: str, after: object, month_column: str | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def read_cut(
     def top() -> DataFrame:
         return new.orderBy(f"`{column}`").limit(limit).agg(F.max(f"`{column}`").alias("cut"))
 
-    if limit <= max_gather and limit * new.rdd.getNumPartitions() <= max_gather:
+    if limit <= min(SMALL_LIMIT, max_gather):
         return text(top())
     backlog = new.agg(F.count("*").alias("n"), F.max(f"`{column}`").alias("cut"))
     backlog = backlog.select("n", as_text("cut", dtype).alias("cut")).first()

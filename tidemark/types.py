@@ -15,6 +15,8 @@ POLL_INTERVAL = "5 seconds"
 # limits and small tables; anything larger goes by key ranges instead.
 MAX_GATHER_ROWS = 1_000_000
 
+SMALL_LIMIT = 100
+
 # Up to this many narrow lookup rows (a key and a number) may be broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -75,11 +77,9 @@ class TableState:
 def fits_one_task(df: DataFrame, limit: int, max_gather: int = MAX_GATHER_ROWS) -> bool:
     """Whether a top-k of ``limit`` rows may end in one task, which gets up to that many from every task of the scan.
 
-    The table is counted only if that bound is too large.
+    Very few rows may, however many tasks there are; else the table is counted.
     """
-    if limit > max_gather:
-        return False
-    return limit * df.rdd.getNumPartitions() <= max_gather or df.count() <= max_gather
+    return limit <= max_gather and (limit <= SMALL_LIMIT or df.count() <= max_gather)
 
 
 def is_datetime(dtype: T.DataType) -> bool:
