@@ -127,6 +127,34 @@ def test_similar_documents_and_what_stays(spark):
     assert again.count() == len(kept) and again.columns == frame.columns
 
 
+def pair_at(seed, shingles, shared):
+    """Two texts of so many distinct five-word shingles each that share their first ones."""
+    words = [f"w{seed}x{i}" for i in range(shingles + 4)]
+    other = words[: shared + 4] + [f"o{seed}x{i}" for i in range(shingles - shared)]
+    return " ".join(words), " ".join(other)
+
+
+def test_pairs_just_above_and_below_the_similarity(spark):
+    docs = []
+    for i in range(120):  # 178 of 222 is 0.802, 184 of 216 is 0.852, 172 of 228 is 0.754
+        for kind, shared in enumerate((178, 184, 172)):
+            docs += [(1000 * i + 10 * kind + k, t) for k, t in enumerate(pair_at(3 * i + kind, 200, shared))]
+    groups = {r.doc_id: r.component_id for r in near.similar_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    linked = [sum(groups[1000 * i + 10 * kind + 1] == 1000 * i + 10 * kind for i in range(120)) for kind in range(3)]
+    assert linked[0] >= 0.95 * 120 and linked[1] >= 0.98 * 120
+    assert linked[2] == 0
+
+
+def test_links_between_groups_by_force():
+    draw = np.random.default_rng(4)
+    bits = np.repeat(draw.integers(0, 2**63, 3, dtype="u8"), 20)
+    bits ^= np.uint64(1) << draw.integers(0, 64, 60).astype("u8")
+    group = draw.integers(0, 9, 60)
+    u, v = near._cell_links(np.zeros(60, "i8"), bits[:, None], 4, group)
+    want = {(i, j) for i in range(60) for j in range(i) if group[i] != group[j] and int(bits[i] ^ bits[j]).bit_count() <= 4}
+    assert {(max(p), min(p)) for p in zip(u.tolist(), v.tolist(), strict=True)} == want and len(u) == len(want)
+
+
 def test_fingerprints_of_edited_texts(spark, sample, edge, empty):
     rows = sorted(((r.doc_id, r.text or "") for r in sample.collect()))
     got = {r.doc_id: r for r in fingerprint.document_fingerprints(sample).collect()}

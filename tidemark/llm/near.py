@@ -46,6 +46,11 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(r, SEED) for r in runs), "<u8", len(split) - words + 1)
 
 
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The distinct shingle hashes in ascending order."""
+    return np.unique(shingle_hashes(text, words))
+
+
 def simhash(hashes: np.ndarray, n_words: int = 1) -> list[int]:
     """Fingerprint of n_words * 64 bits: a bit is set if it is in over half the hashes."""
     out = []
@@ -63,12 +68,16 @@ def simhash(hashes: np.ndarray, n_words: int = 1) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 4, n_words: int = 1) -> DataFrame:
-    """doc_id, text_hash and ``fp``, an array of ``n_words`` longs. A null or empty text has all bits clear."""
+def fingerprints(docs: DataFrame, words: int = 4, n_words: int = 1, repeats: bool = True) -> DataFrame:
+    """doc_id, text_hash and ``fp``, an array of ``n_words`` longs. A null or empty text has all bits clear.
+
+    Without ``repeats`` each distinct shingle counts once.
+    """
+    hashes = shingle_hashes if repeats else shingle_set
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [simhash(shingle_hashes(t or "", words), n_words) for t in batch.column(2).to_pylist()]
+            found = [simhash(hashes(t or "", words), n_words) for t in batch.column(2).to_pylist()]
             fp = pa.array(found, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], fp], ["doc_id", "text_hash", "fp"])
 
@@ -156,8 +165,25 @@ def _forest(bits: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     return u, v
 
 
-def _cell_links(cell: np.ndarray, bits: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of the same cell; rows come sorted by cell."""
+def _across(bits: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All links of one cell between rows of different groups, the smaller group's rows against all larger groups'."""
+    _, of, size = np.unique(group, return_inverse=True, return_counts=True)
+    order = np.lexsort((of, size[of]))
+    ends = np.searchsorted(size[of][order] * len(of) + of[order], size[of][order] * len(of) + of[order], "right")
+    us, vs = [np.empty(0, int)], [np.empty(0, int)]
+    for at, end in enumerate(ends.tolist()):
+        if end == len(order):
+            break
+        found = order[end:][_within(bits[order[end:]], bits[order[at]][None, :], radius)]
+        us.append(np.full(len(found), order[at]))
+        vs.append(found)
+    return np.concatenate(us), np.concatenate(vs)
+
+
+def _cell_links(
+    cell: np.ndarray, bits: np.ndarray, radius: int, group: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows of the same cell; rows come sorted by cell. With ``group`` all those between groups."""
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.diff(np.r_[first, len(cell)])
     of = np.repeat(np.arange(len(first)), size)
@@ -167,11 +193,14 @@ def _cell_links(cell: np.ndarray, bits: np.ndarray, radius: int) -> tuple[np.nda
         a = np.flatnonzero((of[step:] == of[:-step]) & small[step:]) if len(of) > step else np.empty(0, int)
         if not len(a):
             break
+        if group is not None:
+            a = a[group[a] != group[a + step]]
         hit = a[_within(bits[a], bits[a + step], radius)]
         us.append(hit)
         vs.append(hit + step)
     for k in np.flatnonzero(size > _SMALL_CELL):
-        u, v = _forest(bits[first[k] : first[k] + size[k]], radius)
+        rows = slice(first[k], first[k] + size[k])
+        u, v = _forest(bits[rows], radius) if group is None else _across(bits[rows], group[rows], radius)
         us.append(np.array(u, int) + first[k])
         vs.append(np.array(v, int) + first[k])
     none = np.empty(0, int)
@@ -179,49 +208,58 @@ def _cell_links(cell: np.ndarray, bits: np.ndarray, radius: int) -> tuple[np.nda
 
 
 def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_words: int) -> DataFrame:
-    """Links (u, v) between nodes of (node, fp): rows are dealt by cell and read in its order, one cell at a time."""
+    """Links (u, v) between nodes of (node, fp): rows are dealt by cell and read in its order, one cell at a time.
+
+    A cell yields a spanning forest. If there is a column ``group``, it yields all links between groups.
+    """
+    grouped = ["group"] if "group" in distinct.columns else []
     words = [F.col("fp")[i] for i in range(n_words)]
     embedded = [segment_popcounts(w) for w in words]
     masks = F.array(*(F.struct(F.lit(t).alias("t"), *(F.lit(_signed(m)).alias(f"m{i}") for i, m in enumerate(ms)))
                       for t, ms in enumerate(grids)))
-    rows = distinct.select("node", *(w.alias(f"w{i}") for i, w in enumerate(words)),
+    rows = distinct.select("node", *grouped, *(w.alias(f"w{i}") for i, w in enumerate(words)),
                            *(e.alias(f"e{i}") for i, e in enumerate(embedded)), F.explode(masks).alias("g"))
     key = F.xxhash64(F.col("g.t"), *(F.col(f"e{i}").bitwiseAND(F.col(f"g.m{i}")) for i in range(n_words)))
-    rows = rows.select(key.alias("cell"), "node", *(f"w{i}" for i in range(n_words)))
+    rows = rows.select(key.alias("cell"), "node", *(f"w{i}" for i in range(n_words)), *grouped)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(cell, node, bits):
-            u, v = _cell_links(cell, bits, radius)
+        def links(cell, node, bits, *group):
+            u, v = _cell_links(cell, bits, radius, *group)
             return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
 
         held: list[tuple] = []
         for batch in batches:
             cell, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             bits = np.stack([batch.column(2 + i).to_numpy() for i in range(n_words)], 1).view("<u8")
+            columns = (cell, node, bits, *(batch.column(2 + n_words).to_numpy() for _ in grouped))
             cut = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on in the next batch
             if cut:
-                held.append((cell[:cut], node[:cut], bits[:cut]))
+                held.append(tuple(c[:cut] for c in columns))
                 yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
                 held = []
-            held.append((cell[cut:], node[cut:], bits[cut:]))
+            held.append(tuple(c[cut:] for c in columns))
         if held:
             yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u long, v long")
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "u long, v long")
 
 
-def _grouped(docs: DataFrame, words: int, n_words: int, radius: int, grids: list[list[int]] | None) -> DataFrame:
-    """doc_id, text_hash, fp, ``root`` (a name of the group) and component_id of every row."""
+def _prints(docs: DataFrame, words: int, n_words: int, repeats: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows with their ``node``, and one row of each node: its fp and its least row."""
     spark = docs.sparkSession
     path = scratch_path(spark, "fingerprints")
-    fingerprints(docs, words, n_words).write.parquet(path)
+    fingerprints(docs, words, n_words, repeats).write.parquet(path)
     prints = spark.read.parquet(path)
     node = F.col("fp")[0] if n_words == 1 else F.xxhash64("fp")
     prints = prints.withColumn("node", node)
     same = [F.min(F.col("fp")[i]).alias(f"w{i}") for i in range(n_words)]  # all rows of a node agree
-    classes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), *same)
-    classes = classes.select("node", "least", F.array(*(f"w{i}" for i in range(n_words))).alias("fp"))
-    links = _grid_links(classes.select("node", "fp"), grids or exact_grids(radius), radius, n_words)
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = prints.groupBy("node").agg(F.min("doc_id").alias("least"), first, *same)
+    return prints, classes.select("node", "least", "first", F.array(*(f"w{i}" for i in range(n_words))).alias("fp"))
+
+
+def _named(prints: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, text_hash, fp, ``root`` (a name of the group) and component_id of every row."""
     roots = connected_components(links)
     named = classes.select("node", "least").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("component", "node")).select("node", "root", "least")
@@ -242,27 +280,95 @@ def near_duplicates(
     alone has a null component_id. Repeated rows are repeated; other columns
     are ignored.
     """
-    return _grouped(docs, words, n_words, radius, grids).select("doc_id", "fp", "component_id")
+    prints, classes = _prints(docs, words, n_words)
+    links = _grid_links(classes.select("node", "fp"), grids or exact_grids(radius), radius, n_words)
+    return _named(prints, classes, links).select("doc_id", "fp", "component_id")
 
 
 #: Wide fingerprints for similarities: four words, five-word shingles.
 WIDE = {"words": 5, "n_words": 4}
-#: Pairs with shingle similarity s differ in about acos(2s/(1+s))/pi of their bits: 0.15 at 0.8. With a
-#: standard deviation's leeway.
-WIDE_RADIUS = 42
-WIDE_GRIDS = {"grids": 64, "segments": 10}
+SIMILARITY = 0.8
+#: Sets of shingles with similarity s differ in at most about acos(2s/(1+s))/pi of their bits: 0.15 at 0.8, a
+#: distance of 38.8 with a standard deviation of 5.7. With three deviations' leeway, as links are verified.
+WIDE_RADIUS = 56
+WIDE_GRIDS = {"grids": 128, "segments": 9}
+#: Close copies are grouped first, so that the wide search need not pair them with each other.
+CLOSE_RADIUS = 42
+CLOSE_GRIDS = {"grids": 16, "segments": 10}
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id of groups whose five-word shingles agree to 0.8 or more, as 256-bit SimHash tells.
+    """doc_id and component_id of groups that links of similarity 0.8 or more connect.
 
-    Nulls, empty texts, ties and repeated rows as in ``near_duplicates``.
+    The similarity is that of the sets of five-word shingles (shared over all).
+    256-bit SimHash proposes pairs, exact sets decide. Nulls, empty texts, ties
+    and repeated rows as in ``near_duplicates``.
     """
     return _similar(docs).select("doc_id", "component_id")
 
 
 def _similar(docs: DataFrame) -> DataFrame:
-    return _grouped(docs, **WIDE, radius=WIDE_RADIUS, grids=sampled_grids(WIDE["n_words"], **WIDE_GRIDS))
+    """Verified links of forests group close copies; then all wide pairs between different groups are verified.
+
+    A forest alone would lose links: what a rejected link leads to is not compared again.
+    """
+    spark, n_words = docs.sparkSession, WIDE["n_words"]
+    prints, classes = _prints(docs, **WIDE, repeats=False)
+    path = scratch_path(spark, "classes")
+    classes.write.parquet(path)
+    classes = spark.read.parquet(path)
+    close = _grid_links(classes.select("node", "fp"), sampled_grids(n_words, **CLOSE_GRIDS), CLOSE_RADIUS, n_words)
+    close = _verified(docs, classes, close)
+    roots = connected_components(close)
+    grouped = classes.select("node", "fp").join(roots, "node", "left")
+    grouped = grouped.select("node", "fp", F.coalesce("component", "node").alias("group"))
+    wide = _grid_links(grouped, sampled_grids(n_words, **WIDE_GRIDS), WIDE_RADIUS, n_words)
+    return _named(prints, classes, close.unionByName(_verified(docs, classes, wide)))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The links (u, v) whose nodes' sets of shingles agree to SIMILARITY, each once."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "candidates")
+    links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().write.parquet(path)
+    links = spark.read.parquet(path)
+    wanted = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = classes.join(wanted, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long"), text_hash(text), text.alias("text"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    texts = texts.join(wanted, on).select("node", "text").dropDuplicates(["node"])
+
+    def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t or "", WIDE["words"]).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
+
+    path = scratch_path(spark, "shingles")
+    texts.mapInArrow(shingles, "node long, shingles binary").write.parquet(path)
+    sets = spark.read.parquet(path)
+
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v, a, b = batch.columns
+            good = [agree(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")) for x, y in zip(a, b, strict=True)]
+            keep = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([u.filter(keep), v.filter(keep)], ["u", "v"])
+
+    paired = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
+    paired = paired.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    path = scratch_path(spark, "verified")
+    paired.select("u", "v", "a", "b").mapInArrow(check, "u long, v long").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def agree(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets share SIMILARITY or more of what either holds; empty sets agree with each other."""
+    least = SIMILARITY - 1e-12
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared >= least * (len(a) + len(b) - shared)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
