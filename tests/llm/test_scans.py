@@ -151,3 +151,27 @@ def test_redaction_keeps_the_rest(edge, empty, crf):
 def test_a_field_without_secrets_tags_nothing():
     crf = secret_scan.fit_crf([], np.zeros((0, 24), int), np.zeros((0, 3)))
     assert crf.tag([["password", "=", "abcdef123"]]) == [[]]
+
+
+def test_all_secrets_of_a_dump_are_labelled():
+    lines = [f"password = {hashlib.md5(str(i).encode()).hexdigest()[:16]}Z{i}" for i in range(80)]
+    text = "\n".join(["first words of a file", *lines, "build 2024x09x30x11 ends"])
+    values = {text[a:b] for a, b in secret_scan.secret_parts(text)}
+    windows = secret_scan.training_windows(5, text)
+    assert sum(w[3] for w in windows) == 3 * secret_scan.TEXT_SECRETS
+    for tokens, labels, _, good in windows:
+        for token, label in zip(tokens, labels, strict=True):
+            assert token not in values or label != secret_scan.O
+        assert not good or secret_scan.B in labels
+    seen = {t for tokens, *_ in windows for t in tokens}
+    assert lines[0].split()[-1] in seen and any(x.split()[-1] in seen for x in lines[70:])
+
+
+def test_windows_come_from_all_partitions(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(secret_scan, "fit_crf", lambda windows, labels, files: fitted.append(windows))
+    docs = [(i, f"doc{i} says token = {hashlib.md5(str(i).encode()).hexdigest()}") for i in range(400)]
+    secret_scan.fit_secrets(spark.createDataFrame(docs, "doc_id long, text string").repartitionByRange(4, "doc_id"), windows=60)
+    found = {int(t[3:]) for w in fitted[0] for t in w if re.fullmatch("doc[0-9]+", t)}
+    assert len(fitted[0]) <= 120
+    assert all(any(a <= d < a + 100 for d in found) for a in range(0, 400, 100))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.boosting import Boosted, fit_boosted
 from tidemark.llm.sampling import bounded_sample
+from tidemark.session import scratch_path
 
 #: The kinds in the order of their names in results.
 KINDS = ("email", "ip", "card", "phone")
@@ -185,7 +186,10 @@ def fit_pii(docs: DataFrame, bound: int = TRAINING_DOCS) -> dict[str, Boosted]:
             yield pa.RecordBatch.from_arrays(arrays, ["kind", "label", "features"])
 
     found = chosen.select(F.col("text").cast("string")).mapInArrow(run, "kind string, label int, features array<double>")
-    got = sorted(found.limit(TRAINING_ROWS).collect(), key=lambda r: hashlib.md5(repr(r).encode()).digest())
+    path = scratch_path(docs.sparkSession, "candidates")
+    found.write.parquet(path)
+    drawn = bounded_sample(docs.sparkSession.read.parquet(path), F.xxhash64("kind", "label", "features"), TRAINING_ROWS)
+    got = sorted(drawn.collect(), key=lambda r: hashlib.md5(repr(r).encode()).digest())
     models = {}
     for kind in KINDS:
         rows = [r for r in got if r["kind"] == kind]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.sampling import bounded_sample
 from tidemark.llm.words import slices
+from tidemark.session import scratch_path
 
 #: The base kinds in the order of their names in results.
 KINDS = ("assign", "access", "hex")
@@ -30,9 +32,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: What the field adds.
 ADDED = "tagged"
-#: Documents whose windows the field is fitted on, at most, and windows of either sort.
+#: Documents whose windows the field is fitted on, at most, and windows of either sort. All of them are labelled;
+#: a text gives windows around so many of its secrets.
 TRAINING_DOCS = 20_000
 TRAINING_WINDOWS = 3_000
+TEXT_SECRETS = 16
 SPAN = 24
 REACH = 2
 O, B, I = 0, 1, 2
@@ -283,18 +287,17 @@ def training_windows(doc: int, text: str) -> list[tuple[list[str], list[int], li
     if not tokens:
         return []
     labels, starts = [O] * len(tokens), [a for a, _ in spans]
-    secret = secret_parts(text)
     centres = []
-    for a, b in secret:
-        inside = [i for i in range(int(np.searchsorted(starts, a)), len(tokens)) if spans[i][0] < b] if len(secret) < 50 else []
-        for j, i in enumerate(inside):
-            labels[i] = B if j == 0 else I
-        if inside:
-            centres.append((inside[0], True))
+    for a, b in secret_parts(text):
+        first, end = bisect_left(starts, a), bisect_left(starts, b)
+        if first < end:
+            labels[first:end] = [B] + [I] * (end - first - 1)
+            centres.append((first, True))
+    centres = _spread(centres, TEXT_SECRETS)
     telling = [i for i, t in enumerate(tokens) if len(t) >= 10 and any(map(str.isdigit, t)) and labels[i] == O]
-    centres += [(i, False) for i in telling[:3]] + [((doc * 7919) % len(tokens), False)]
+    centres += [(i, False) for i in _spread(telling, 3)] + [((doc * 7919) % len(tokens), False)]
     flags, out = file_features(tokens).tolist(), []
-    for centre, good in centres[:20]:
+    for centre, good in centres:
         lo = max(0, centre - SPAN // 2)
         part, marks = tokens[lo : lo + SPAN], labels[lo : lo + SPAN]
         if marks[0] == I:
@@ -305,6 +308,11 @@ def training_windows(doc: int, text: str) -> list[tuple[list[str], list[int], li
     return out
 
 
+def _spread(items: list, most: int) -> list:
+    """At most so many of the items, from all over the list."""
+    return items if len(items) <= most else [items[i * len(items) // most] for i in range(most)]
+
+
 def _varied(tokens: list[str], labels: list[int], flags: list[float], good: bool) -> list[tuple]:
     """The window with its secrets in another alphabet, as it stands and with other words where it names or assigns them.
 
@@ -326,8 +334,11 @@ def _varied(tokens: list[str], labels: list[int], flags: list[float], good: bool
     return [(coded, labels, flags, good), (other, labels, [0.0, *flags[1:]], good)]
 
 
-def fit_secrets(docs: DataFrame, bound: int = TRAINING_DOCS) -> Crf:
-    """Fit the field on windows of at most ``bound`` documents, whose base spans are the labels."""
+def fit_secrets(docs: DataFrame, bound: int = TRAINING_DOCS, windows: int = TRAINING_WINDOWS) -> Crf:
+    """Fit the field on windows of at most ``bound`` documents, whose base spans are the labels.
+
+    Of either sort of windows, with a secret and without, at most ``windows`` are drawn by their hash.
+    """
     chosen = bounded_sample(docs.where("text is not null and doc_id is not null"), F.xxhash64("doc_id"), bound)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +352,11 @@ def fit_secrets(docs: DataFrame, bound: int = TRAINING_DOCS) -> Crf:
     rows = chosen.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, tokens array<string>, labels array<int>, files array<double>, good boolean"
     )
-    parts = [rows.where("good").limit(TRAINING_WINDOWS), rows.where("not good").limit(TRAINING_WINDOWS)]
+    path = scratch_path(docs.sparkSession, "windows")
+    rows.write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    key = F.xxhash64("doc_id", "tokens")
+    parts = [bounded_sample(rows.where(sort), key, windows) for sort in ("good", "not good")]
     got = [r for p in parts for r in p.collect()]
     got.sort(key=lambda r: (r["doc_id"], r["tokens"]))
     return fit_crf(
