@@ -95,6 +95,23 @@ def test_a_passage_in_two_halves(spark):
     assert set(found) == {3, 4} and found[4].n_words == 80
 
 
+def test_a_passage_whose_short_seeds_stand_elsewhere(spark):
+    """Every run of five words of it is in some earlier document, alone."""
+    passage = invented(21, 60)
+    words = passage.split()
+    docs = [(i, invented(100 + i, 40) + " " + " ".join(words[i : i + 5]) + " " + invented(200 + i, 40)) for i in range(56)]
+    docs += [(100, invented(300, 80) + " " + passage + " " + invented(301, 50)), (101, invented(302, 50) + " " + passage + " " + invented(303, 30))]
+    found = passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert [(r.doc_id, r.source_id, r.n_words) for r in found] == [(101, 100, 60)]
+
+
+def test_stock_phrases_make_no_passage(spark):
+    phrases = [invented(400 + i, 14) for i in range(6)]
+    docs = [(i, invented(500 + i, 60) + " " + p + " " + invented(600 + i, 60)) for i, p in enumerate(phrases)]
+    docs += [(50, invented(700, 40) + " " + " ".join(phrases) + " " + invented(701, 40))]
+    assert passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
+
+
 def test_odd_rows(spark, edge, empty):
     found = passages.repeated_passages(edge).collect()
     assert {r.doc_id for r in found} == {2, 3, 10}

@@ -1,8 +1,10 @@
 """Passages that repeat across documents, found by chaining shared k-mer seeds.
 
-Seeds are minimizers: of every WINDOW successive runs of K words, the one with
-the smallest hash. Each occurrence of a seed is joined to the seed's first
-occurrence only, so a passage shared by n documents costs n rows, not n * n.
+Seeds are minimizers of short, middle and long runs of words: of every few
+successive runs, the one with the smallest hash. Each occurrence of a seed is
+joined to the seed's first occurrence only, so a passage shared by n documents
+costs n rows, not n * n. A passage whose short seeds first stand scattered in
+other documents is found by its longer ones, which stand in its source alone.
 Matches between two documents are chained in order under a gap cost, with a
 Fenwick tree for the best predecessor, and chains are aligned word by word.
 """
@@ -25,6 +27,8 @@ from tidemark.session import scratch_path
 K = 5
 #: Any exact common run of K + WINDOW - 1 words has a common seed.
 WINDOW = 8
+#: (words, window) of the seeds that are joined. An exact common run of 12, 19 and 39 words has one of each.
+LEVELS = ((K, WINDOW), (12, 8), (24, 16))
 #: Cost of each word, of either document, between the starts of two chained seeds.
 GAP = 0.1
 #: Words beyond a chain's seeds to which its alignment may reach.
@@ -34,7 +38,7 @@ BREAK = 12
 #: Shorter aligned pieces are chance.
 LEAST_PIECE = 8
 _CACHED_WORDS = 200_000
-_SPREAD = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(K)]
+_SPREAD = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(LEVELS[-1][0])]
 
 
 class _Hashes(dict):
@@ -66,18 +70,19 @@ def _slid(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def seeds(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the minimizers. In a run of equal k-mers only the first counts."""
-    n = len(words) - K + 1
+    n = len(words) - k + 1
     if n < 1:
         return np.empty(0, "i4"), np.empty(0, "<i8")
     mixed = np.zeros(n, "<u8")
-    for j in range(K):
-        mixed += (words[j : j + n] ^ (words[j : j + n] >> np.uint64(31))) * _SPREAD[j]
+    folded = words ^ (words >> np.uint64(31))
+    for j in range(k):
+        mixed += folded[j : j + n] * _SPREAD[j]
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
-    width = min(WINDOW, n)
+    width = min(window, n)
     least = _slid(mixed, width, np.minimum)
     edge = np.zeros(width - 1, "<u8")
     top = _slid(np.concatenate([edge, least, edge]), width, np.maximum)
@@ -211,12 +216,7 @@ def _trimmed(hits: np.ndarray) -> np.ndarray:
     return hits[(hits - hits[0] >= start) & (hits - hits[0] <= end)]
 
 
-def merge_pieces(pieces: list[tuple], least_words: int) -> list[tuple]:
-    """Unite pieces (start, end, similarity, source) that overlap or touch; keep those of enough words.
-
-    The source of a passage is that of its longest piece; its similarity is the
-    mean over the pieces' words.
-    """
+def _united(pieces: list[tuple]) -> list[list]:
     out: list[list] = []
     for start, end, like, source in sorted(pieces, key=lambda p: (p[0], -p[1], p[3])):
         if out and start <= out[-1][1] + 2:
@@ -225,6 +225,26 @@ def merge_pieces(pieces: list[tuple], least_words: int) -> list[tuple]:
             held[2].append((end - start, like, source))
         else:
             out.append([start, end, [(end - start, like, source)]])
+    return out
+
+
+def merge_pieces(pieces: list[tuple], least_words: int) -> list[tuple]:
+    """Unite pieces (start, end, similarity, source) that overlap or touch; keep those of enough words.
+
+    What one source holds must be half of that at least, so that stock phrases
+    of many documents make no passage. The source of a passage is that of its
+    longest piece; its similarity is the mean over the pieces' words.
+    """
+    of: dict[int, list[tuple]] = {}
+    for piece in pieces:
+        of.setdefault(piece[3], []).append(piece)
+    whole = []
+    for source, own in of.items():
+        for start, end, parts in _united(own):
+            if 2 * (end - start) >= least_words:
+                words = sum(n for n, _, _ in parts)
+                whole.append((start, end, sum(n * like for n, like, _ in parts) / words, source))
+    out = _united(whole)
     found = []
     for start, end, parts in out:
         if end - start >= least_words:
@@ -248,9 +268,10 @@ def _seed_rows(texts: DataFrame) -> DataFrame:
         for batch in batches:
             docs, at, hashes = batch.column(0).to_numpy(), [], []
             for text in batch.column(1).to_pylist():
-                a, h = seeds(word_hashes(text))
-                at.append(a)
-                hashes.append(h)
+                words = word_hashes(text)
+                found = [seeds(words, *level) for level in LEVELS]
+                at.append(np.concatenate([a for a, _ in found]))
+                hashes.append(np.concatenate([h for _, h in found]))
             if at:
                 owner = np.repeat(docs, [len(a) for a in at])
                 arrays = [pa.array(np.concatenate(hashes)), pa.array(owner), pa.array(np.concatenate(at))]
@@ -260,7 +281,7 @@ def _seed_rows(texts: DataFrame) -> DataFrame:
 
 
 def _chain_rows(matches: DataFrame) -> DataFrame:
-    """Chains of at least two matches for every pair of documents; rows are dealt by document and read in order."""
+    """Chains for every pair of documents that share two seeds; rows are dealt by document and read in order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc", pa.int64()), ("src", pa.int64()), ("own", pa.list_(pa.int32())), ("other", pa.list_(pa.int32()))])
@@ -271,7 +292,8 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(doc)], strict=True):
                 if b - a > 1:
-                    x, y = own[a:b].tolist(), other[a:b].tolist()
+                    pairs = sorted(set(zip(own[a:b].tolist(), other[a:b].tolist(), strict=True)))
+                    x, y = [p[0] for p in pairs], [p[1] for p in pairs]
                     for chain in chains(x, y):
                         if len(chain) > 1:
                             out.append((int(doc[a]), int(src[a]), [x[i] for i in chain], [y[i] for i in chain]))
@@ -321,8 +343,8 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     piece), and on the row of a document's first passage ``rest``, its text
     without the passages, with text_hash, the hash of its text. Every seed is matched with its first occurrence, and
     pieces with different sources are united, so a passage is found however
-    many documents hold parts of it. A passage must share two seeds with a
-    document. Rows with null doc_id or text take no part; rows that share a
+    many documents hold parts of it. A document counts as a source if it
+    shares two seeds, of any length. Rows with null doc_id or text take no part; rows that share a
     doc_id are not compared with each other; an empty table gives no rows.
     """
     spark = docs.sparkSession
