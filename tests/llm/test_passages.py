@@ -112,6 +112,23 @@ def test_stock_phrases_make_no_passage(spark):
     assert passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
 
 
+def test_fuzzy_passages_are_found(spark):
+    """Substitutions at random places in 80 words; 60 passages at each similarity."""
+    draw, docs, wanted = random.Random(9), [], {}
+    for kind, edits in enumerate((8, 12, 16)):
+        for i in range(60):
+            words = invented(1000 + 100 * kind + i, 80).split()
+            fuzzy = list(words)
+            for at in draw.sample(range(80), edits):
+                fuzzy[at] = f"edit{at}"
+            a, b = (1000 * kind + i, 10_000 + 1000 * kind + i)
+            docs += [(a, invented(a + 50_000, 60) + " " + " ".join(words)), (b, " ".join(fuzzy) + " " + invented(b + 50_000, 60))]
+            wanted[b] = (kind, a)
+    found = {r.doc_id: r.source_id for r in passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    share = [sum(found.get(b) == a for b, (k, a) in wanted.items() if k == kind) / 60 for kind in range(3)]
+    assert share[0] >= 0.98 and share[1] >= 0.95 and share[2] >= 0.85
+
+
 def test_odd_rows(spark, edge, empty):
     found = passages.repeated_passages(edge).collect()
     assert {r.doc_id for r in found} == {2, 3, 10}

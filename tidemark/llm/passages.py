@@ -27,14 +27,16 @@ from tidemark.session import scratch_path
 K = 5
 #: Any exact common run of K + WINDOW - 1 words has a common seed.
 WINDOW = 8
-#: (words, window) of the seeds that are joined. An exact common run of 12, 19 and 39 words has one of each.
-LEVELS = ((K, WINDOW), (12, 8), (24, 16))
+#: (words, window) of the seeds that are joined. An exact common run of 6, 19 and 39 words has one of each.
+LEVELS = ((K, 2), (12, 8), (24, 16))
 #: Cost of each word, of either document, between the starts of two chained seeds.
 GAP = 0.1
 #: Words beyond a chain's seeds to which its alignment may reach.
 REACH = K + WINDOW + 3
 #: A longer run of words without a partner ends a passage.
 BREAK = 12
+#: A single match counts if there is another this near on its diagonal.
+FAR = 60
 #: Shorter aligned pieces are chance.
 LEAST_PIECE = 8
 _CACHED_WORDS = 200_000
@@ -188,7 +190,7 @@ def align(own: np.ndarray, other: np.ndarray, at_own: list[int], at_other: list[
     for i in range(len(at_own) - 1):
         flags.append(_partnered(own[at_own[i] : at_own[i + 1]], other[at_other[i] : at_other[i + 1]]))
     tail = min(K + REACH, len(own) - at_own[-1], len(other) - at_other[-1])
-    flags.append(own[at_own[-1] : at_own[-1] + tail] == other[at_other[-1] : at_other[-1] + tail])
+    flags.append(_partnered(own[at_own[-1] : at_own[-1] + tail], other[at_other[-1] : at_other[-1] + tail]))
     hits = np.flatnonzero(np.concatenate(flags))
     out = []
     for piece in np.split(hits, np.flatnonzero(np.diff(hits) > BREAK) + 1):
@@ -280,6 +282,17 @@ def _seed_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "seed long, doc long, at int")
 
 
+def _alone_near(i: int, own: list[int], other: list[int]) -> bool:
+    """Whether a match that no chain took has another on about its diagonal near by, so that words between may agree."""
+    for step in (-1, 1):
+        j = i + step
+        while 0 <= j < len(own) and abs(own[j] - own[i]) <= FAR:
+            if abs((own[j] - own[i]) - (other[j] - other[i])) <= BREAK:
+                return True
+            j += step
+    return False
+
+
 def _chain_rows(matches: DataFrame) -> DataFrame:
     """Chains for every pair of documents that share two seeds; rows are dealt by document and read in order."""
 
@@ -295,7 +308,7 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
                     pairs = sorted(set(zip(own[a:b].tolist(), other[a:b].tolist(), strict=True)))
                     x, y = [p[0] for p in pairs], [p[1] for p in pairs]
                     for chain in chains(x, y):
-                        if len(chain) > 1:
+                        if len(chain) > 1 or _alone_near(chain[0], x, y):
                             out.append((int(doc[a]), int(src[a]), [x[i] for i in chain], [y[i] for i in chain]))
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], schema.types[i]) for i in range(4)], schema=schema)
 
