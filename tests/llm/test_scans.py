@@ -175,3 +175,10 @@ def test_windows_come_from_all_partitions(spark, monkeypatch):
     found = {int(t[3:]) for w in fitted[0] for t in w if re.fullmatch("doc[0-9]+", t)}
     assert len(fitted[0]) <= 120
     assert all(any(a <= d < a + 100 for d in found) for a in range(0, 400, 100))
+
+
+def test_features_of_whole_tokens_and_texts():
+    assert "turns=1" not in secret_scan.token_features("a" * 120 + "9Z/" * 50)
+    assert any(f.startswith("mixed=") for f in secret_scan.token_features("a" * 120 + "9Z/" * 50))
+    table = ["name", "7"] * 4000  # a stride of an even number of tokens sees names only
+    assert secret_scan.file_features(table)[2] == 1

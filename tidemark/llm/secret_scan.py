@@ -72,18 +72,17 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
 
 
 def token_features(token: str) -> list[str]:
-    """Shape, length, alphabet, variety and, if short, the word itself. Overlong tokens are judged by their beginning."""
+    """Shape, length, alphabet, variety and, if short, the word itself."""
     if not token:
         return ["edge"]
-    head = token[:120]
     shape, before = [], ""
-    for c in head:
+    for c in token:
         kind = "X" if c.isupper() else "x" if c.islower() else "9" if c.isdigit() else "w" if c.isalpha() else c
         if kind != before:
             shape.append(kind)
         before = kind
-    has = {"digit": any(map(str.isdigit, head)), "alpha": any(map(str.isalpha, head))}
-    if all(c in "0123456789abcdef" for c in head):
+    has = {"digit": any(map(str.isdigit, token)), "alpha": any(map(str.isalpha, token))}
+    if all(c in "0123456789abcdef" for c in token):
         alphabet = "hex"
     elif has["digit"] and has["alpha"]:
         alphabet = "mixed"
@@ -95,7 +94,7 @@ def token_features(token: str) -> list[str]:
         f"turns={min(len(shape), 8)}",
         f"size={size}",
         f"{alphabet}={size}",
-        f"variety={int(8 * len(set(head)) / len(head))}",
+        f"variety={int(8 * len(set(token)) / len(token))}",
     ]
     if len(token) <= 12 and (alphabet in ("alpha", "sign")):
         out.append("word=" + token.lower())
@@ -104,9 +103,8 @@ def token_features(token: str) -> list[str]:
 
 def file_features(tokens: list[str]) -> np.ndarray:
     """Whether the text assigns, holds long tokens, and holds many digits."""
-    some = tokens[:: max(1, len(tokens) // 2000)]
-    digits = sum(t[:1].isdigit() for t in some)
-    return np.array([("=" in tokens) or (":" in tokens), max(map(len, tokens), default=0) >= 20, digits * 20 > len(some)], float)
+    digits = sum(t[:1].isdigit() for t in tokens)
+    return np.array([("=" in tokens) or (":" in tokens), max(map(len, tokens), default=0) >= 20, digits * 20 > len(tokens)], float)
 
 
 @dataclass
