@@ -120,3 +120,10 @@ def test_trie_encoding_equals_plain_merging(words):
 
     distinct = sorted(set(words))
     assert pairs.encode_words(distinct) == [plain(w) for w in distinct]
+
+
+def test_decoded_text_is_read_from_the_ids():
+    encoder = bpe.WordEncoder(vocabulary("word_bpe_49k.json"))
+    first = encoder.original.encode("hello", add_special_tokens=False).ids[0]
+    encoder.tokens[first] = "changed"
+    assert next(encoder.encode(["hello"]))[1].startswith("changed")

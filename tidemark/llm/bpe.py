@@ -168,7 +168,8 @@ class WordEncoder:
         shown = ["".join(map(self.alphabet.__getitem__, w.encode("utf-8"))) for w in words]
         vocab = self.pairs.vocab
         for tokens in self.pairs.encode_words(shown):
-            yield np.array([vocab[t] for t in tokens], "<u4").tobytes(), " ".join(tokens)
+            ids = np.array([vocab[t] for t in tokens], "<u4").tobytes()
+            yield ids, self.decode(ids)
 
     def _words(self, text: str) -> list[str]:
         return WORD_LEVEL_WORDS.findall(unicodedata.normalize("NFC", text).lower())
@@ -186,7 +187,8 @@ class WordEncoder:
                     split.append(self._words(text))
             self.cache.learn([w for w in s if w not in self.added] for s in split if s)
             for token, number in self.added.items():
-                self.cache[token] = (np.array([number], "<u4").tobytes(), token)
+                ids = np.array([number], "<u4").tobytes()
+                self.cache[token] = (ids, self.decode(ids))
             for text, words in zip(texts[first:last], split, strict=True):
                 if words is None:
                     yield self._encode_by_pieces(text)
@@ -199,12 +201,13 @@ class WordEncoder:
         out: list[tuple[bytes, str]] = []
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.added:
-                out.append((np.array([self.added[part]], "<u4").tobytes(), part))
+                ids = np.array([self.added[part]], "<u4").tobytes()
+                out.append((ids, self.decode(ids)))
                 continue
             shown = self.original.pre_tokenizer.pre_tokenize_str(self.original.normalizer.normalize_str(part))
             for tokens in self._tokens([w for w, _ in shown]):
                 ids = np.array([self.pairs.vocab[t] for t in tokens], "<u4").tobytes()
-                out.append((ids, " ".join(tokens)))
+                out.append((ids, self.decode(ids)))
         return b"".join(o[0] for o in out), " ".join(o[1] for o in out)
 
     def _tokens(self, shown: list[str]) -> list[list[str]]:
