@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprint, let_workers_import, near, neighbours, packing, passages, pii, quality, runs, secret_scan, toxicity
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, neighbours, packing, passages, pii, quality, runs, secret_scan, sorted_passes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,13 +73,17 @@ def op10_quality(spark, sf_dir):
     return quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op12_vector_copies(spark, sf_dir):
+    return sorted_passes.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_runs(spark, sf_dir):
     return runs.run_digests(runs.periodic_runs(runs.with_planted_runs(_table(spark, sf_dir, "documents"))))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (op1_packing, op2_bpe, op3_neighbours, op4_pii, op5_passages, op6_secrets, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)
-    return {f.__name__: f for f in (*numbered, op13_runs)}
+    return {f.__name__: f for f in (*numbered, op12_vector_copies, op13_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
