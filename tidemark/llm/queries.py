@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, fingerprint, let_workers_import, near, neighbours, packing, passages, pii, quality, runs, secret_scan, sorted_passes, toxicity
+from tidemark.llm import bpe, fingerprint, let_workers_import, near, neighbours, packing, passages, pii, quality, ranked_search, runs, secret_scan, sorted_passes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_quality(spark, sf_dir):
     return quality.score_quality(docs, quality.fit_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(ranked_search.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_vector_copies(spark, sf_dir):
     return sorted_passes.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -83,8 +87,29 @@ def op13_runs(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (op1_packing, op2_bpe, op3_neighbours, op4_pii, op5_passages, op6_secrets, op7_simhash, op8_toxicity, op9_fingerprint, op10_quality)
-    return {f.__name__: f for f in (*numbered, op12_vector_copies, op13_runs)}
+    return {f.__name__: f for f in (*numbered, op11_ranked_search, op12_vector_copies, op13_runs)}
+
+
+_TERMS = "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+
+_RANKED_SEARCH = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS term FROM documents WHERE doc_id IS NOT NULL),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+norms AS (SELECT doc_id, 10 + (90 * n * (SELECT count(*) FROM lengths)) // (SELECT CAST(sum(n) AS BIGINT) FROM lengths) AS m FROM lengths),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * (SELECT count(*) FROM lengths) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM counts GROUP BY ALL
+),
+asked AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} AS term FROM benchmark)),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN norms USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_ranked_search": _RANKED_SEARCH}
