@@ -123,3 +123,10 @@ def test_query(spark):
     got = queries.op11_ranked_search(spark, folder)
     assert result(got) == by_force(docs, items)
     assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+
+
+def test_counts_of_a_sliced_batch():
+    texts = ["a b", "", None, "é1 x", "_", "end", "joined", "", "x-y-z"]
+    array = ranked_search.pa.array(["before", *texts, "after"])
+    for part, want in ((array.slice(1, len(texts)), texts), (array.slice(3, 2), texts[2:4]), (array.slice(2, 1), [""])):
+        assert ranked_search._count_terms(part).to_pylist() == [len(terms(t)) for t in want]

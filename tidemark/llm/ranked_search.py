@@ -26,12 +26,13 @@ LENGTH_PARTS, FLAT_PARTS = 90, 10
 SCALE, TF_WEIGHT, NORM_WEIGHT, TERM_SCALE = 1_000_000_000, 1000, 8, 1000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Every byte to itself, to lower case, or to a blank.
+#: Every byte to itself, to lower case, or to a blank; and whether it belongs to a term.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+_IN_TERM = np.array([b != 32 for b in _BYTES])
 
 #: Words of a shard, and of the pieces into which larger strata are cut.
-SHARD_WORDS = 2_000_000
-PIECE_WORDS = 500_000
+SHARD_WORDS = 1_000_000
+PIECE_WORDS = 100_000
 #: Items that are ranked together, and strata that an item visits first.
 ITEM_BLOCK = 2048
 FIRST_STRATA = 8
@@ -51,6 +52,27 @@ class LexicalIndex:
     words: int
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a stored table, whose size the optimizer knows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _count_terms(texts: pa.Array) -> pa.Array:
+    """Terms of every text, counted over the bytes of the batch: where a term byte follows another one or a border."""
+    array = texts.cast(pa.large_binary())
+    ends = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
+    inside = _IN_TERM[np.frombuffer(array.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begin = ends[:-1] - ends[0]
+    at = begin[begin < len(inside)]
+    begins[at] = inside[at]
+    before = np.r_[0, np.cumsum(begins)]
+    return pa.array(before[ends[1:] - ends[0]] - before[begin], pa.int64())
+
+
 def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0))
 
@@ -122,10 +144,8 @@ def build_index(docs: DataFrame, path: str | None = None) -> LexicalIndex:
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null and text is not null")
-    sized = texts.withColumn("size", F.regexp_count("text", F.lit(TERM)).cast("long")).where("size > 0")
-    lengths = scratch_path(spark, "lengths")
-    sized.groupBy("size").agg(F.count("*").alias("docs")).write.parquet(lengths)
-    strata = spark.read.parquet(lengths)
+    sized = texts.withColumn("size", F.arrow_udf(_count_terms, "long")("text")).where("size > 0")
+    strata = _written(sized.groupBy("size").agg(F.count("*").alias("docs")), "lengths")
     n, words = strata.agg(F.sum("docs"), F.sum(F.col("docs") * F.col("size"))).first()
     n, words = n or 0, words or 0
     m = F.lit(FLAT_PARTS) + F.expr(f"(cast({LENGTH_PARTS} as bigint) * size * {max(n, 1)}L) div {max(words, 1)}L")
@@ -225,18 +245,20 @@ def search(index: LexicalIndex, items: DataFrame, k: int = 10) -> DataFrame:
     Equal scores go by ascending doc_id; documents with score 0 are not
     returned, so an item may have fewer rows or none. Rows without item_id or
     text ask nothing; rows that repeat an item_id are one item with the terms
-    of all of them. Terms of an item count once. Items are ranked in blocks of
+    of all of them. Terms of an item count once. What is asked is a stored
+    table, so it is broadcast to the postings only if its size allows. Items are ranked in blocks of
     about ``ITEM_BLOCK``, each against all shards; a shard gives at most k
     documents an item.
     """
     asked = items.select(F.col("item_id").cast("long"), F.explode(_terms(F.col("text").cast("string"))).alias("term"))
-    asked = asked.where("item_id is not null").distinct()
+    asked = _written(asked.where("item_id is not null").distinct(), "asked")
     blocks = max(1, -(-asked.select("item_id").distinct().count() // ITEM_BLOCK))
     df = index.postings.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     share = F.lit(float(2 * index.documents + 2)) / (2 * F.col("df") + 1).cast("double")
     weight = F.floor(F.lit(float(TERM_SCALE)) * F.log(share)).cast("long").alias("w")
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("block")
     asks = asked.join(df.select("term", weight), "term").groupBy("term", "w", block).agg(F.collect_list("item_id").alias("items"))
+    asks = _written(asks, "asks")
     hits = index.postings.drop("df").join(asks, "term")
     found = hits.drop("term").groupBy("shard", "block").applyInArrow(_rank(k), "item_id long, doc_id long, score long")
     rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("score"), "doc_id"))
