@@ -6,6 +6,7 @@ from tidemark.operators.delta import (
     strict_batch,
     tie_safe_batch,
 )
+from tidemark.operators.digests import range_digests, rows_of_ranges, uneven_digests
 from tidemark.operators.frontier import contiguous_frontier
 from tidemark.operators.merge import (
     collapsing_merge,
@@ -13,7 +14,7 @@ from tidemark.operators.merge import (
     summing_merge,
     versioned_collapse,
 )
-from tidemark.operators.missing import missing_rows, same_rows, surplus_rows, tail_by_count
+from tidemark.operators.missing import missing_rows, row_digest, same_rows, surplus_rows, tail_by_count
 from tidemark.operators.ordering import batch_ledger, key_positions, page, tie_safe_batches
 from tidemark.operators.profile import profile_lines
 from tidemark.operators.projection import kept_columns, parse_exclusions, project, select_tables
@@ -47,11 +48,14 @@ __all__ = [
     "parse_exclusions",
     "profile_lines",
     "project",
+    "range_digests",
     "read_cut",
     "read_max",
     "reconcile_counts",
     "replacing_merge",
     "row_counts",
+    "row_digest",
+    "rows_of_ranges",
     "same_rows",
     "select_tables",
     "strict_batch",
@@ -60,6 +64,7 @@ __all__ = [
     "tail_by_count",
     "tie_safe_batch",
     "tie_safe_batches",
+    "uneven_digests",
     "uneven_ranges",
     "versioned_collapse",
     "watermark_profile",

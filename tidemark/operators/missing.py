@@ -57,7 +57,7 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
         suspects = F.broadcast(suspects)
 
     def suspected(df: DataFrame) -> DataFrame:
-        digested = df.withColumns(dict(zip(DIGEST, _digest(df))))
+        digested = df.withColumns(dict(zip(DIGEST, row_digest(df))))
         return digested.join(suspects, DIGEST, "left_semi").drop(*DIGEST)
 
     return _except_all(suspected(source), suspected(target))
@@ -76,7 +76,7 @@ def same_rows(source: DataFrame, target: DataFrame) -> bool:
     """
 
     def measure(df: DataFrame) -> tuple:
-        sums = [F.sum(h.cast("decimal(20,0)")) for h in _digest(df)]
+        sums = [F.sum(h.cast("decimal(20,0)")) for h in row_digest(df)]
         return tuple(df.agg(F.count("*"), *sums).first())
 
     return measure(source) == measure(target.select(*(f"`{c}`" for c in source.columns)))
@@ -84,13 +84,13 @@ def same_rows(source: DataFrame, target: DataFrame) -> bool:
 
 def _uneven_digests(source: DataFrame, target: DataFrame) -> DataFrame:
     def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*(h.alias(n) for n, h in zip(DIGEST, _digest(df))), F.lit(sign).alias("_net"))
+        return df.select(*(h.alias(n) for n, h in zip(DIGEST, row_digest(df))), F.lit(sign).alias("_net"))
 
     both = side(source, 1).unionByName(side(target, -1))
     return both.groupBy(*DIGEST).agg(F.sum("_net").alias("_net")).filter("_net <> 0").drop("_net")
 
 
-def _digest(df: DataFrame) -> list[Column]:
+def row_digest(df: DataFrame) -> list[Column]:
     """Two 64-bit hashes of the row with different starts.
 
     The hash skips NULLs and runs through nested values without their bounds, so

@@ -1,4 +1,5 @@
 from tidemark.plans.incremental import add_late_rows, catch_up, drain, late_rows, poll_once, poll_table, recover, store
+from tidemark.plans.late import add_late_ranges, late_in_ranges, uneven_ranges_of
 from tidemark.plans.replicate import (
     copy_tables,
     drain_cycle,
@@ -19,6 +20,7 @@ from tidemark.plans.snapshot import (
 )
 
 __all__ = [
+    "add_late_ranges",
     "add_late_rows",
     "CopyResult",
     "catch_up",
@@ -26,6 +28,7 @@ __all__ = [
     "drain",
     "drain_cycle",
     "fold_target",
+    "late_in_ranges",
     "late_rows",
     "poll_cycle",
     "read_synced",
@@ -41,4 +44,5 @@ __all__ = [
     "sync_tables",
     "table_watermark",
     "target_path",
+    "uneven_ranges_of",
 ]

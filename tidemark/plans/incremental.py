@@ -12,6 +12,7 @@ from tidemark.operators.ordering import key_positions
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import read_max
 from tidemark.plans.snapshot import table_watermark
+from tidemark.sources.ledger import record_digests, write_digests
 from tidemark.sources.state import append_state, append_state_rows
 from tidemark.sources.target import (
     BATCH_COLUMN,
@@ -62,11 +63,25 @@ def poll_once(
 
 
 def store(
-    spark: SparkSession, rows: DataFrame, spec: TableSpec, state: TableState, target: str, state_path: str
+    spark: SparkSession,
+    rows: DataFrame,
+    spec: TableSpec,
+    state: TableState,
+    target: str,
+    state_path: str,
+    digests: DataFrame | None = None,
 ) -> TableState:
-    """Data first, state second: a crash in between replays the same partition."""
+    """Data first, digests next, state last: a crash in between replays the same partition.
+
+    ``digests`` are those of the batch, if they are known; else they are taken from what was stored.
+    """
     check_target(rows, target)
     n_rows = write_batch(rows, target, state.batch_seq, spec.month_of, spec.sort_key)
+    if digests is not None:
+        write_digests(digests.withColumn(BATCH_COLUMN, F.lit(state.batch_seq)), state_path, spec.name)
+    else:
+        seq = state.batch_seq
+        record_digests(spark, spec, state.watermark_column, rows.columns, target, state_path, seq - 1, seq)
     saved = replace(state, synced_rows=state.synced_rows + n_rows)
     append_state(spark, state_path, [saved])
     return saved
@@ -164,7 +179,10 @@ def drain(
     placed = rows.join(lookup, column, "left").select(
         *(f"`{c}`" for c in df.columns), F.coalesce(BATCH_COLUMN, F.lit(last["seq"])).alias(BATCH_COLUMN)
     )
-    n_rows = write_batches(project(placed, spec.withheld), target, spec.month_of, spec.sort_key)
+    kept = project(placed, spec.withheld)
+    n_rows = write_batches(kept, target, spec.month_of, spec.sort_key)
+    columns = [c for c in kept.columns if c != BATCH_COLUMN]
+    record_digests(spark, spec, column, columns, target, state_path, state.batch_seq, last["seq"])
     final = replace(
         state,
         synced_rows=state.synced_rows + n_rows,

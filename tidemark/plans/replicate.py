@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.incremental import drain, poll_table, recover
+from tidemark.plans.late import add_late_ranges
 from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table, table_watermark
 from tidemark.sources.state import compact_state_log, load_state, state_of
 from tidemark.sources.target import read_target
@@ -68,6 +69,8 @@ def poll_cycle(
 ) -> list[CopyResult]:
     """One poll of every copied table; a table that fails waits for the next cycle.
 
+    Tables with ``late_ranges`` first get what arrived below their watermark.
+
     Each poll adds a small file to the state log, which is compacted before
     there are many to a table.
     """
@@ -83,7 +86,7 @@ def drain_cycle(
     batch_rows: int = DEFAULT_BATCH_ROWS,
     workers: int = DEFAULT_WORKERS,
 ) -> list[CopyResult]:
-    """The whole backlog of every copied table; tables without a watermark are polled."""
+    """The whole backlog of every copied table, late rows first; tables without a watermark are polled."""
 
     def follow(spark, df, spec, state, target, log, batch_rows) -> TableState:
         step = poll_table if table_watermark(df, spec).by_count else drain
@@ -132,8 +135,9 @@ def _follow_up(
         before = state_of(states, spec.name)
         if not before.initial_sync_complete:
             return CopyResult(spec.name, "skipped")
-        target = target_path(root, spec.name)
-        after = step(spark, read(spec.name), spec, before, target, state_path(root), batch_rows)
+        df, target = read(spec.name), target_path(root, spec.name)
+        caught_up = add_late_ranges(spark, df, spec, before, target, state_path(root))
+        after = step(spark, df, spec, caught_up, target, state_path(root), batch_rows)
         return CopyResult(spec.name, "ok", after.synced_rows - before.synced_rows)
 
     return _for_each(spark, follow, specs, workers)

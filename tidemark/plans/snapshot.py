@@ -13,6 +13,7 @@ from tidemark.operators.ordering import tie_safe_batches
 from tidemark.operators.projection import project
 from tidemark.operators.watermark import choose, read_max
 from tidemark.session import path_exists
+from tidemark.sources.ledger import record_digests
 from tidemark.sources.state import append_state, load_state, state_of
 from tidemark.sources.target import (
     BATCH_COLUMN,
@@ -65,6 +66,7 @@ def snapshot_table(
     rows = project(snapshot_rows(df, watermark, upto), spec.withheld)
     check_target(rows, target)
     n_rows = write_batch(rows, target, 0, spec.month_of, spec.sort_key)
+    record_digests(spark, spec, watermark.column, rows.columns, target, state_path, -1, 0)
     append_state(spark, state_path, [TableState(spec.name, n_rows, True, watermark.column, upto, 0)])
     stored = read_target(spark, target, keep_layout=True).filter(F.col(BATCH_COLUMN) == 0).count() if n_rows else 0
     return CopyResult(spec.name, "ok" if stored >= n_rows else "target_short", n_rows)
@@ -105,6 +107,8 @@ def snapshot_in_parts(
             rows = snapshot_rows(df, watermark, part["upto"])
         rows = project(rows, spec.withheld)
         n_rows = write_batch(rows, target, part["batch_seq"], spec.month_of, spec.sort_key)
+        seq = part["batch_seq"]
+        record_digests(spark, spec, watermark.column, rows.columns, target, state_path, seq - 1, seq)
         state = TableState(
             spec.name,
             state.synced_rows + n_rows,

@@ -4,6 +4,7 @@ from tidemark.sources.jsonlines import (
     read_with_bad_lines,
     write_json_lines,
 )
+from tidemark.sources.ledger import discard_digests, ledger_path, read_digests, record_digests, write_digests
 from tidemark.sources.state import (
     STATE_SCHEMA,
     append_state,
@@ -37,23 +38,28 @@ __all__ = [
     "check_target",
     "compact_state_log",
     "count_bad_lines",
+    "discard_digests",
     "discard_uncommitted",
     "file_reader",
     "fold_state",
     "latest_per_key",
+    "ledger_path",
     "list_tables",
     "load_state",
     "month_layout",
     "pending_batches",
+    "read_digests",
     "read_json_lines",
     "read_state_log",
     "read_target",
     "read_with_bad_lines",
+    "record_digests",
     "state_of",
     "table_reader",
     "target_schema",
     "write_batch",
     "write_batches",
     "write_derived",
+    "write_digests",
     "write_json_lines",
 ]

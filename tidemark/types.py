@@ -47,6 +47,8 @@ class TableSpec:
     ``month_column`` names a partition column of the source that holds the month
     of its watermark: reads of new rows prune by it, and it is not copied.
     ``parts`` above 1 makes the first copy of a large table resumable.
+    ``late_ranges`` keeps digests of the watermark's ranges, by which rows are
+    found that arrive below it: a calendar unit ("month") or a width.
     """
 
     name: str
@@ -56,6 +58,7 @@ class TableSpec:
     month_column: str | None = None
     watermark: Watermark | None = None
     parts: int = 1
+    late_ranges: str | int | None = None
 
     @property
     def withheld(self) -> tuple[str, ...]:
