@@ -241,6 +241,16 @@ def missing_rows_by_digest(spark, sf_dir):
     return ops.missing_rows(*_orders_and_short_target(spark, sf_dir), by_digest=True)
 
 
+def _doubled_and_gapped(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders of which some stand twice, and a target that lacks a few."""
+    orders = table(spark, sf_dir, "orders")
+    return orders.unionByName(orders.filter("o_orderkey % 97 = 0")), orders.filter("o_orderkey % 50 <> 7")
+
+
+def missing_by_sketch(spark, sf_dir):
+    return ops.missing_by_sketch(*_doubled_and_gapped(spark, sf_dir))
+
+
 def surplus_rows(spark, sf_dir):
     orders, short = _orders_and_short_target(spark, sf_dir)
     return ops.surplus_rows(short, orders)
@@ -335,6 +345,33 @@ def late_per_month(spark, sf_dir):
     return uneven.select(F.substring("range", 1, 7).alias("month"), F.col("n_rows").alias("n_late"))
 
 
+def _last_week(orders: DataFrame) -> DataFrame:
+    """Orders as they stood before: pending ones not there yet, some prices other, some orders since deleted."""
+    changed = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    gone = orders.filter("o_orderkey % 25 = 0").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", changed).unionByName(gone)
+
+
+def change_feed(spark, sf_dir):
+    """What happened to each order since, with the price before and after."""
+    orders = table(spark, sf_dir, "orders")
+    changes = ops.snapshot_changes(_last_week(orders), orders, ["o_orderkey"])
+    prices = [F.col(f"{side}.o_totalprice").alias(f"price_{side}") for side in ("before", "after")]
+    return changes.select("o_orderkey", "op", *prices)
+
+
+def mirrored_table(spark, sf_dir):
+    """Orders mirrored in three states: updates and deletes reach the target."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "mirror")
+    spec = TableSpec("orders", mirror_key=("o_orderkey",), month_of="o_orderdate")
+    for seen in (_last_week(orders), orders.filter("o_orderkey % 3 <> 0"), orders):
+        results = plans.sync_tables(spark, lambda _: seen, [spec], root)  # noqa: B023
+        if results[0].error:
+            raise RuntimeError(f"the copy failed: {results}")
+    return plans.read_mirrored(spark, root, spec)
+
+
 def source_with_layout_names(spark, sf_dir):
     """A table that itself has a month and a batch column: both come back whole."""
     month = month_number("o_orderdate").alias("yyyymm")
@@ -557,6 +594,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         tail_by_count_by_range,
         missing_rows,
         missing_rows_by_digest,
+        missing_by_sketch,
         surplus_rows,
         reconcile_counts,
         uneven_ranges,
@@ -579,6 +617,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         late_and_new_rows,
         rows_years_late,
         late_per_month,
+        change_feed,
+        mirrored_table,
         source_with_layout_names,
         resumed_copy,
         appended_versions,
@@ -723,6 +763,9 @@ def oracle_sql() -> dict[str, str]:
         "tail_by_count_by_range": _TAIL,
         "missing_rows": _MISSING,
         "missing_rows_by_digest": _MISSING,
+        "missing_by_sketch": """
+            SELECT * FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 97 = 0)
+            EXCEPT ALL SELECT * FROM orders WHERE o_orderkey % 50 <> 7""",
         "surplus_rows": _MISSING,
         "reconcile_counts": f"""
             SELECT table_name, src, dst, src - dst AS diff, {status} FROM (
@@ -762,6 +805,15 @@ def oracle_sql() -> dict[str, str]:
             FROM events GROUP BY 1, 2 HAVING sum(value) <> 0""",
         "late_and_new_rows": "SELECT * FROM orders",
         "rows_years_late": "SELECT * FROM orders",
+        "mirrored_table": "SELECT * FROM orders",
+        "change_feed": """
+            WITH before AS (
+              SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS price
+              FROM orders WHERE o_orderstatus <> 'P'
+              UNION ALL SELECT -o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 25 = 0)
+            SELECT o_orderkey, CASE WHEN b.price IS NULL THEN 'insert' WHEN o.o_totalprice IS NULL THEN 'delete' ELSE 'update' END AS op,
+              b.price AS price_before, o.o_totalprice AS price_after
+            FROM before b FULL JOIN orders o USING (o_orderkey) WHERE b.price IS DISTINCT FROM o.o_totalprice""",
         "late_per_month": """
             SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_late FROM orders
             WHERE o_orderkey % 10 = 0

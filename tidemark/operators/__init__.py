@@ -1,3 +1,4 @@
+from tidemark.operators.changes import SIGN_COLUMN, pending_changes, signed_rows, snapshot_changes
 from tidemark.operators.delta import (
     batch_stats,
     in_range,
@@ -19,6 +20,7 @@ from tidemark.operators.ordering import batch_ledger, key_positions, page, tie_s
 from tidemark.operators.profile import profile_lines
 from tidemark.operators.projection import kept_columns, parse_exclusions, project, select_tables
 from tidemark.operators.reconcile import reconcile_counts, row_counts, uneven_ranges
+from tidemark.operators.sketch import difference_sketch, missing_by_sketch, surplus_by_sketch, uneven_hashes
 from tidemark.operators.watermark import (
     choose,
     choose_from_catalog,
@@ -37,15 +39,18 @@ __all__ = [
     "collapsing_merge",
     "column_catalog",
     "contiguous_frontier",
+    "difference_sketch",
     "in_range",
     "kept_columns",
     "key_positions",
     "max_watermark",
     "max_watermarks",
+    "missing_by_sketch",
     "missing_rows",
     "newer_than",
     "page",
     "parse_exclusions",
+    "pending_changes",
     "profile_lines",
     "project",
     "range_digests",
@@ -58,13 +63,18 @@ __all__ = [
     "rows_of_ranges",
     "same_rows",
     "select_tables",
+    "SIGN_COLUMN",
+    "signed_rows",
+    "snapshot_changes",
     "strict_batch",
     "summing_merge",
+    "surplus_by_sketch",
     "surplus_rows",
     "tail_by_count",
     "tie_safe_batch",
     "tie_safe_batches",
     "uneven_digests",
+    "uneven_hashes",
     "uneven_ranges",
     "versioned_collapse",
     "watermark_profile",

@@ -46,7 +46,7 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
     """
     target = target.select(*(f"`{c}`" for c in source.columns))
     if not by_digest:
-        return _except_all(source, target)
+        return except_all(source, target)
     spark, path = source.sparkSession, scratch_path(source.sparkSession, "suspects")
     _uneven_digests(source, target).write.parquet(path)
     suspects = spark.read.parquet(path)
@@ -60,7 +60,7 @@ def missing_rows(source: DataFrame, target: DataFrame, by_digest: bool = False)
         digested = df.withColumns(dict(zip(DIGEST, row_digest(df))))
         return digested.join(suspects, DIGEST, "left_semi").drop(*DIGEST)
 
-    return _except_all(suspected(source), suspected(target))
+    return except_all(suspected(source), suspected(target))
 
 
 def surplus_rows(source: DataFrame, target: DataFrame, by_digest: bool = False) -> DataFrame:
@@ -121,7 +121,7 @@ def _comparable(df: DataFrame) -> list[Column]:
     ]
 
 
-def _except_all(source: DataFrame, target: DataFrame) -> DataFrame:
+def except_all(source: DataFrame, target: DataFrame) -> DataFrame:
     """The multiset difference, with many copies of one row spread over tasks.
 
     Like the built-in operator this counts every distinct row up on one side and

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.incremental import drain, poll_table, recover
 from tidemark.plans.late import add_late_ranges
+from tidemark.plans.mirror import fold_mirror, mirror_table
 from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table, table_watermark
 from tidemark.sources.state import compact_state_log, load_state, state_of
 from tidemark.sources.target import read_target
@@ -35,6 +36,12 @@ def read_synced(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_target(spark, target_path(root, table), upto=state.batch_seq)
 
 
+def read_mirrored(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """The state of a mirrored table as of its last recorded batch."""
+    state = state_of(load_state(spark, state_path(root)), spec.name)
+    return fold_mirror(spark, target_path(root, spec.name), spec.mirror_key, state.batch_seq)
+
+
 def copy_tables(
     spark: SparkSession, read: Reader, specs: Sequence[TableSpec], root: str, workers: int = DEFAULT_WORKERS
 ) -> list[CopyResult]:
@@ -52,6 +59,9 @@ def copy_tables(
         if state.initial_sync_complete:
             recover(spark, df, spec, state, target)
             return CopyResult(spec.name, "skipped")
+        if spec.mirror_key:
+            stored = mirror_table(spark, df, spec, state, target, state_path(root))
+            return CopyResult(spec.name, "ok", stored.synced_rows)
         in_parts = spec.parts > 1 or state.batch_seq >= 0  # parts that were begun are finished
         snapshot = snapshot_in_parts if in_parts else snapshot_table
         return snapshot(spark, df, spec, target, state_path(root))
@@ -136,8 +146,11 @@ def _follow_up(
         if not before.initial_sync_complete:
             return CopyResult(spec.name, "skipped")
         df, target = read(spec.name), target_path(root, spec.name)
-        caught_up = add_late_ranges(spark, df, spec, before, target, state_path(root))
-        after = step(spark, df, spec, caught_up, target, state_path(root), batch_rows)
+        if spec.mirror_key:
+            after = mirror_table(spark, df, spec, before, target, state_path(root))
+        else:
+            caught_up = add_late_ranges(spark, df, spec, before, target, state_path(root))
+            after = step(spark, df, spec, caught_up, target, state_path(root), batch_rows)
         return CopyResult(spec.name, "ok", after.synced_rows - before.synced_rows)
 
     return _for_each(spark, follow, specs, workers)

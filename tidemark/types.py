@@ -49,6 +49,8 @@ class TableSpec:
     ``parts`` above 1 makes the first copy of a large table resumable.
     ``late_ranges`` keeps digests of the watermark's ranges, by which rows are
     found that arrive below it: a calendar unit ("month") or a width.
+    ``mirror_key`` makes the target a mirror by that unique key: every poll
+    compares whole states, so updates and deletes are applied too.
     """
 
     name: str
@@ -59,6 +61,7 @@ class TableSpec:
     watermark: Watermark | None = None
     parts: int = 1
     late_ranges: str | int | None = None
+    mirror_key: tuple[str, ...] = ()
 
     @property
     def withheld(self) -> tuple[str, ...]:
