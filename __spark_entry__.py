@@ -348,7 +348,7 @@ def late_per_month(spark, sf_dir):
 def _last_week(orders: DataFrame) -> DataFrame:
     """Orders as they stood before: pending ones not there yet, some prices other, some orders since deleted."""
     changed = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    gone = orders.filter("o_orderkey % 25 = 0").withColumn("o_orderkey", -F.col("o_orderkey"))
+    gone = orders.filter("o_orderkey % 25 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     return orders.filter("o_orderstatus <> 'P'").withColumn("o_totalprice", changed).unionByName(gone)
 
 
@@ -810,7 +810,7 @@ def oracle_sql() -> dict[str, str]:
             WITH before AS (
               SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS price
               FROM orders WHERE o_orderstatus <> 'P'
-              UNION ALL SELECT -o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 25 = 0)
+              UNION ALL SELECT -o_orderkey - 1, o_totalprice FROM orders WHERE o_orderkey % 25 = 0)
             SELECT o_orderkey, CASE WHEN b.price IS NULL THEN 'insert' WHEN o.o_totalprice IS NULL THEN 'delete' ELSE 'update' END AS op,
               b.price AS price_before, o.o_totalprice AS price_after
             FROM before b FULL JOIN orders o USING (o_orderkey) WHERE b.price IS DISTINCT FROM o.o_totalprice""",
