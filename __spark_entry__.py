@@ -37,6 +37,7 @@ TABLES = (
 
 LINE_ITEMS = TableSpec("lineitem", sort_key=("l_orderkey", "l_linenumber"))
 FULL_POLLS = 12
+STREAM_FILES = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -448,13 +449,24 @@ def stream_without_repeats(spark, sf_dir):
     files, target = scratch_path(spark, "files"), scratch_path(spark, "stream")
     events = table(spark, sf_dir, "events")
     for _ in range(2):
-        events.coalesce(1).write.mode("append").parquet(files)
-    stream = streaming.read_stream(spark, files, events.schema, max_files=1)
+        events.repartition(STREAM_FILES, "event_id").write.mode("append").parquet(files)
+    stream = streaming.read_stream(spark, files, events.schema, max_files=STREAM_FILES)
     once = streaming.drop_repeats(stream, ["event_id"], "ts", "3650 days")
     streaming.follow(once, target, scratch_path(spark, "offsets"), once=True).awaitTermination()
     return spark.read.parquet(target)
 
 
+def latest_as_stream(spark, sf_dir):
+    """Events in four files, out of order, followed into a change log of each user's latest, then folded."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    files, target = scratch_path(spark, "files"), scratch_path(spark, "log")
+    events.repartition(4, F.col("event_id") % 101).write.parquet(files)
+    stream = streaming.read_stream(spark, files, events.schema, max_files=1)
+    log = streaming.latest_versions(stream, ["user_id"], ["ts", "event_id"])
+    streaming.follow(log, target, scratch_path(spark, "offsets"), once=True).awaitTermination()
+    return ops.replacing_merge(spark.read.parquet(target).drop(streaming.OP_COLUMN), ["user_id"], "ts", ["event_id"])
+
+
 def jsonl_trailing(spark, sf_dir):
     """Event properties with something after them on every third line: those are bad, as a whole."""
     events = table(spark, sf_dir, "events")
@@ -624,6 +636,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         appended_versions,
         stream_of_many_files,
         stream_without_repeats,
+        latest_as_stream,
         jsonl_trailing,
     ]
     found = {query.__name__: query for query in registered}
@@ -694,6 +707,9 @@ def oracle_sql() -> dict[str, str]:
     status = (
         "CASE WHEN src > dst THEN 'target_short' WHEN src < dst THEN 'target_extra' ELSE 'match' END AS status"
     )
+    latest = """
+            SELECT user_id, ts, event_id, event_type, value FROM events
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
     extra = llm.oracle_sql() if llm else {}
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
         extra["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -785,9 +801,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT l_orderkey, CAST(coalesce(run, 0) + 1 AS BIGINT) AS frontier,
               CAST(coalesce(n, 0) - coalesce(run, 0) AS BIGINT) AS n_ahead
             FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN ends USING (l_orderkey)""",
-        "replacing_merge": """
-            SELECT user_id, ts, event_id, event_type, value FROM events
-            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "replacing_merge": latest,
+        "latest_as_stream": latest,
         "collapsing_merge": """
             WITH signed AS (SELECT *, CASE WHEN event_type = 'error' THEN -1 ELSE 1 END AS sign FROM events),
             folded AS (

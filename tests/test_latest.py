@@ -1,0 +1,85 @@
+"""Latest versions as a stream: the same as the batch fold, across micro-batches and restarts."""
+
+import random
+import time
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import operators as ops
+from tidemark import streaming
+
+SCHEMA = "k long, version long, at timestamp_ntz, price decimal(12,2), tags array<string>"
+
+
+def versions(spark, seed, n):
+    """Versions of a few keys out of order, some of them repeated, some keys and versions NULL."""
+    draw = random.Random(seed)
+    rows = [(draw.choice([None, *range(12)]), draw.choice([None, *range(500)]), i, Decimal(i) / 4, [str(i)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, version long, i int, price decimal(12,2), tags array<string>")
+    return df.select("k", "version", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, i)").alias("at"), "price", "tags")
+
+
+def bag(df):
+    return Counter(tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.collect())
+
+
+def run(spark, files, folder, **options):
+    stream = streaming.read_stream(spark, files, options.pop("schema"), max_files=1)
+    log = streaming.latest_versions(stream, ["k"], ["version", "at"], **options)
+    streaming.follow(log, f"{folder}/log", f"{folder}/offsets", once=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/log")
+
+
+@pytest.fixture
+def disk_state(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    yield
+    spark.conf.set(name, before)
+
+
+def test_equals_the_batch_fold_also_after_restarts(spark, folder, disk_state):
+    whole = versions(spark, 1, 240)
+    files = f"{folder}_files"
+    told = 0
+    for part in range(3):
+        whole.filter(F.col("price") % 3 == part).repartition(2, "at").write.mode("append").parquet(files)
+        log = run(spark, files, folder, schema=whole.schema)  # goes on from its checkpoint
+        seen = spark.read.parquet(files)
+        assert bag(ops.replacing_merge(log.drop(streaming.OP_COLUMN), ["k"], None, ["version", "at"])) == bag(ops.replacing_merge(seen, ["k"], None, ["version", "at"]))
+        assert log.count() > told
+        told = log.count()
+    assert told < whole.count() / 2  # what is older than what its key has shown stays out
+    assert run(spark, files, folder, schema=whole.schema).count() == told
+    ops_of = log.groupBy("k").agg(F.count_if(F.col(streaming.OP_COLUMN) == "insert").alias("n"))
+    assert {r["n"] for r in ops_of.collect()} == {1}
+
+
+def test_forgets_after_a_while(spark, folder, disk_state):
+    whole = versions(spark, 2, 60)
+    files = f"{folder}_files"
+    whole.repartition(2, "at").write.parquet(files)
+    stream = streaming.read_stream(spark, files, whole.schema, max_files=1)
+    log = streaming.latest_versions(stream, ["k"], ["version", "at"], "30 days")
+    query = streaming.follow(log, f"{folder}/log", f"{folder}/offsets", interval="1 second")
+    end, read = time.monotonic() + 40, 0
+    while time.monotonic() < end and read < whole.count():
+        time.sleep(1)
+        read = sum(p["numInputRows"] for p in query.recentProgress)
+    query.stop()
+    log = spark.read.parquet(f"{folder}/log")
+    assert bag(ops.replacing_merge(log.drop(streaming.OP_COLUMN), ["k"], None, ["version", "at"])) == bag(ops.replacing_merge(whole, ["k"], None, ["version", "at"]))
+    with pytest.raises(ValueError, match="no time"):
+        streaming.latest_versions(streaming.read_stream(spark, files, whole.schema), ["k"], ["at"], "0 days")
+
+
+def test_refused(spark, folder):
+    df = spark.range(1).withColumn("v", F.lit(1))
+    for args in ((["x"], ["v"]), (["id"], []), ([], ["v"])):
+        with pytest.raises(ValueError, match="columns of the stream"):
+            streaming.latest_versions(df, *args)
+    with pytest.raises(ValueError, match="rename"):
+        streaming.latest_versions(df.withColumn("Tidemark_op", F.lit("")), ["id"], ["v"])

@@ -93,9 +93,10 @@ def strict_batch(
 
     Only for columns without ties, as the next strict read skips the rest of a
     group of equal watermarks: ``tiebreak`` decides which of them come, and the
-    whole key must be unique where the batch ends. No task gathers the rows.
+    whole key must be unique where the batch ends. A page of what is newer: its
+    ends are looked up among the keys, and no task gathers the rows.
     """
-    return page(tie_safe_batch(df, column, after, limit, max_gather), [column, *tiebreak], 0, limit, max_gather)
+    return page(newer_than(df, column, after), [column, *tiebreak], 0, limit, max_gather)
 
 
 def batch_stats(batch: DataFrame, column: str, previous: object = None) -> DataFrame:
