@@ -2,7 +2,7 @@
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Texts are long and may be very long: so many bytes of them go to a Python worker at a time.
@@ -24,3 +24,15 @@ def let_workers_import(spark: SparkSession) -> None:
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have, whatever their case: these, with underscores in front if need be."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out

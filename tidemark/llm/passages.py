@@ -1,9 +1,9 @@
 """Passages that repeat across documents, found by chaining shared k-mer seeds.
 
 Seeds are minimizers of short, middle and long runs of words: of every few
-successive runs, the one with the smallest hash. Each occurrence of a seed is
-joined to the seed's first occurrence only, so a passage shared by n documents
-costs n rows, not n * n. A passage whose short seeds first stand scattered in
+successive runs, the one with the smallest hash. They are shuffled once, packed
+by range of hashes; each occurrence of a seed meets the seed's first occurrence
+only, so a passage shared by n documents costs n matches, not n * n. A passage whose short seeds first stand scattered in
 other documents is found by its longer ones, which stand in its source alone.
 Matches between two documents are chained in order under a gap cost, with a
 Fenwick tree for the best predecessor, and chains are aligned word by word.
@@ -20,6 +20,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm import free_names
 from tidemark.llm.near import text_hash
 from tidemark.llm.words import held
 from tidemark.session import scratch_path
@@ -37,8 +38,17 @@ REACH = K + WINDOW + 3
 BREAK = 12
 #: A single match counts if there is another this near on its diagonal.
 FAR = 60
+#: Cells of an alignment's table.
+TABLE_CELLS = 40_000
 #: Shorter aligned pieces are chance.
 LEAST_PIECE = 8
+#: Seeds of a range that is matched at once, and characters that on average bring one.
+RANGE_SEEDS = 1_000_000
+SEED_CHARS = 6
+#: A seed of more documents of one batch is matched within the batch, and only its first occurrence is dealt.
+HOT_DOCS = 64
+#: Low bytes of a seed that are not shuffled: 56 bits tell seeds apart, and alignment checks words.
+_SPARED = 8
 _CACHED_WORDS = 200_000
 _SPREAD = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64)) for j in range(LEVELS[-1][0])]
 
@@ -153,6 +163,14 @@ def chains(own: list[int], other: list[int]) -> list[list[int]]:
     return out
 
 
+def _common_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Words that the best alignment of ``a`` with every beginning of ``b`` pairs."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for word in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == word)))
+    return row
+
+
 def _partnered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which words of ``a`` have a partner in the best alignment with ``b``."""
     if len(a) == 0 or len(b) == 0:
@@ -162,9 +180,13 @@ def _partnered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if same.mean() >= 0.5 or len(a) < 3:
             return same
     n, m = len(a), len(b)
+    if n == 1:
+        return np.array([(b == a[0]).any()])
+    if n * m > TABLE_CELLS:  # halved where the best alignment crosses the middle, so memory stays linear
+        half = n // 2
+        cut = int(np.argmax(_common_lengths(a[:half], b) + _common_lengths(a[half:][::-1], b[::-1])[::-1]))
+        return np.concatenate([_partnered(a[:half], b[:cut]), _partnered(a[half:], b[cut:])])
     out = np.zeros(n, bool)
-    if n * m > 40_000:
-        return out
     table = np.zeros((n + 1, m + 1), np.int32)
     equal = a[:, None] == b[None, :]
     for i in range(1, n + 1):
@@ -265,8 +287,45 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _seed_rows(texts: DataFrame) -> DataFrame:
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned numbers as planes of bytes, as many as the largest needs, after their count: few bytes, and equal ones side by side."""
+    wide = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([wide]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].T.tobytes()
+
+
+def _numbers(planes: bytes, n: int) -> np.ndarray:
+    wide = planes[0]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :wide] = np.frombuffer(planes, np.uint8, offset=1).reshape(wide, n).T
+    return out.reshape(-1).view("<u8")
+
+
+_BLOCKS = ["range", "n", "seeds", "base", "docs", "places"]
+
+
+def _packed(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, ranges: np.ndarray) -> pa.RecordBatch:
+    """One row per range of seeds; the seeds are sorted, so ranges stand together."""
+    edges = [0, *(np.flatnonzero(ranges[1:] != ranges[:-1]) + 1).tolist(), len(ranges)]
+    rows: list[tuple] = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        base = int(doc[a:b].min())
+        rows.append((int(ranges[a]), b - a, _planes(seed[a:b]), base, _planes((doc[a:b] - base).view("<u8")), _planes(at[a:b])))
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _BLOCKS)
+
+
+def _seed_blocks(texts: DataFrame, n_ranges: int) -> DataFrame:
+    """All seeds with their document and place, one row per batch of texts and range of seeds.
+
+    A seed that very many documents of a batch hold gets a range of its own for
+    this batch, and only its first occurrence is dealt to the seeds of others: no
+    seed brings more than a row per batch to one task.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        own_range = n_ranges + (TaskContext.get().partitionId() << 32)
         for batch in batches:
             docs, at, hashes = batch.column(0).to_numpy(), [], []
             for text in batch.column(1).to_pylist():
@@ -274,12 +333,43 @@ def _seed_rows(texts: DataFrame) -> DataFrame:
                 found = [seeds(words, *level) for level in LEVELS]
                 at.append(np.concatenate([a for a, _ in found]))
                 hashes.append(np.concatenate([h for _, h in found]))
-            if at:
-                owner = np.repeat(docs, [len(a) for a in at])
-                arrays = [pa.array(np.concatenate(hashes)), pa.array(owner), pa.array(np.concatenate(at))]
-                yield pa.RecordBatch.from_arrays(arrays, ["seed", "doc", "at"])
-
-    return texts.mapInArrow(run, "seed long, doc long, at int")
+            if not at or not sum(map(len, at)):
+                continue
+            seed = np.concatenate(hashes).view("<u8") >> np.uint64(_SPARED)
+            doc = np.repeat(docs, [len(a) for a in at])
+            order = np.lexsort((doc, seed))
+            seed, doc, at = seed[order], doc[order], np.concatenate(at)[order]
+            ranges = (((seed >> np.uint64(24)) * np.uint64(n_ranges)) >> np.uint64(32)).astype(np.int64)
+            new = np.r_[True, seed[1:] != seed[:-1]]
+            run_of = np.cumsum(new) - 1
+            other = np.r_[True, (doc[1:] != doc[:-1]) | new[1:]]
+            hot = np.bincount(run_of, other)[run_of] > HOT_DOCS
+            keep = ~hot | new
+            yield _packed(seed[keep], doc[keep], at[keep], ranges[keep])
+            if hot.any():
+                yield _packed(seed[hot], doc[hot], at[hot], np.full(int(hot.sum()), own_range))
+                own_range += 1
+
+    return texts.mapInArrow(run, "range long, n int, seeds binary, base long, docs binary, places binary")
+
+
+def _match(blocks: pa.Table) -> pa.Table:
+    """Matches of one range: every occurrence of a seed with the seed's first, unless both are of one document."""
+    rows = [c.to_pylist() for c in (blocks["n"], blocks["seeds"], blocks["base"], blocks["docs"], blocks["places"])]
+    seed = np.concatenate([_numbers(s, n) for n, s in zip(rows[0], rows[1], strict=True)])
+    doc = np.concatenate([_numbers(d, n).view("<i8") + base for n, base, d in zip(rows[0], rows[2], rows[3], strict=True)])
+    at = np.concatenate([_numbers(p, n) for n, p in zip(rows[0], rows[4], strict=True)]).astype(np.int32)
+    order = np.lexsort((at, doc, seed))
+    seed, doc, at = seed[order], doc[order], at[order]
+    new = np.r_[True, seed[1:] != seed[:-1]]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(seed)), 0))
+    of = np.flatnonzero(doc != doc[first])
+    doc, src, own, other = doc[of], doc[first[of]], at[of], at[first[of]]
+    order = np.lexsort((src, doc))
+    doc, src, own, other = (c[order] for c in (doc, src, own, other))
+    pairs = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (src[1:] != src[:-1])][: len(doc)])
+    lists = [pa.ListArray.from_arrays(np.r_[pairs, len(doc)].astype(np.int32), pa.array(c)) for c in (own, other)]
+    return pa.Table.from_arrays([pa.array(doc[pairs]), pa.array(src[pairs]), *lists], ["doc", "src", "own", "other"])
 
 
 def _alone_near(i: int, own: list[int], other: list[int]) -> bool:
@@ -294,7 +384,7 @@ def _alone_near(i: int, own: list[int], other: list[int]) -> bool:
 
 
 def _chain_rows(matches: DataFrame) -> DataFrame:
-    """Chains for every pair of documents that share two seeds; rows are dealt by document and read in order."""
+    """Chains for every pair of documents that share two seeds; lists of matches are dealt by document and read in order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc", pa.int64()), ("src", pa.int64()), ("own", pa.list_(pa.int32())), ("other", pa.list_(pa.int32()))])
@@ -314,7 +404,11 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            columns = [batch.column(i).to_numpy() for i in range(4)]
+            places = [batch.column(i) for i in (2, 3)]
+            sizes = np.diff(places[0].offsets.to_numpy())
+            columns = [np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1)] + [p.flatten().to_numpy() for p in places]
+            if not len(columns[0]):
+                continue
             cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last document may go on
             if cut:
                 held.append([c[:cut] for c in columns])
@@ -324,7 +418,7 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
         if held:
             yield found([np.concatenate(c) for c in zip(*held, strict=True)])
 
-    dealt = matches.repartition("doc").sortWithinPartitions("doc", "src", "own", "other")
+    dealt = matches.repartition("doc").sortWithinPartitions("doc", "src")
     return dealt.mapInArrow(run, "doc long, src long, own array<int>, other array<int>")
 
 
@@ -362,16 +456,9 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     """
     spark = docs.sparkSession
     texts = _texts(docs)
-    path = scratch_path(spark, "seeds")
-    _seed_rows(texts).write.parquet(path)
-    rows = spark.read.parquet(path)
-    firsts = rows.groupBy("seed").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"))
-    firsts = firsts.where("last <> first.doc").select("seed", F.col("first.doc").alias("src"), F.col("first.at").alias("other"))
-    # read from a table, so that the join alone deals the rows and a seed of very many can be split among tasks
-    path = scratch_path(spark, "firsts")
-    firsts.write.parquet(path)
-    firsts = spark.read.parquet(path)
-    matches = rows.join(firsts, "seed").where("doc <> src").select("doc", "src", F.col("at").alias("own"), "other")
+    chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = _seed_blocks(texts, max(1, -(-chars // (SEED_CHARS * RANGE_SEEDS))))
+    matches = blocks.groupBy("range").applyInArrow(_match, "doc long, src long, own array<int>, other array<int>")
     path = scratch_path(spark, "chains")
     _chain_rows(matches).write.parquet(path)
     lo, hi = F.greatest(F.get("other", F.lit(0)) - REACH, F.lit(0)), F.element_at("other", -1) + (K + REACH)
@@ -404,11 +491,12 @@ def without_repeats(docs: DataFrame, least_words: int = 50, similarity: float =
     was blank before stays. All columns stay as they are but ``text``.
     """
     found = repeated_passages(docs, least_words, similarity).where("rest is not null")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("rest").alias("_rest"))
-    keyed = docs.withColumn("_text", text_hash(F.col("text").cast("string")))
-    on = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_text") == F.col("_hash"))
-    cut = keyed.join(found, on, "left").where(r"_rest is null or _rest rlike '\\S'")
-    return cut.withColumn("text", F.coalesce("_rest", "text")).select(*("`" + c.replace("`", "``") + "`" for c in docs.columns))
+    of, key, rest, own = free_names(docs, "of", "key", "rest", "own")
+    found = found.select(F.col("doc_id").alias(of), F.col("text_hash").alias(key), F.col("rest").alias(rest))
+    keyed = docs.withColumn(own, text_hash(F.col("text").cast("string")))
+    on = (F.col("doc_id").cast("long") == F.col(of)) & (F.col(own) == F.col(key))
+    cut = keyed.join(found, on, "left").where(F.col(rest).isNull() | F.col(rest).rlike(r"\S"))
+    return cut.withColumn("text", F.coalesce(rest, "text")).select(*("`" + c.replace("`", "``") + "`" for c in docs.columns))
 
 
 def _passages_of(doc: int, text: str, held: list[dict], least_words: int, similarity: float) -> list[tuple]:
