@@ -203,14 +203,32 @@ def _partnered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _partnered_in_step(a: np.ndarray, b: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """``_partnered`` of each part between the cuts, for parts of equal length in both."""
+    same = a == b
+    sums, sizes = np.add.reduceat(same, cuts[:-1], dtype=np.int64), np.diff(cuts)
+    for g in np.flatnonzero((2 * sums < sizes) & (sizes >= 3)).tolist():
+        part = slice(cuts[g], cuts[g + 1])
+        same[part] = _partnered(a[part], b[part])
+    return same
+
+
 def align(own: np.ndarray, other: np.ndarray, at_own: list[int], at_other: list[int], similarity: float) -> list[tuple]:
     """(start, end, similarity) of passages of ``own`` that the chain's seeds and the words around them carry."""
     flags, first = [], max(0, at_own[0] - REACH)
     lead = min(at_own[0] - first, at_other[0])
     first = at_own[0] - lead
     flags.append(_partnered(own[first : at_own[0]], other[at_other[0] - lead : at_other[0]]))
-    for i in range(len(at_own) - 1):
-        flags.append(_partnered(own[at_own[i] : at_own[i + 1]], other[at_other[i] : at_other[i + 1]]))
+    x, y = np.array(at_own), np.array(at_other)
+    # from one change of diagonal to the next, words are compared at once
+    ends = np.r_[np.flatnonzero(np.diff(x - y)), len(x) - 1]
+    i = 0
+    for j in ends.tolist():
+        if j > i:
+            flags.append(_partnered_in_step(own[x[i] : x[j]], other[y[i] : y[j]], x[i : j + 1] - x[i]))
+        if j + 1 < len(x):
+            flags.append(_partnered(own[x[j] : x[j + 1]], other[y[j] : y[j + 1]]))
+        i = j + 1
     tail = min(K + REACH, len(own) - at_own[-1], len(other) - at_other[-1])
     flags.append(_partnered(own[at_own[-1] : at_own[-1] + tail], other[at_other[-1] : at_other[-1] + tail]))
     hits = np.flatnonzero(np.concatenate(flags))
@@ -383,11 +401,24 @@ def _alone_near(i: int, own: list[int], other: list[int]) -> bool:
     return False
 
 
+def _near_in_source(found: list[list[int]], other: list[int]) -> list[tuple[int, int, list[list[int]]]]:
+    """(lo, hi, chains): chains whose words of the source, lo to hi, overlap or nearly do, so that these are read once."""
+    out: list[tuple[int, int, list[list[int]]]] = []
+    for chain in sorted(found, key=lambda c: other[c[0]]):
+        lo, hi = max(0, other[chain[0]] - REACH), other[chain[-1]] + K + REACH
+        if out and lo <= out[-1][1] + FAR:
+            out[-1] = (out[-1][0], max(out[-1][1], hi), [*out[-1][2], chain])
+        else:
+            out.append((lo, hi, [chain]))
+    return out
+
+
 def _chain_rows(matches: DataFrame) -> DataFrame:
     """Chains for every pair of documents that share two seeds; lists of matches are dealt by document and read in order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc", pa.int64()), ("src", pa.int64()), ("own", pa.list_(pa.int32())), ("other", pa.list_(pa.int32()))])
+        lists = pa.list_(pa.list_(pa.int32()))
+        schema = pa.schema([("doc", pa.int64()), ("src", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("own", lists), ("other", lists)])
 
         def found(columns: list[np.ndarray]) -> pa.RecordBatch:
             doc, src, own, other = columns
@@ -397,10 +428,11 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
                 if b - a > 1:
                     pairs = sorted(set(zip(own[a:b].tolist(), other[a:b].tolist(), strict=True)))
                     x, y = [p[0] for p in pairs], [p[1] for p in pairs]
-                    for chain in chains(x, y):
-                        if len(chain) > 1 or _alone_near(chain[0], x, y):
-                            out.append((int(doc[a]), int(src[a]), [x[i] for i in chain], [y[i] for i in chain]))
-            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], schema.types[i]) for i in range(4)], schema=schema)
+                    good = [c for c in chains(x, y) if len(c) > 1 or _alone_near(c[0], x, y)]
+                    for lo, hi, together in _near_in_source(good, y):
+                        own_at, other_at = ([[at[i] for i in chain] for chain in together] for at in (x, y))
+                        out.append((int(doc[a]), int(src[a]), lo, hi, own_at, other_at))
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(schema.types)], schema=schema)
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
@@ -419,7 +451,7 @@ def _chain_rows(matches: DataFrame) -> DataFrame:
             yield found([np.concatenate(c) for c in zip(*held, strict=True)])
 
     dealt = matches.repartition("doc").sortWithinPartitions("doc", "src")
-    return dealt.mapInArrow(run, "doc long, src long, own array<int>, other array<int>")
+    return dealt.mapInArrow(run, "doc long, src long, lo int, hi int, own array<array<int>>, other array<array<int>>")
 
 
 def _source_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -461,8 +493,7 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     matches = blocks.groupBy("range").applyInArrow(_match, "doc long, src long, own array<int>, other array<int>")
     path = scratch_path(spark, "chains")
     _chain_rows(matches).write.parquet(path)
-    lo, hi = F.greatest(F.get("other", F.lit(0)) - REACH, F.lit(0)), F.element_at("other", -1) + (K + REACH)
-    found = spark.read.parquet(path).withColumn("lo", lo).withColumn("hi", hi)
+    found = spark.read.parquet(path)
     source = _source_words(texts, found.select("src", "lo", "hi"))
     ready = found.join(source, ["src", "lo", "hi"]).groupBy("doc").agg(
         F.collect_list(F.struct("src", "lo", "own", "other", "words")).alias("chains")
@@ -501,12 +532,12 @@ def without_repeats(docs: DataFrame, least_words: int = 50, similarity: float =
 
 def _passages_of(doc: int, text: str, held: list[dict], least_words: int, similarity: float) -> list[tuple]:
     words, pieces = word_hashes(text), []
-    for chain in held:
-        own, lo = chain["own"], chain["lo"]
-        if own[-1] < len(words):
-            other = np.frombuffer(chain["words"], "<u8")
-            for start, end, like in align(words, other, own, [o - lo for o in chain["other"]], similarity):
-                pieces.append((start, end, like, chain["src"]))
+    for together in held:
+        lo, other = together["lo"], np.frombuffer(together["words"], "<u8")
+        for own, at in zip(together["own"], together["other"], strict=True):
+            if own[-1] < len(words):
+                for start, end, like in align(words, other, own, [o - lo for o in at], similarity):
+                    pieces.append((start, end, like, together["src"]))
     found = merge_pieces(pieces, least_words)
     if not found:
         return []
