@@ -19,6 +19,31 @@ def test_minimizers_hit_every_window():
     assert len(passages.seeds(np.full(300, 7, "u8"))[0]) == 1
 
 
+def test_seeds_of_a_batch_are_those_of_its_texts():
+    draw = random.Random(4)
+    texts = [[draw.choice("abc") if draw.random() < 0.3 else draw.choice(["x", "y", str(draw.random())]) for _ in range(draw.choice([0, 3, 4, 5, 11, 30, 39, 40, 200]))] for _ in range(300)]
+    texts += [["same"] * 50, ["same"] * 5, ["same"] * 60, []]
+    words = [passages.word_hashes(" ".join(t)) for t in texts]
+    for level in passages.LEVELS:
+        text, at, hashes = passages.seeds_of_all(np.concatenate(words), np.array([len(w) for w in words]), *level)
+        got = sorted(zip(text.tolist(), at.tolist(), hashes.tolist(), strict=True))
+        want = [(i, *pair) for i, w in enumerate(words) for pair in zip(*(c.tolist() for c in passages.seeds(w, *level)), strict=True)]
+        assert got == sorted(want)
+
+
+def test_long_gaps_are_aligned():
+    """Beyond a table of words, halves are aligned, as well as by the whole table."""
+    draw = np.random.default_rng(3)
+    for n, m in ((250, 251), (600, 90), (1, 50_000), (90, 600)):
+        a, b = draw.integers(0, 4, n).astype("u8"), draw.integers(0, 4, m).astype("u8")
+        row = passages._common_lengths(a, b)
+        table = np.zeros((n + 1, m + 1), int)
+        for i in range(n):
+            table[i + 1, 1:] = np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + (a[i] == b)))
+        assert (row == table[-1]).all()
+        assert passages._partnered(a, b).sum() == table[-1, -1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60)), min_size=1, max_size=12))
 def test_best_chain_by_force(matches):

@@ -87,13 +87,7 @@ def seeds(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarr
     n = len(words) - k + 1
     if n < 1:
         return np.empty(0, "i4"), np.empty(0, "<i8")
-    mixed = np.zeros(n, "<u8")
-    folded = words ^ (words >> np.uint64(31))
-    for j in range(k):
-        mixed += folded[j : j + n] * _SPREAD[j]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(29)
+    mixed = _mixed(words, k)
     width = min(window, n)
     least = _slid(mixed, width, np.minimum)
     edge = np.zeros(width - 1, "<u8")
@@ -104,6 +98,45 @@ def seeds(words: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarr
     return at.astype("i4"), mixed[at].view("<i8")
 
 
+def _mixed(words: np.ndarray, k: int) -> np.ndarray:
+    """One hash for every run of k words."""
+    n = len(words) - k + 1
+    mixed = np.zeros(n, "<u8")
+    folded = words ^ (words >> np.uint64(31))
+    for j in range(k):
+        mixed += folded[j : j + n] * _SPREAD[j]
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def seeds_of_all(words: np.ndarray, sizes: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text numbers, positions and hashes of the minimizers of many texts whose words stand one after another: those of ``seeds``."""
+    begin = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    span = window + k - 1
+    found = [np.empty(0, np.int64)]
+    hashes = [np.empty(0, "<i8")]
+    if len(words) >= span:
+        mixed = _mixed(words, k)
+        least = _slid(mixed, window, np.minimum)
+        least[text[: len(least)] != text[span - 1 :]] = 0  # windows over the border of two texts
+        edge = np.zeros(window - 1, "<u8")
+        top = _slid(np.concatenate([edge, least, edge]), window, np.maximum)
+        chosen = (mixed == top) & (top != 0)
+        again = np.r_[False, mixed[1:] == mixed[:-1]]
+        again[begin[sizes >= k]] = False
+        at = np.flatnonzero(chosen & ~again)
+        found.append(at)
+        hashes.append(mixed[at].view("<i8"))
+    for i in np.flatnonzero((sizes >= k) & (sizes < span)).tolist():  # too short for a whole window
+        at, hashed = seeds(words[begin[i] : begin[i] + sizes[i]], k, window)
+        found.append(begin[i] + at.astype(np.int64))
+        hashes.append(hashed)
+    at = np.concatenate(found)
+    return text[at], (at - begin[text[at]]).astype("i4"), np.concatenate(hashes)
+
+
 class Fenwick:
     """Prefix maxima of (score, index) over ranks."""
 
@@ -345,18 +378,17 @@ def _seed_blocks(texts: DataFrame, n_ranges: int) -> DataFrame:
 
         own_range = n_ranges + (TaskContext.get().partitionId() << 32)
         for batch in batches:
-            docs, at, hashes = batch.column(0).to_numpy(), [], []
-            for text in batch.column(1).to_pylist():
-                words = word_hashes(text)
-                found = [seeds(words, *level) for level in LEVELS]
-                at.append(np.concatenate([a for a, _ in found]))
-                hashes.append(np.concatenate([h for _, h in found]))
-            if not at or not sum(map(len, at)):
+            docs = batch.column(0).to_numpy()
+            texts = [word_hashes(text) for text in batch.column(1).to_pylist()]
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            words = np.concatenate([np.empty(0, "<u8"), *texts])
+            levels = [seeds_of_all(words, sizes, *level) for level in LEVELS]
+            owner, at, hashes = (np.concatenate(c) for c in zip(*levels, strict=True))
+            if not len(at):
                 continue
-            seed = np.concatenate(hashes).view("<u8") >> np.uint64(_SPARED)
-            doc = np.repeat(docs, [len(a) for a in at])
+            seed, doc = hashes.view("<u8") >> np.uint64(_SPARED), docs[owner]
             order = np.lexsort((doc, seed))
-            seed, doc, at = seed[order], doc[order], np.concatenate(at)[order]
+            seed, doc, at = seed[order], doc[order], at[order]
             ranges = (((seed >> np.uint64(24)) * np.uint64(n_ranges)) >> np.uint64(32)).astype(np.int64)
             new = np.r_[True, seed[1:] != seed[:-1]]
             run_of = np.cumsum(new) - 1
