@@ -68,8 +68,22 @@ _WORD = regex.compile(r"\S+")
 
 def word_hashes(text: str) -> np.ndarray:
     """One hash per word; words are what white space separates, in lower case."""
-    words, known = text.lower().split(), held("passage words", _Hashes)
-    return np.fromiter(map(known.__getitem__, words), "<u8", len(words))
+    return _hashed(text.lower().split())
+
+
+def _hashed(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(held("passage words", _Hashes).__getitem__, words), "<u8", len(words))
+
+
+def _hashed_where(words: list[str], ranges: Iterable[tuple[int, int]]) -> np.ndarray:
+    """Hashes of the words in the ranges; 0 elsewhere."""
+    out, done = np.zeros(len(words), "<u8"), 0
+    for lo, hi in sorted(ranges):
+        lo, hi = max(lo, done), min(hi, len(words))
+        if lo < hi:
+            out[lo:hi] = _hashed(words[lo:hi])
+            done = hi
+    return out
 
 
 def _slid(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -167,7 +181,17 @@ def chains(own: list[int], other: list[int]) -> list[list[int]]:
     between their starts in either document. As the cost is a sum over the two
     documents, the best predecessor is a prefix maximum.
     """
-    order = sorted(range(len(own)), key=lambda i: (own[i], other[i]))
+    n = len(own)
+    if all(own[i] < own[i + 1] and other[i] < other[i + 1] for i in range(n - 1)):
+        # in step, the match before is the best predecessor: what it reached only grows
+        score, back, reached = [0.0] * n, [-1] * n, float("-inf")
+        for i in range(n):
+            way = GAP * (own[i] + other[i])
+            gain = reached - way
+            score[i], back[i] = (K + gain, i - 1) if gain > 0 else (float(K), -1)
+            reached = score[i] + way
+        return _best_first(score, back, range(n), own, other)
+    order = sorted(range(n), key=lambda i: (own[i], other[i]))
     ranks = sorted(set(other))
     tree = Fenwick(len(ranks))
     score, back = [0.0] * len(own), [-1] * len(own)
@@ -184,6 +208,11 @@ def chains(own: list[int], other: list[int]) -> list[list[int]]:
         for i in order[at:group_end]:  # a word is no predecessor of itself
             tree.put(bisect_left(ranks, other[i]), (score[i] + GAP * (own[i] + other[i]), i))
         at = group_end
+    return _best_first(score, back, order, own, other)
+
+
+def _best_first(score: list[float], back: list[int], order: Iterable[int], own: list[int], other: list[int]) -> list[list[int]]:
+    """The chains that end with each match, the best first, without matches that a better one has."""
     used, out = [False] * len(own), []
     for end in sorted(order, key=lambda i: (-score[i], own[i], other[i])):
         chain, i = [], end
@@ -220,8 +249,10 @@ def _partnered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         cut = int(np.argmax(_common_lengths(a[:half], b) + _common_lengths(a[half:][::-1], b[::-1])[::-1]))
         return np.concatenate([_partnered(a[:half], b[:cut]), _partnered(a[half:], b[cut:])])
     out = np.zeros(n, bool)
-    table = np.zeros((n + 1, m + 1), np.int32)
     equal = a[:, None] == b[None, :]
+    if not equal.any():
+        return out
+    table = np.zeros((n + 1, m + 1), np.int32)
     for i in range(1, n + 1):
         table[i, 1:] = np.maximum.accumulate(np.maximum(table[i - 1, 1:], table[i - 1, :-1] + equal[i - 1]))
     i, j = n, m
@@ -495,7 +526,7 @@ def _source_words(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for src, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = word_hashes(text)
+                words = _hashed_where(text.lower().split(), [(r["lo"], r["hi"]) for r in ranges])
                 out += [(src, r["lo"], r["hi"], words[r["lo"] : r["hi"]].tobytes()) for r in ranges]
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             columns = list(zip(*out, strict=True)) if out else [[]] * 4
@@ -563,7 +594,8 @@ def without_repeats(docs: DataFrame, least_words: int = 50, similarity: float =
 
 
 def _passages_of(doc: int, text: str, held: list[dict], least_words: int, similarity: float) -> list[tuple]:
-    words, pieces = word_hashes(text), []
+    around = [(max(0, own[0] - REACH), own[-1] + K + REACH) for together in held for own in together["own"]]
+    words, pieces = _hashed_where(text.lower().split(), around), []
     for together in held:
         lo, other = together["lo"], np.frombuffer(together["words"], "<u8")
         for own, at in zip(together["own"], together["other"], strict=True):
