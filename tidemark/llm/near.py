@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm import free_names
 from tidemark.llm.components import connected_components
 from tidemark.session import scratch_path
 
@@ -378,7 +379,8 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     come first. Empty and null texts are one group. All columns stay.
     """
     kept = _similar(docs).groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
-    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_hash(F.col("text").cast("string"))})
-    chosen = keyed.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return chosen.dropDuplicates(["_doc", "_text"]).drop("_doc", "_text")
+    of, key, doc, text = free_names(docs, "of", "key", "doc", "text_of")
+    kept = kept.select(F.col("k.doc_id").alias(of), F.col("k.text_hash").alias(key))
+    keyed = docs.withColumns({doc: F.col("doc_id").cast("long"), text: text_hash(F.col("text").cast("string"))})
+    chosen = keyed.join(kept, F.col(doc).eqNullSafe(F.col(of)) & (F.col(text) == F.col(key)), "left_semi")
+    return chosen.dropDuplicates([doc, text]).drop(doc, text)
