@@ -8,19 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import let_workers_import, near, packing, passages, secret_scan, toxicity
+from tidemark.llm import free_names, let_workers_import, near, packing, passages, secret_scan, toxicity
 from tidemark.llm.queries import vocabulary
 from tidemark.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model, fitted on the labelled ones, does not reject. Blank texts stay."""
+    """Documents that the ordinal model, fitted on the labelled ones, does not reject. Blank texts stay.
+
+    Columns with names of scores are carried along untouched.
+    """
     let_workers_import(spark)
     model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    clash = [c for c in docs.columns if c.lower() in ("expected_severity", "severity", "toxic", "risk")]
-    carried = docs.withColumn("_clashing", F.struct(*map(F.col, clash))) if clash else docs
+    clash = [c for c in docs.columns if c.lower() in ("expected_severity", "severity", "toxic", "risk", "_scores")]
+    (held,) = free_names(docs, "held")
+    carried = docs.withColumn(held, F.struct(*map(F.col, clash))).drop(*clash) if clash else docs
     kept = toxicity.score_toxicity(carried, model).where("not toxic")
-    return kept.select(*(F.col(f"_clashing.{c}") if c in clash else F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+    return kept.select(*(F.col(f"{held}.{c}") if c in clash else F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
