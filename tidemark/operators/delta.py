@@ -103,5 +103,5 @@ def batch_stats(batch: DataFrame, column: str, previous: object = None) -> DataF
     """One row: ``n_rows`` and ``new_watermark``, the old one if the batch has none."""
     old = typed_literal(previous, batch.schema[column].dataType)
     return batch.agg(
-        F.count("*").alias("n_rows"), F.coalesce(F.max(column), old).alias("new_watermark")
+        F.count("*").alias("n_rows"), F.coalesce(F.max(f"`{column}`"), old).alias("new_watermark")
     )

@@ -29,17 +29,19 @@ def replacing_merge(
 
 def collapsing_merge(df: DataFrame, keys: Sequence[str], sign: str, order: Sequence[str]) -> DataFrame:
     """Per key: the last +1 row if the signs sum above zero, the first -1 row below, none at zero."""
-    row = F.struct(*(c for c in df.columns if c not in keys))
+    row = F.struct(*(f"`{c}`" for c in df.columns if c not in keys))
     at = F.struct(*order)
+    by = [F.col(f"`{k}`") for k in keys]
     up = F.col(sign) > 0
     down = F.col(sign) < 0
-    folded = df.groupBy(*keys).agg(
+    folded = df.groupBy(*by).agg(
         F.sum(sign).alias("_net"),
         F.max_by(F.when(up, row), F.when(up, at)).alias("_last"),
         F.min_by(F.when(down, row), F.when(down, at)).alias("_first"),
     )
     kept = F.when(F.col("_net") > 0, F.col("_last")).otherwise(F.col("_first"))
-    return folded.filter("_net <> 0").select(*keys, kept.alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    rows = folded.filter("_net <> 0").select(*by, kept.alias("_row")).select(*by, "_row.*")
+    return rows.select(*(f"`{c}`" for c in df.columns))
 
 
 def versioned_collapse(

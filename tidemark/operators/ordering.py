@@ -54,7 +54,7 @@ def batch_ledger(df: DataFrame, keys: Sequence[str], batch_rows: int) -> DataFra
     """
     first = F.expr(f"start div {batch_rows}")
     last = F.expr(f"(stop - 1) div {batch_rows}")
-    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    key = _quoted(keys)[0] if len(keys) == 1 else F.struct(*_quoted(keys))
     spans = key_positions(df, keys).withColumn("batch_no", F.explode(F.sequence(first, last)))
     inside = F.least("stop", (F.col("batch_no") + 1) * batch_rows) - F.greatest("start", F.col("batch_no") * batch_rows)
     return spans.groupBy("batch_no").agg(
@@ -69,9 +69,9 @@ def tie_safe_batches(df: DataFrame, column: str, batch_rows: int) -> DataFrame:
     ``batch_rows`` by at most its last tie group. NULLs take no part.
     """
     return (
-        key_positions(df.filter(F.col(column).isNotNull()), [column])
+        key_positions(df.filter(F.col(f"`{column}`").isNotNull()), [column])
         .groupBy(F.expr(f"start div {batch_rows}").alias("batch_no"))
-        .agg(F.sum("n_rows").alias("n_rows"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+        .agg(F.sum("n_rows").alias("n_rows"), F.min(f"`{column}`").alias("lo"), F.max(f"`{column}`").alias("hi"))
     )
 
 

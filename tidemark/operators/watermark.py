@@ -97,7 +97,7 @@ def sentinel(dtype: T.DataType) -> Column:
 
 def max_watermark(df: DataFrame, column: str) -> DataFrame:
     """One row, ``watermark``: the maximum, NULL if there is none or it is the sentinel."""
-    top = F.max(column)
+    top = F.max(f"`{column}`")
     return df.agg(F.nullif(top, sentinel(df.schema[column].dataType)).alias("watermark"))
 
 
@@ -116,7 +116,7 @@ def max_watermarks(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 def read_max(df: DataFrame, column: str) -> str | None:
     """The plain maximum as text, for the saved state; a failed read raises."""
     dtype = df.schema[column].dataType
-    return df.agg(F.max(column).alias("m")).select(as_text("m", dtype).alias("m")).first()["m"]
+    return df.agg(F.max(f"`{column}`").alias("m")).select(as_text("m", dtype).alias("m")).first()["m"]
 
 
 def watermark_profile(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:

@@ -159,7 +159,7 @@ def drain(
     watermark = table_watermark(df, spec)
     check_watermark(state, watermark)
     column, dtype = watermark.column, df.schema[watermark.column].dataType
-    new = newer_than(df, column, state.watermark_value, spec.month_column).select(column)
+    new = newer_than(df, column, state.watermark_value, spec.month_column).select(f"`{column}`")
     if new.isEmpty():
         return state
     check_target(project(df, spec.withheld), target)
@@ -256,5 +256,7 @@ def late_rows(
     interval such as ``"2 days"``.
     """
     bound = F.lit(upto).cast(df.schema[column].dataType)
-    recent = (F.col(column) <= bound) & (F.col(column) > bound - F.expr(f"INTERVAL {lookback}"))
-    return df.filter(recent).join(target.filter(recent).select(*keys), keys, "left_anti").select(*df.columns)
+    at = F.col(f"`{column}`")
+    recent = (at <= bound) & (at > bound - F.expr(f"INTERVAL {lookback}"))
+    held = target.filter(recent).select(*(f"`{k}`" for k in keys))
+    return df.filter(recent).join(held, keys, "left_anti").select(*(f"`{c}`" for c in df.columns))

@@ -47,7 +47,7 @@ def snapshot_rows(df: DataFrame, watermark: Watermark, upto: str | None) -> Data
     """
     if watermark.by_count:
         return df
-    column = F.col(watermark.column)
+    column = F.col(f"`{watermark.column}`")
     if upto is None:
         return df.filter(column.isNull())
     return df.filter((column <= typed_literal(upto, df.schema[watermark.column].dataType)) | column.isNull())
@@ -125,7 +125,7 @@ def snapshot_in_parts(
 def _plan_parts(df: DataFrame, column: str, parts: int) -> DataFrame:
     """``batch_seq, after, upto`` of each part; one part without bounds for an empty table."""
     spark, dtype = df.sparkSession, df.schema[column].dataType
-    n_rows = df.agg(F.count(column)).first()[0]
+    n_rows = df.agg(F.count(f"`{column}`")).first()[0]
     batches = tie_safe_batches(df, column, max(1, -(-n_rows // parts)))
     # at most ``parts`` rows
     ends = [row["hi"] for row in batches.orderBy("batch_no").select(as_text("hi", dtype).alias("hi")).collect()]

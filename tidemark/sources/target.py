@@ -24,8 +24,8 @@ def month_layout(df: DataFrame, date_column: str, sort_key: Sequence[str] = ())
     missing = [c for c in (date_column, *sort_key) if c not in df.columns]
     if missing:
         raise ValueError(f"the layout needs columns that are excluded: {missing}")
-    monthly = df.withColumn(MONTH_COLUMN, month_number(date_column))
-    return monthly.hint("rebalance", MONTH_COLUMN).sortWithinPartitions(MONTH_COLUMN, *sort_key)
+    monthly = df.withColumn(MONTH_COLUMN, month_number(F.col(f"`{date_column}`")))
+    return monthly.hint("rebalance", MONTH_COLUMN).sortWithinPartitions(MONTH_COLUMN, *_quoted(sort_key))
 
 
 def check_schema(df: DataFrame, target: T.StructType) -> None:
@@ -79,7 +79,7 @@ def write_batch(
     if month_of is not None:
         rows = month_layout(df, month_of, sort_key)
     else:
-        rows = df.sortWithinPartitions(*sort_key) if sort_key else df
+        rows = df.sortWithinPartitions(*_quoted(sort_key)) if sort_key else df
     layout = [MONTH_COLUMN] if month_of is not None else []
     return _write_counted(rows, f"{path}/{BATCH_COLUMN}={batch_seq}", layout, "static")
 
@@ -95,12 +95,16 @@ def write_batches(
     """
     layout = [BATCH_COLUMN]
     if month_of is not None:
-        df = df.withColumn(MONTH_COLUMN, month_number(month_of))
+        df = df.withColumn(MONTH_COLUMN, month_number(F.col(f"`{month_of}`")))
         layout.append(MONTH_COLUMN)
-    rows = df.hint("rebalance", *layout).sortWithinPartitions(*layout, *sort_key)
+    rows = df.hint("rebalance", *layout).sortWithinPartitions(*layout, *_quoted(sort_key))
     return _write_counted(rows, path, layout, "dynamic")
 
 
+def _quoted(names: Sequence[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
 def _write_counted(rows: DataFrame, path: str, layout: Sequence[str], overwrite: str) -> int:
     counted = Observation()
     writer = rows.observe(counted, F.count("*").alias("n_rows")).write.mode("overwrite")
