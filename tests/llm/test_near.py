@@ -155,6 +155,63 @@ def test_links_between_groups_by_force():
     assert {(max(p), min(p)) for p in zip(u.tolist(), v.tolist(), strict=True)} == want and len(u) == len(want)
 
 
+def test_forests_of_sets_by_force():
+    draw = np.random.default_rng(6)
+    base = draw.integers(0, 2**63, 60, dtype="u8")
+    for _ in range(20):
+        sets = [np.unique(np.r_[draw.permutation(base)[: draw.integers(50, 61)], draw.integers(0, 2**63, draw.integers(0, 8), dtype="u8")]) for _ in range(30)]
+        sets += [np.empty(0, "u8"), np.empty(0, "u8")]
+        group = draw.integers(0, 24, len(sets))
+        mine, want = Union(), Union()
+        u, v = near.set_forest(group, sets)
+        for i in range(len(sets)):
+            for j in range(i):
+                if group[i] == group[j] or near.agree(sets[i], sets[j]):
+                    want.join(i, j)
+                if group[i] == group[j]:
+                    mine.join(i, j)
+        for a, b in zip(u, v, strict=True):
+            assert near.agree(sets[a], sets[b]) and group[a] != group[b]
+            mine.join(a, b)
+        assert len(u) < len(np.unique(group))
+        assert [mine.find(i) for i in range(len(sets))] == [want.find(i) for i in range(len(sets))]
+
+
+def template_pages(pages, words=120):
+    """Pages of one template whose shingles agree to about 0.75, and for every tenth a copy that agrees to 0.9."""
+    base, docs = invented(31, words).split(), []
+    for i in range(pages):
+        draw, page = random.Random(i), list(base)
+        for at in draw.sample(range(words), 4):
+            page[at] = f"own{i}"
+        docs.append((2 * i, " ".join(page)))
+        if i % 10 == 0:
+            docs.append((2 * i + 1, " ".join([*page[:60], "other", *page[61:]])))
+    return docs
+
+
+@pytest.mark.parametrize("cell_bytes", [near.CELL_BYTES, 40_000])
+def test_template_pages_by_force_without_writing_pairs(spark, monkeypatch, cell_bytes):
+    monkeypatch.setattr(near, "CELL_BYTES", cell_bytes)
+    written = {}
+    stored = near._stored
+    monkeypatch.setattr(near, "_stored", lambda df, label: written.setdefault(label, []).append(stored(df, label)) or written[label][-1])
+    docs = template_pages(300)
+    sets = [near.shingle_set(t, 5) for _, t in docs]
+    union = Union()
+    for i in range(len(docs)):
+        union.find(i)
+        for j in range(i):
+            if near.agree(sets[i], sets[j]):
+                union.join(i, j)
+    got = {r.doc_id: r.component_id for r in near.similar_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    want = {d: docs[union.find(i)][0] for i, (d, _) in enumerate(docs)}
+    assert sum(got[d] == want[d] for d in want) >= 0.99 * len(want)
+    assert all(want[d] == want[got[d]] for d in want)
+    assert written["wide"][0].where("cell is not null").count() > 0
+    assert written["candidates"][1].count() < 4 * len(near.sampled_grids(4, **near.WIDE_GRIDS)) * len(docs)
+
+
 def test_fingerprints_of_edited_texts(spark, sample, edge, empty):
     rows = sorted(((r.doc_id, r.text or "") for r in sample.collect()))
     got = {r.doc_id: r for r in fingerprint.document_fingerprints(sample).collect()}

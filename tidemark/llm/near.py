@@ -27,6 +27,8 @@ _EVEN = 0x5555555555555555
 _SHINGLES = 65_536
 #: Cells up to this size are compared pair by pair.
 _SMALL_CELL = 8
+#: Links that a cell with groups may write out for each of its rows.
+_LINKS_A_ROW = 4
 #: Odd multipliers that derive further hashes of a shingle from its first.
 _MIX = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -166,25 +168,36 @@ def _forest(bits: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     return u, v
 
 
-def _across(bits: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """All links of one cell between rows of different groups, the smaller group's rows against all larger groups'."""
+def _across(bits: np.ndarray, group: np.ndarray, radius: int, most: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All links of one cell between rows of different groups, the smaller group's rows against all larger groups'.
+
+    More than ``most`` links are not kept: then the rows that have any come third instead.
+    """
     _, of, size = np.unique(group, return_inverse=True, return_counts=True)
     order = np.lexsort((of, size[of]))
     ends = np.searchsorted(size[of][order] * len(of) + of[order], size[of][order] * len(of) + of[order], "right")
-    us, vs = [np.empty(0, int)], [np.empty(0, int)]
+    none, many, met = np.empty(0, int), 0, np.zeros(len(bits), bool)
+    us, vs = [none], [none]
     for at, end in enumerate(ends.tolist()):
         if end == len(order):
             break
         found = order[end:][_within(bits[order[end:]], bits[order[at]][None, :], radius)]
-        us.append(np.full(len(found), order[at]))
-        vs.append(found)
-    return np.concatenate(us), np.concatenate(vs)
+        many += len(found)
+        met[found] = True
+        met[order[at]] |= len(found) > 0
+        if many <= most:
+            us.append(np.full(len(found), order[at]))
+            vs.append(found)
+    return (none, none, np.flatnonzero(met)) if many > most else (np.concatenate(us), np.concatenate(vs), none)
 
 
 def _cell_links(
-    cell: np.ndarray, bits: np.ndarray, radius: int, group: np.ndarray | None = None
+    cell: np.ndarray, bits: np.ndarray, radius: int, group: np.ndarray | None = None, dense: list | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links between rows of the same cell; rows come sorted by cell. With ``group`` all those between groups."""
+    """Links between rows of the same cell; rows come sorted by cell. With ``group`` all those between groups.
+
+    If a list ``dense`` is given, a cell with more links than a few a row adds its linked rows there instead.
+    """
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.diff(np.r_[first, len(cell)])
     of = np.repeat(np.arange(len(first)), size)
@@ -201,7 +214,12 @@ def _cell_links(
         vs.append(hit + step)
     for k in np.flatnonzero(size > _SMALL_CELL):
         rows = slice(first[k], first[k] + size[k])
-        u, v = _forest(bits[rows], radius) if group is None else _across(bits[rows], group[rows], radius)
+        if group is None:
+            u, v = _forest(bits[rows], radius)
+        else:
+            u, v, met = _across(bits[rows], group[rows], radius, np.inf if dense is None else _LINKS_A_ROW * size[k])
+            if len(met):
+                dense.append(met + first[k])
         us.append(np.array(u, int) + first[k])
         vs.append(np.array(v, int) + first[k])
     none = np.empty(0, int)
@@ -211,7 +229,8 @@ def _cell_links(
 def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_words: int) -> DataFrame:
     """Links (u, v) between nodes of (node, fp): rows are dealt by cell and read in its order, one cell at a time.
 
-    A cell yields a spanning forest. If there is a column ``group``, it yields all links between groups.
+    A cell yields a spanning forest. If there is a column ``group``, it yields all links between groups, with a null
+    ``cell``; one with more than a few links a row yields its linked rows instead: (u, v) is (node, group) then.
     """
     grouped = ["group"] if "group" in distinct.columns else []
     words = [F.col("fp")[i] for i in range(n_words)]
@@ -225,8 +244,15 @@ def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_word
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(cell, node, bits, *group):
-            u, v = _cell_links(cell, bits, radius, *group)
-            return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
+            if not group:
+                u, v = _cell_links(cell, bits, radius)
+                return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
+            dense = [np.empty(0, int)]
+            u, v = _cell_links(cell, bits, radius, *group, dense)
+            rows = np.concatenate(dense)
+            cells = pa.concat_arrays([pa.nulls(len(u), pa.int64()), pa.array(cell[rows])])
+            ends = (np.concatenate([node[u], node[rows]]), np.concatenate([node[v], group[0][rows]]))
+            return pa.RecordBatch.from_arrays([*map(pa.array, ends), cells], ["u", "v", "cell"])
 
         held: list[tuple] = []
         for batch in batches:
@@ -242,7 +268,8 @@ def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_word
         if held:
             yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "u long, v long")
+    schema = "u long, v long, cell long" if grouped else "u long, v long"
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, schema)
 
 
 def _prints(docs: DataFrame, words: int, n_words: int, repeats: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -296,6 +323,8 @@ WIDE_GRIDS = {"grids": 128, "segments": 9}
 #: Close copies are grouped first, so that the wide search need not pair them with each other.
 CLOSE_RADIUS = 42
 CLOSE_GRIDS = {"grids": 16, "segments": 10}
+#: Bytes of sets that a part of a cell holds, about.
+CELL_BYTES = 32 << 20
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -311,30 +340,44 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 def _similar(docs: DataFrame) -> DataFrame:
     """Verified links of forests group close copies; then all wide pairs between different groups are verified.
 
-    A forest alone would lose links: what a rejected link leads to is not compared again.
+    A forest alone would lose links: what a rejected link leads to is not compared again. Cells of few links write them
+    out; a cell where many meet is verified where its rows stand, so its pairs are never rows.
     """
-    spark, n_words = docs.sparkSession, WIDE["n_words"]
+    n_words = WIDE["n_words"]
     prints, classes = _prints(docs, **WIDE, repeats=False)
-    path = scratch_path(spark, "classes")
-    classes.write.parquet(path)
-    classes = spark.read.parquet(path)
+    classes = _stored(classes, "classes")
     close = _grid_links(classes.select("node", "fp"), sampled_grids(n_words, **CLOSE_GRIDS), CLOSE_RADIUS, n_words)
-    close = _verified(docs, classes, close)
+    close = _once(close)
+    close = _verified(close, _shingle_sets(docs, classes, _ends(close)))
     roots = connected_components(close)
     grouped = classes.select("node", "fp").join(roots, "node", "left")
     grouped = grouped.select("node", "fp", F.coalesce("component", "node").alias("group"))
-    wide = _grid_links(grouped, sampled_grids(n_words, **WIDE_GRIDS), WIDE_RADIUS, n_words)
-    return _named(prints, classes, close.unionByName(_verified(docs, classes, wide)))
+    wide = _stored(_grid_links(grouped, sampled_grids(n_words, **WIDE_GRIDS), WIDE_RADIUS, n_words), "wide")
+    pairs = _once(wide.where("cell is null"))
+    dense = wide.where("cell is not null").select("cell", F.col("u").alias("node"), F.col("v").alias("group"))
+    sets = _shingle_sets(docs, classes, _ends(pairs).unionByName(dense.select("node")))
+    links = close.unionByName(_verified(pairs, sets)).unionByName(_dense_links(dense, sets))
+    return _named(prints, classes, links)
 
 
-def _verified(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The links (u, v) whose nodes' sets of shingles agree to SIMILARITY, each once."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "candidates")
-    links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct().write.parquet(path)
-    links = spark.read.parquet(path)
-    wanted = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = classes.join(wanted, "node").select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _once(links: DataFrame) -> DataFrame:
+    return _stored(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("u", "v")).alias("node"))
+
+
+def _shingle_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, ``shingles`` (its set's hashes, ascending, 8 bytes each) and ``n_bytes`` of the asked nodes, each once."""
+    wanted = classes.join(nodes.distinct(), "node")
+    wanted = wanted.select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long"), text_hash(text), text.alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
@@ -343,11 +386,14 @@ def _verified(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFram
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t or "", WIDE["words"]).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
+            columns = [batch.column(0), pa.array(found, pa.binary()), pa.array(map(len, found), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "n_bytes"])
 
-    path = scratch_path(spark, "shingles")
-    texts.mapInArrow(shingles, "node long, shingles binary").write.parquet(path)
-    sets = spark.read.parquet(path)
+    return _stored(texts.mapInArrow(shingles, "node long, shingles binary, n_bytes long"), "shingles")
+
+
+def _verified(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (u, v) whose nodes' sets of shingles agree to SIMILARITY."""
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,9 +404,77 @@ def _verified(docs: DataFrame, classes: DataFrame, links: DataFrame) -> DataFram
 
     paired = links.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
     paired = paired.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
-    path = scratch_path(spark, "verified")
-    paired.select("u", "v", "a", "b").mapInArrow(check, "u long, v long").write.parquet(path)
-    return spark.read.parquet(path)
+    return _stored(paired.select("u", "v", "a", "b").mapInArrow(check, "u long, v long"), "verified")
+
+
+def _dense_links(dense: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links (u, v) that connect what agrees in each cell of (cell, node, group), one for each group reached.
+
+    A cell whose sets exceed CELL_BYTES is cut in parts by its counted bytes, and each two parts meet in a task, so no
+    task holds more than two parts.
+    """
+    sized = dense.join(sets.select("node", "n_bytes"), "node")
+    parts = sized.groupBy("cell").agg(F.ceil(F.sum("n_bytes") / CELL_BYTES).cast("int").alias("parts")).where("parts > 1")
+    rows = dense.join(parts, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    rows = rows.select("cell", "node", "group", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    unit = F.xxhash64("cell", F.least("part", "other"), F.greatest("part", "other"))
+    rows = rows.select(unit.alias("unit"), "node", "group").join(sets.select("node", "shingles"), "node")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held)
+            node, group = (whole.column(i).to_numpy() for i in (1, 2))
+            u, v = set_forest(group, [np.frombuffer(x.as_buffer(), "<u8") for x in whole.column(3)])
+            return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            for a, b in itertools.pairwise(cuts):
+                if held and held[0].column(0)[0].as_py() != at[a]:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield links(held)
+
+    rows = rows.select("unit", "node", "group", "shingles").repartition("unit").sortWithinPartitions("unit", "node")
+    return _stored(rows.mapInArrow(run, "u long, v long"), "dense")
+
+
+def set_forest(group: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links between sets that agree (see ``agree``) which connect every two groups that any chain of such links does.
+
+    Rows of a group are connected already. Each row meets the groups not reached yet, smaller groups first.
+    """
+    size = np.array([len(s) for s in sets])
+    hashes, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.r_[0, np.cumsum(size)]
+    _, of, rows = np.unique(group, return_inverse=True, return_counts=True)
+    left = np.lexsort((of, rows[of]))
+    held, least = np.zeros(len(hashes), bool), SIMILARITY - 1e-12
+    u, v = [], []
+    while len(left):
+        mine = of[left] == of[left[0]]
+        queue, left = left[mine].tolist(), left[~mine]
+        while queue and len(left):
+            at = queue.pop()
+            own = flat[ends[at] : ends[at + 1]]
+            held[own] = True
+            counts = np.r_[0, np.cumsum(held[flat], dtype=np.int64)]
+            held[own] = False
+            shared = counts[ends[left + 1]] - counts[ends[left]]
+            hit = left[shared >= least * (size[at] + size[left] - shared)]
+            if len(hit):
+                reached, one = np.unique(of[hit], return_index=True)
+                u += [at] * len(one)
+                v += hit[one].tolist()
+                came = np.isin(of[left], reached)
+                queue += left[came].tolist()
+                left = left[~came]
+    return u, v
 
 
 def agree(a: np.ndarray, b: np.ndarray) -> bool:
