@@ -190,9 +190,10 @@ def template_pages(pages, words=120):
     return docs
 
 
-@pytest.mark.parametrize("cell_bytes", [near.CELL_BYTES, 40_000])
-def test_template_pages_by_force_without_writing_pairs(spark, monkeypatch, cell_bytes):
-    monkeypatch.setattr(near, "CELL_BYTES", cell_bytes)
+@pytest.mark.parametrize("held", [near.CLUSTER_BYTES, 40_000])
+def test_template_pages_by_force_without_writing_pairs(spark, monkeypatch, held):
+    monkeypatch.setattr(near, "CLUSTER_BYTES", held)
+    monkeypatch.setattr(near, "CELL_BYTES", held)
     written = {}
     stored = near._stored
     monkeypatch.setattr(near, "_stored", lambda df, label: written.setdefault(label, []).append(stored(df, label)) or written[label][-1])
@@ -208,8 +209,12 @@ def test_template_pages_by_force_without_writing_pairs(spark, monkeypatch, cell_
     want = {d: docs[union.find(i)][0] for i, (d, _) in enumerate(docs)}
     assert sum(got[d] == want[d] for d in want) >= 0.99 * len(want)
     assert all(want[d] == want[got[d]] for d in want)
-    assert written["wide"][0].where("cell is not null").count() > 0
-    assert written["candidates"][1].count() < 4 * len(near.sampled_grids(4, **near.WIDE_GRIDS)) * len(docs)
+    assert all(frame.count() < len(docs) for frame in written["dense"][:1])
+    if "wide" in written:
+        assert held == 40_000 and written["wide"][0].where("cell is not null").count() > 0
+        assert written["wide"][0].count() <= (near._LINKS_A_ROW + 1) * near.WIDE_GRIDS["grids"] * len(docs)
+    else:
+        assert held > 40_000
 
 
 def test_fingerprints_of_edited_texts(spark, sample, edge, empty):

@@ -10,7 +10,7 @@ bit by bit.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -191,12 +191,36 @@ def _across(bits: np.ndarray, group: np.ndarray, radius: int, most: float) -> tu
     return (none, none, np.flatnonzero(met)) if many > most else (np.concatenate(us), np.concatenate(vs), none)
 
 
+def forest_of_groups(group: np.ndarray, meets: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links that connect every two groups that any chain of links does; ``meets(at, left)`` tells which rows link with one.
+
+    Rows of a group are connected already. Each row meets the groups not reached yet, smaller groups first.
+    """
+    _, of, rows = np.unique(group, return_inverse=True, return_counts=True)
+    left, u, v = np.lexsort((of, rows[of])), [], []
+    while len(left):
+        mine = of[left] == of[left[0]]
+        queue, left = left[mine].tolist(), left[~mine]
+        while queue and len(left):
+            at = queue.pop()
+            hit = left[meets(at, left)]
+            if len(hit):
+                reached, one = np.unique(of[hit], return_index=True)
+                u += [at] * len(one)
+                v += hit[one].tolist()
+                came = np.isin(of[left], reached)
+                queue += left[came].tolist()
+                left = left[~came]
+    return u, v
+
+
 def _cell_links(
-    cell: np.ndarray, bits: np.ndarray, radius: int, group: np.ndarray | None = None, dense: list | None = None
+    cell: np.ndarray, bits: np.ndarray, radius: int, group: np.ndarray | None = None, dense: list | None = None, forest: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links between rows of the same cell; rows come sorted by cell. With ``group`` all those between groups.
 
-    If a list ``dense`` is given, a cell with more links than a few a row adds its linked rows there instead.
+    If a list ``dense`` is given, a cell with more links than a few a row adds its linked rows there instead. With
+    ``forest`` larger cells yield one link for each group reached.
     """
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.diff(np.r_[first, len(cell)])
@@ -216,6 +240,9 @@ def _cell_links(
         rows = slice(first[k], first[k] + size[k])
         if group is None:
             u, v = _forest(bits[rows], radius)
+        elif forest:
+            own = bits[rows]
+            u, v = forest_of_groups(group[rows], lambda at, left: _within(own[left], own[at][None, :], radius))
         else:
             u, v, met = _across(bits[rows], group[rows], radius, np.inf if dense is None else _LINKS_A_ROW * size[k])
             if len(met):
@@ -226,11 +253,11 @@ def _cell_links(
     return np.concatenate([none, *us]), np.concatenate([none, *vs])
 
 
-def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_words: int) -> DataFrame:
+def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_words: int, forest: bool = False) -> DataFrame:
     """Links (u, v) between nodes of (node, fp): rows are dealt by cell and read in its order, one cell at a time.
 
     A cell yields a spanning forest. If there is a column ``group``, it yields all links between groups, with a null
-    ``cell``; one with more than a few links a row yields its linked rows instead: (u, v) is (node, group) then.
+    ``cell``; one with more than a few links a row yields its linked rows instead: (u, v) is (node, group) then. With ``forest`` it connects the groups and has no ``cell``.
     """
     grouped = ["group"] if "group" in distinct.columns else []
     words = [F.col("fp")[i] for i in range(n_words)]
@@ -244,8 +271,8 @@ def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_word
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(cell, node, bits, *group):
-            if not group:
-                u, v = _cell_links(cell, bits, radius)
+            if forest or not group:
+                u, v = _cell_links(cell, bits, radius, *group, forest=forest)
                 return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
             dense = [np.empty(0, int)]
             u, v = _cell_links(cell, bits, radius, *group, dense)
@@ -268,7 +295,7 @@ def _grid_links(distinct: DataFrame, grids: list[list[int]], radius: int, n_word
         if held:
             yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    schema = "u long, v long, cell long" if grouped else "u long, v long"
+    schema = "u long, v long, cell long" if grouped and not forest else "u long, v long"
     return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, schema)
 
 
@@ -323,7 +350,8 @@ WIDE_GRIDS = {"grids": 128, "segments": 9}
 #: Close copies are grouped first, so that the wide search need not pair them with each other.
 CLOSE_RADIUS = 42
 CLOSE_GRIDS = {"grids": 16, "segments": 10}
-#: Bytes of sets that a part of a cell holds, about.
+#: Bytes of sets that a cluster may bring to one task, and that a part of a cell holds, about.
+CLUSTER_BYTES = 32 << 20
 CELL_BYTES = 32 << 20
 
 
@@ -340,8 +368,9 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 def _similar(docs: DataFrame) -> DataFrame:
     """Verified links of forests group close copies; then all wide pairs between different groups are verified.
 
-    A forest alone would lose links: what a rejected link leads to is not compared again. Cells of few links write them
-    out; a cell where many meet is verified where its rows stand, so its pairs are never rows.
+    A forest of candidates alone would lose links: what a rejected link leads to is not compared again. So a forest only
+    tells which groups belong to one cluster, and each cluster's sets meet in one task, where every pair of groups is
+    verified but only what connects them written. A cluster above CLUSTER_BYTES is compared cell by cell instead.
     """
     n_words = WIDE["n_words"]
     prints, classes = _prints(docs, **WIDE, repeats=False)
@@ -351,12 +380,22 @@ def _similar(docs: DataFrame) -> DataFrame:
     close = _verified(close, _shingle_sets(docs, classes, _ends(close)))
     roots = connected_components(close)
     grouped = classes.select("node", "fp").join(roots, "node", "left")
-    grouped = grouped.select("node", "fp", F.coalesce("component", "node").alias("group"))
-    wide = _stored(_grid_links(grouped, sampled_grids(n_words, **WIDE_GRIDS), WIDE_RADIUS, n_words), "wide")
-    pairs = _once(wide.where("cell is null"))
-    dense = wide.where("cell is not null").select("cell", F.col("u").alias("node"), F.col("v").alias("group"))
-    sets = _shingle_sets(docs, classes, _ends(pairs).unionByName(dense.select("node")))
-    links = close.unionByName(_verified(pairs, sets)).unionByName(_dense_links(dense, sets))
+    grouped = _stored(grouped.select("node", "fp", F.coalesce("component", "node").alias("group")), "groups")
+    grids = sampled_grids(n_words, **WIDE_GRIDS)
+    clusters = connected_components(close.unionByName(_grid_links(grouped, grids, WIDE_RADIUS, n_words, forest=True)))
+    rows = grouped.join(clusters, "node", "left").select(F.coalesce("component", "node").alias("cell"), "node", "group")
+    mixed = rows.groupBy("cell").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
+    rows = rows.join(mixed, "cell", "left_semi")
+    sets = _shingle_sets(docs, classes, rows.select("node"))
+    sized = rows.join(sets.select("node", "n_bytes"), "node").groupBy("cell").agg(F.sum("n_bytes").alias("n_bytes"))
+    large = sized.where(F.col("n_bytes") > CLUSTER_BYTES)
+    links = close.unionByName(_dense_links(rows.join(large, "cell", "left_anti"), sets))
+    if not large.isEmpty():
+        members = rows.join(large, "cell", "left_semi").select("node")
+        wide = _stored(_grid_links(grouped.join(members, "node", "left_semi"), grids, WIDE_RADIUS, n_words), "wide")
+        pairs = _once(wide.where("cell is null"))
+        dense = wide.where("cell is not null").select("cell", F.col("u").alias("node"), F.col("v").alias("group"))
+        links = links.unionByName(_verified(pairs, sets)).unionByName(_dense_links(dense, sets))
     return _named(prints, classes, links)
 
 
@@ -375,21 +414,21 @@ def _ends(links: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, ``shingles`` (its set's hashes, ascending, 8 bytes each) and ``n_bytes`` of the asked nodes, each once."""
+    """node, fp, ``shingles`` (its set's hashes, ascending, 8 bytes each) and ``n_bytes`` of the asked nodes, each once."""
     wanted = classes.join(nodes.distinct(), "node")
-    wanted = wanted.select("node", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    wanted = wanted.select("node", "fp", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long"), text_hash(text), text.alias("text"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    texts = texts.join(wanted, on).select("node", "text").dropDuplicates(["node"])
+    texts = texts.join(wanted, on).select("node", "fp", "text").dropDuplicates(["node"])
 
     def shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(t or "", WIDE["words"]).tobytes() for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array(found, pa.binary()), pa.array(map(len, found), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "n_bytes"])
+            found = [shingle_set(t or "", WIDE["words"]).tobytes() for t in batch.column(2).to_pylist()]
+            columns = [*batch.columns[:2], pa.array(found, pa.binary()), pa.array(map(len, found), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "fp", "shingles", "n_bytes"])
 
-    return _stored(texts.mapInArrow(shingles, "node long, shingles binary, n_bytes long"), "shingles")
+    return _stored(texts.mapInArrow(shingles, "node long, fp array<long>, shingles binary, n_bytes long"), "shingles")
 
 
 def _verified(links: DataFrame, sets: DataFrame) -> DataFrame:
@@ -419,13 +458,14 @@ def _dense_links(dense: DataFrame, sets: DataFrame) -> DataFrame:
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     rows = rows.select("cell", "node", "group", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     unit = F.xxhash64("cell", F.least("part", "other"), F.greatest("part", "other"))
-    rows = rows.select(unit.alias("unit"), "node", "group").join(sets.select("node", "shingles"), "node")
+    rows = rows.select(unit.alias("unit"), "node", "group").join(sets.select("node", "fp", "shingles"), "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             whole = pa.Table.from_batches(held)
             node, group = (whole.column(i).to_numpy() for i in (1, 2))
-            u, v = set_forest(group, [np.frombuffer(x.as_buffer(), "<u8") for x in whole.column(3)])
+            bits = np.array(whole.column(3).to_pylist(), "<i8").view("<u8")
+            u, v = set_forest(group, [np.frombuffer(x.as_buffer(), "<u8") for x in whole.column(4)], bits)
             return pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], ["u", "v"])
 
         held: list[pa.RecordBatch] = []
@@ -440,41 +480,31 @@ def _dense_links(dense: DataFrame, sets: DataFrame) -> DataFrame:
         if held:
             yield links(held)
 
-    rows = rows.select("unit", "node", "group", "shingles").repartition("unit").sortWithinPartitions("unit", "node")
+    rows = rows.select("unit", "node", "group", "fp", "shingles").repartition("unit").sortWithinPartitions("unit", "node")
     return _stored(rows.mapInArrow(run, "u long, v long"), "dense")
 
 
-def set_forest(group: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+def set_forest(group: np.ndarray, sets: list[np.ndarray], bits: np.ndarray | None = None) -> tuple[list[int], list[int]]:
     """Links between sets that agree (see ``agree``) which connect every two groups that any chain of such links does.
 
-    Rows of a group are connected already. Each row meets the groups not reached yet, smaller groups first.
+    With fingerprints ``bits`` only what lies within WIDE_RADIUS is verified.
     """
-    size = np.array([len(s) for s in sets])
+    size, least = np.array([len(s) for s in sets]), SIMILARITY - 1e-12
     hashes, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.r_[0, np.cumsum(size)]
-    _, of, rows = np.unique(group, return_inverse=True, return_counts=True)
-    left = np.lexsort((of, rows[of]))
-    held, least = np.zeros(len(hashes), bool), SIMILARITY - 1e-12
-    u, v = [], []
-    while len(left):
-        mine = of[left] == of[left[0]]
-        queue, left = left[mine].tolist(), left[~mine]
-        while queue and len(left):
-            at = queue.pop()
-            own = flat[ends[at] : ends[at + 1]]
-            held[own] = True
-            counts = np.r_[0, np.cumsum(held[flat], dtype=np.int64)]
-            held[own] = False
-            shared = counts[ends[left + 1]] - counts[ends[left]]
-            hit = left[shared >= least * (size[at] + size[left] - shared)]
-            if len(hit):
-                reached, one = np.unique(of[hit], return_index=True)
-                u += [at] * len(one)
-                v += hit[one].tolist()
-                came = np.isin(of[left], reached)
-                queue += left[came].tolist()
-                left = left[~came]
-    return u, v
+    own, held = np.split(flat, np.cumsum(size)[:-1]), np.zeros(len(hashes), bool)
+
+    def meets(at: int, left: np.ndarray) -> np.ndarray:
+        good = np.minimum(size[left], size[at]) >= least * np.maximum(size[left], size[at])
+        if bits is not None:
+            good[good] = _within(bits[left[good]], bits[at][None, :], WIDE_RADIUS)
+        asked = left[good]
+        held[own[at]] = True
+        shared = np.fromiter((np.count_nonzero(held[own[i]]) for i in asked.tolist()), np.int64, len(asked))
+        held[own[at]] = False
+        good[good] = shared >= least * (size[at] + size[asked] - shared)
+        return good
+
+    return forest_of_groups(group, meets)
 
 
 def agree(a: np.ndarray, b: np.ndarray) -> bool:
