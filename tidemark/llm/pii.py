@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.boosting import Boosted, fit_boosted
 from tidemark.llm.sampling import bounded_sample
+from tidemark.llm.spans import first_apart, touching
 from tidemark.session import scratch_path
 
 #: The kinds in the order of their names in results.
@@ -201,11 +202,12 @@ def fit_pii(docs: DataFrame, bound: int = TRAINING_DOCS) -> dict[str, Boosted]:
 def find_in_texts(texts: list[str], models: dict[str, Boosted]) -> Iterator[tuple[list, list]]:
     """Base spans and all spans of each text. Of overlapping additions the likeliest stays; none touches a base span."""
     bases = [base_spans(t) for t in texts]
+    on_base = [touching((a, b) for _, a, b in base) for base in bases]
     asked = [
         (i, k, a, b)
-        for i, (text, base) in enumerate(zip(texts, bases, strict=True))
+        for i, text in enumerate(texts)
         for k, a, b in candidates(text)
-        if models[k].trees and not any(s < b and a < e for _, s, e in base)
+        if models[k].trees and not on_base[i](a, b)
     ]
     added: list[list] = [[] for _ in texts]
     for kind in KINDS:
@@ -216,11 +218,8 @@ def find_in_texts(texts: list[str], models: dict[str, Boosted]) -> Iterator[tupl
                 if chance >= models[kind].threshold:
                     added[i].append((-chance, a, _RANK[k], b, k))
     for base, more in zip(bases, added, strict=True):
-        kept: list[tuple[str, int, int]] = []
-        for _, a, _, b, k in sorted(more):
-            if not any(s < b and a < e for _, s, e in kept):
-                kept.append((k, a, b))
-        yield base, in_order(base + kept)
+        kept = first_apart((a, b, k) for _, a, _, b, k in sorted(more))
+        yield base, in_order(base + [(k, a, b) for a, b, k in kept])
 
 
 def find_pii(docs: DataFrame, models: dict[str, Boosted]) -> DataFrame:

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.sampling import bounded_sample
+from tidemark.llm.spans import touching
 from tidemark.llm.words import slices
 from tidemark.session import scratch_path
 
@@ -373,9 +374,10 @@ def find_in_texts(texts: list[str], crf: Crf) -> Iterator[tuple[list, list]]:
             base, added = base_spans(text), []
             if ranges:
                 at = [m.span() for m in _TOKEN.finditer(text)]
+                on_base = touching((a, b) for _, a, b in base)
                 for i, j in ranges:
                     a, b = at[i][0], at[j - 1][1]
-                    if b - a >= 8 and not any(s < b and a < e for _, s, e in base):
+                    if b - a >= 8 and not on_base(a, b):
                         added.append((ADDED, a, b))
             yield base, in_order(base + added)
 
