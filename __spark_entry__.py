@@ -280,6 +280,42 @@ def contiguous_frontier(spark, sf_dir):
     return ops.contiguous_frontier(lines, "l_orderkey", "l_linenumber", 1, 1, delivered)
 
 
+def _shipped_parts(lines: DataFrame) -> list[DataFrame]:
+    """All lines in three parts, the latest first."""
+    year = F.coalesce(F.year("l_shipdate"), F.lit(0))
+    return [lines.filter(year >= 1997), lines.filter(year < 1995), lines.filter((year >= 1995) & (year < 1997))]
+
+
+def _orders_done(spark, sf_dir) -> DataFrame:
+    """Orders with a line of each return flag, recorded part by part, one part twice, compacted between."""
+    path, key = scratch_path(spark, "progress"), "l_returnflag"
+    for n, part in enumerate(_shipped_parts(table(spark, sf_dir, "lineitem"))):
+        done = ops.done_intervals(part, key, "l_orderkey", 1)
+        sources.record_intervals(done, path, n)
+        if n == 1:
+            sources.compact_intervals(spark, path, key, 1)
+            sources.record_intervals(done, path, n)
+    return sources.read_intervals(spark, path, key, 1)
+
+
+def interval_progress(spark, sf_dir):
+    """Stretches of successive orders that have a line of the flag."""
+    return ops.whole_intervals(_orders_done(spark, sf_dir), "l_returnflag", 1)
+
+
+def interval_gaps(spark, sf_dir):
+    """Stretches of orders between them that have none."""
+    return ops.interval_gaps(_orders_done(spark, sf_dir), "l_returnflag", 1)
+
+
+def interval_frontier(spark, sf_dir):
+    """The contiguous frontier of delivered lines from intervals of three parts of the table."""
+    key, delivered = "l_orderkey", F.col("l_returnflag") != "R"
+    parts = _shipped_parts(table(spark, sf_dir, "lineitem"))
+    done = [ops.done_intervals(p, key, "l_linenumber", 1, 1, delivered) for p in parts]
+    return ops.interval_frontier(ops.unite_intervals(*done, key=key, start=1), key, 1)
+
+
 # --- merges --------------------------------------------------------------------------
 
 
@@ -611,6 +647,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         reconcile_counts,
         uneven_ranges,
         contiguous_frontier,
+        interval_progress,
+        interval_gaps,
+        interval_frontier,
         replacing_merge,
         collapsing_merge,
         versioned_collapse,
@@ -707,6 +746,21 @@ def oracle_sql() -> dict[str, str]:
     status = (
         "CASE WHEN src > dst THEN 'target_short' WHEN src < dst THEN 'target_extra' ELSE 'match' END AS status"
     )
+    frontier = """
+            WITH done AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag <> 'R'),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM done),
+            ends AS (SELECT l_orderkey, max(CASE WHEN l_linenumber = rn THEN rn END) AS run, count(*) AS n
+                     FROM ranked GROUP BY 1)
+            SELECT l_orderkey, CAST(coalesce(run, 0) + 1 AS BIGINT) AS frontier,
+              CAST(coalesce(n, 0) - coalesce(run, 0) AS BIGINT) AS n_ahead
+            FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN ends USING (l_orderkey)"""
+    islands = """
+            done AS (SELECT DISTINCT l_returnflag, l_orderkey FROM lineitem WHERE l_orderkey >= 1),
+            ranked AS (SELECT *, l_orderkey - row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) AS island
+                       FROM done),
+            islands AS (SELECT l_returnflag, CAST(min(l_orderkey) AS BIGINT) AS "first",
+                          CAST(max(l_orderkey) AS BIGINT) AS "last"
+                        FROM ranked GROUP BY l_returnflag, island)"""
     latest = """
             SELECT user_id, ts, event_id, event_type, value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
@@ -793,14 +847,16 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(o_orderkey // 100 * 100 AS BIGINT) AS range_start, count(*) AS src,
               count(*) FILTER (o_orderstatus <> 'P') AS dst
             FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'P') > 0""",
-        "contiguous_frontier": """
-            WITH done AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag <> 'R'),
-            ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM done),
-            ends AS (SELECT l_orderkey, max(CASE WHEN l_linenumber = rn THEN rn END) AS run, count(*) AS n
-                     FROM ranked GROUP BY 1)
-            SELECT l_orderkey, CAST(coalesce(run, 0) + 1 AS BIGINT) AS frontier,
-              CAST(coalesce(n, 0) - coalesce(run, 0) AS BIGINT) AS n_ahead
-            FROM (SELECT DISTINCT l_orderkey FROM lineitem) LEFT JOIN ends USING (l_orderkey)""",
+        "contiguous_frontier": frontier,
+        "interval_frontier": frontier,
+        "interval_progress": f"""
+            WITH {islands}
+            SELECT l_returnflag, "first", "last" FROM islands""",
+        "interval_gaps": f"""
+            WITH {islands},
+            beside AS (SELECT l_returnflag, coalesce(lag("last") OVER w, 0) + 1 AS "first", "first" - 1 AS "last"
+                       FROM islands WINDOW w AS (PARTITION BY l_returnflag ORDER BY "first"))
+            SELECT * FROM beside WHERE "first" <= "last" """,
         "replacing_merge": latest,
         "latest_as_stream": latest,
         "collapsing_merge": """

@@ -1,0 +1,149 @@
+"""Intervals of done places: united in any order, joined over cells, with gaps and frontiers."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import operators as ops
+from tidemark import sources
+from tidemark.session import list_files
+
+CELL = 1 << 16
+
+
+def rows(df, *names):
+    return sorted(tuple(r[n] for n in names) for r in df.collect())
+
+
+def stretches(places, step=1):
+    """Brute force: maximal stretches of successive places."""
+    found = []
+    for p in sorted(set(places)):
+        if found and p == found[-1][1] + step:
+            found[-1][1] = p
+        else:
+            found.append([p, p])
+    return [tuple(x) for x in found]
+
+
+def gaps(places, start=0, step=1):
+    found, at = [], start
+    for lo, hi in stretches(places, step):
+        if lo > at:
+            found.append((at, lo - step))
+        at = hi + step
+    return found
+
+
+def pieces(spark, ranges):
+    return spark.createDataFrame(ranges, "key string, first bigint, last bigint")
+
+
+def test_increments_in_any_order_equal_brute_force(spark):
+    rng = random.Random(5)
+    start, step = 10, 3
+    keys = {k: [start + step * rng.randrange(n) for _ in range(n)] for k, n in (("a", 200), ("b", 9), (None, 30))}
+    data = [(k, p) for k, ps in keys.items() for p in ps] + [("a", 4), ("b", 11), ("only ignored", 5), ("b", None)]
+    rng.shuffle(data)
+    parts = [spark.createDataFrame(data[i::3], "key string, seq int") for i in range(3)]
+    done = [ops.done_intervals(p, "key", "seq", start, step) for p in parts]
+    whole = spark.createDataFrame(data, "key string, seq int")
+    for order in (done, done[::-1], [done[1], *done]):
+        united = ops.unite_intervals(*order, key="key", start=start, step=step)
+        got = ops.whole_intervals(united, "key", start, step).collect()
+        for k, ps in keys.items():
+            assert sorted((r["first"], r["last"]) for r in got if r["key"] == k) == stretches(ps, step)
+        assert len(got) == sum(len(stretches(ps, step)) for ps in keys.values())
+        want = ops.contiguous_frontier(whole, "key", "seq", start, step)
+        front = ops.interval_frontier(united, "key", start, step)
+        assert front.exceptAll(want).isEmpty() and want.exceptAll(front).isEmpty()
+        holes = ops.interval_gaps(united, "key", start, step).collect()
+        for k, ps in keys.items():
+            assert sorted((r["first"], r["last"]) for r in holes if r["key"] == k) == gaps(ps, start, step)
+        assert {r["key"] for r in holes} <= set(keys)
+
+
+def test_stretches_over_many_cells(spark):
+    """One key over 200,000 places with holes at and beside the borders of cells."""
+    missing = {CELL - 1, CELL, 2 * CELL + 1, 7, *range(2 * CELL + 50, 2 * CELL + 60)}
+    df = spark.range(200_000).filter(~F.col("id").isin(*missing)).select(F.lit("k").alias("key"), F.col("id").alias("seq"))
+    done = ops.done_intervals(df, "key", "seq")
+    assert done.filter("first div 65536 <> last div 65536").isEmpty()
+    places = [i for i in range(200_000) if i not in missing]
+    assert rows(ops.whole_intervals(done, "key"), "first", "last") == stretches(places)
+    assert rows(ops.interval_gaps(done, "key"), "first", "last") == gaps(places)
+    assert rows(ops.interval_frontier(done, "key"), "frontier", "n_ahead") == [(7, len(places) - 7)]
+
+
+@pytest.mark.parametrize("far", [CELL, CELL**2 - 1, CELL**2, CELL**3, CELL**3 + CELL, (1 << 62) + 5])
+def test_gaps_as_wide_as_any_level(spark, far):
+    done = pieces(spark, [("k", 3, 3), ("k", far, far), ("l", 0, 0)])
+    assert rows(ops.interval_gaps(done, "key"), "key", "first", "last") == [("k", 0, 2), ("k", 4, far - 1)]
+    assert rows(ops.whole_intervals(done, "key"), "key", "first", "last") == [("k", 3, 3), ("k", far, far), ("l", 0, 0)]
+
+
+def test_touching_cells_join_over_every_level(spark):
+    """Pieces on both sides of a border of each level."""
+    borders = [CELL, 5 * CELL, CELL**2, 3 * CELL**2, CELL**3, 9 * CELL**3]
+    done = pieces(spark, [x for b in borders for x in (("k", b - 1, b - 1), ("k", b, b + 1))])
+    assert rows(ops.whole_intervals(done, "key"), "first", "last") == [(b - 1, b + 1) for b in borders]
+
+
+def test_overlaps_and_repeats_of_pieces(spark):
+    done = pieces(spark, [("k", 0, 9), ("k", 2, 3), ("k", 0, 4), ("k", 10, 12), ("k", 20, 30), ("k", 20, 30)])
+    united = ops.unite_intervals(done, key="key")
+    assert rows(united, "first", "last") == [(0, 12), (20, 30)]
+    assert rows(ops.unite_intervals(united, done, key="key"), "first", "last") == [(0, 12), (20, 30)]
+
+
+def test_empty_table(spark):
+    done = ops.done_intervals(spark.createDataFrame([], "`a.key` string, `a.seq` int"), "a.key", "a.seq")
+    assert done.columns == ["a.key", "first", "last"]
+    for df in (done, ops.whole_intervals(done, "a.key"), ops.interval_gaps(done, "a.key")):
+        assert df.isEmpty()
+    assert ops.interval_frontier(done, "a.key").isEmpty()
+
+
+def test_hot_key_is_aggregated_before_it_travels(spark):
+    """Repeats of one key go in the tasks that read them, and no window is per key alone."""
+    key = F.when(F.col("id") < 900, "k").otherwise("l").alias("key")
+    df = spark.range(1000).select(key, (F.col("id") % 10).alias("seq"))
+    plan = ops.done_intervals(df, "key", "seq")._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("[key#" in w and "cell#" in w.split("windowspec")[-1] for w in windows)
+    assert plan.count("HashAggregate") >= 4
+
+
+def test_record_is_replayed_and_compacted(spark, folder):
+    parts = [[("k", 5, 9)], [("k", 0, 2)], [("k", 3, 4), ("l", 7, 7)]]
+    for n in (2, 0):
+        sources.record_intervals(pieces(spark, parts[n]), folder, n)
+    assert sources.compact_intervals(spark, folder, "key") > 0
+    assert sources.compact_intervals(spark, folder, "key") == 0
+    # a batch written again after it was compacted, and a new one with a smaller number
+    for n in (2, 1, 1):
+        sources.record_intervals(pieces(spark, parts[n]), folder, n)
+    want = [("k", 0, 9), ("l", 7, 7)]
+    assert rows(sources.read_intervals(spark, folder, "key"), "key", "first", "last") == want
+    assert sources.compact_intervals(spark, folder, "key") > 0
+    assert rows(sources.read_intervals(spark, folder, "key"), "key", "first", "last") == want
+    assert len({f.rsplit("/", 2)[-2] for f in list_files(spark, folder)}) == 1
+    with pytest.raises(ValueError, match="from 0 on"):
+        sources.record_intervals(pieces(spark, parts[0]), folder, -1)
+
+
+def test_crash_in_compaction_changes_nothing(spark, folder, monkeypatch):
+    for n in range(2):
+        sources.record_intervals(pieces(spark, [("k", 10 * n, 10 * n + 9)]), folder, n)
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr("tidemark.sources.progress.delete_files", dies)
+        with pytest.raises(OSError, match="lost"):
+            sources.compact_intervals(spark, folder, "key")
+    assert rows(sources.read_intervals(spark, folder, "key"), "first", "last") == [(0, 19)]
+    sources.compact_intervals(spark, folder, "key")
+    assert rows(sources.read_intervals(spark, folder, "key"), "first", "last") == [(0, 19)]

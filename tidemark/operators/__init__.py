@@ -9,6 +9,13 @@ from tidemark.operators.delta import (
 )
 from tidemark.operators.digests import range_digests, rows_of_ranges, uneven_digests
 from tidemark.operators.frontier import contiguous_frontier
+from tidemark.operators.intervals import (
+    done_intervals,
+    interval_frontier,
+    interval_gaps,
+    unite_intervals,
+    whole_intervals,
+)
 from tidemark.operators.merge import (
     collapsing_merge,
     replacing_merge,
@@ -40,7 +47,10 @@ __all__ = [
     "column_catalog",
     "contiguous_frontier",
     "difference_sketch",
+    "done_intervals",
     "in_range",
+    "interval_frontier",
+    "interval_gaps",
     "kept_columns",
     "key_positions",
     "max_watermark",
@@ -76,6 +86,8 @@ __all__ = [
     "uneven_digests",
     "uneven_hashes",
     "uneven_ranges",
+    "unite_intervals",
     "versioned_collapse",
     "watermark_profile",
+    "whole_intervals",
 ]

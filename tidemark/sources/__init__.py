@@ -5,6 +5,7 @@ from tidemark.sources.jsonlines import (
     write_json_lines,
 )
 from tidemark.sources.ledger import discard_digests, ledger_path, read_digests, record_digests, write_digests
+from tidemark.sources.progress import compact_intervals, read_intervals, record_intervals
 from tidemark.sources.state import (
     STATE_SCHEMA,
     append_state,
@@ -36,6 +37,7 @@ __all__ = [
     "append_state_rows",
     "check_schema",
     "check_target",
+    "compact_intervals",
     "compact_state_log",
     "count_bad_lines",
     "discard_digests",
@@ -49,11 +51,13 @@ __all__ = [
     "month_layout",
     "pending_batches",
     "read_digests",
+    "read_intervals",
     "read_json_lines",
     "read_state_log",
     "read_target",
     "read_with_bad_lines",
     "record_digests",
+    "record_intervals",
     "state_of",
     "table_reader",
     "target_schema",
