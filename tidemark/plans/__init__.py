@@ -2,6 +2,7 @@ from tidemark.plans.incremental import add_late_rows, catch_up, drain, late_rows
 from tidemark.plans.late import add_late_ranges, late_in_ranges, uneven_ranges_of
 from tidemark.plans.mirror import fold_mirror, mirror_table, read_changes
 from tidemark.plans.replicate import (
+    claim_tables,
     copy_tables,
     drain_cycle,
     poll_cycle,
@@ -25,6 +26,7 @@ __all__ = [
     "add_late_ranges",
     "add_late_rows",
     "catch_up",
+    "claim_tables",
     "copy_tables",
     "CopyResult",
     "drain",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -14,6 +14,7 @@ from tidemark.plans.mirror import fold_mirror, mirror_table
 from tidemark.plans.snapshot import CopyResult, snapshot_in_parts, snapshot_table, table_watermark
 from tidemark.sources.state import compact_state_log, load_state, state_of
 from tidemark.sources.target import read_target
+from tidemark.sources.writer import claim_writer
 from tidemark.types import DEFAULT_BATCH_ROWS, DEFAULT_WORKERS, TableSpec, TableState
 
 Reader = Callable[[str], DataFrame]
@@ -30,6 +31,11 @@ def state_path(root: str) -> str:
     return f"{root}/sync_state"
 
 
+def claim_tables(spark: SparkSession, specs: Iterable[TableSpec], root: str) -> None:
+    """Make this session the only writer of these tables and their state log, from before its first read on."""
+    claim_writer(spark, state_path(root), *(target_path(root, spec.name) for spec in specs))
+
+
 def read_synced(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The rows of a table that the state log vouches for; batches that were never recorded are left out."""
     state = state_of(load_state(spark, state_path(root)), table)

@@ -56,6 +56,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already."""
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.createNewFile(hadoop_path)
+
+
 def delete_files(spark: SparkSession, files: Iterable[str]) -> None:
     """Delete single files; folders are never removed."""
     for file in files:

@@ -30,13 +30,17 @@ from tidemark.sources.target import (
     write_batches,
     write_derived,
 )
+from tidemark.sources.writer import StaleWriterError, check_writer, claim_writer
 
 __all__ = [
     "STATE_SCHEMA",
+    "StaleWriterError",
     "append_state",
     "append_state_rows",
     "check_schema",
     "check_target",
+    "check_writer",
+    "claim_writer",
     "compact_intervals",
     "compact_state_log",
     "count_bad_lines",

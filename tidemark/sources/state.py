@@ -6,9 +6,11 @@ from collections.abc import Iterable
 from dataclasses import astuple
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.session import delete_files, path_exists
+from tidemark.sources.writer import check_writer
 from tidemark.types import TableState
 
 STATE_SCHEMA = T.StructType(
@@ -42,6 +44,7 @@ def append_state_rows(rows: DataFrame, path: str, table: str) -> None:
     Every table has its own folder: tables are copied side by side, and two
     jobs that append to one folder would share its staging area.
     """
+    check_writer(rows.sparkSession, path)
     typed = rows.select(*(F.col(f.name).cast(f.dataType) for f in STATE_SCHEMA.fields))
     typed.write.mode("append").parquet(f"{path}/table-{quote(table, safe='')}")
 
@@ -58,7 +61,12 @@ def read_state_log(spark: SparkSession, path: str) -> DataFrame:
     """The log; empty if there is none yet, an error if it is something else."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], STATE_SCHEMA)
-    log = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    try:
+        log = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder that was claimed, without a row yet
+            return spark.createDataFrame([], STATE_SCHEMA)
+        raise
     found = {f.name: f.dataType for f in log.schema.fields}
     if found != {f.name: f.dataType for f in STATE_SCHEMA.fields}:
         raise ValueError(f"{path} is no state log: {log.schema.simpleString()}")

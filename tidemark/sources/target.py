@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from tidemark.functions.scalar import month_number
 from tidemark.session import delete_files, list_files, list_folder, path_exists
+from tidemark.sources.writer import check_writer
 
 # Names that no source should hold; a table that does is refused before anything is written.
 BATCH_COLUMN = "tidemark_batch"
@@ -45,7 +46,8 @@ def check_names(df: DataFrame) -> None:
 
 
 def check_target(df: DataFrame, path: str) -> None:
-    """Before every write: free names, and the schema of what is already stored."""
+    """Before every write: this session's claim, free names, and the schema of what is already stored."""
+    check_writer(df.sparkSession, path)
     check_names(df)
     existing = target_schema(df.sparkSession, path)
     if existing is not None:
@@ -76,6 +78,7 @@ def write_batch(
     A repeated batch replaces itself, so a write that is replayed after a crash
     changes nothing. Rows are counted in the task that writes them.
     """
+    check_writer(df.sparkSession, path)
     if month_of is not None:
         rows = month_layout(df, month_of, sort_key)
     else:
@@ -93,6 +96,7 @@ def write_batches(
     of a batch come together and adaptive execution splits a batch that is too
     large.
     """
+    check_writer(df.sparkSession, path)
     layout = [BATCH_COLUMN]
     if month_of is not None:
         df = df.withColumn(MONTH_COLUMN, month_number(F.col(f"`{month_of}`")))
@@ -122,6 +126,7 @@ def discard_uncommitted(
     many batches were left. ``df`` gives the session.
     """
     spark = df.sparkSession
+    check_writer(spark, path)
     if not path_exists(spark, path):
         return []
     stale: dict[int, list[str]] = {}
