@@ -1,7 +1,10 @@
 import random
+import tracemalloc
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from tidemark.llm import passages
@@ -167,3 +170,20 @@ def test_odd_rows(spark, edge, empty):
     assert passages.without_repeats(empty).count() == 0
     twice = passages.repeated_passages(edge.unionByName(edge))
     assert sorted(r.doc_id for r in twice.collect()) == sorted(r.doc_id for r in found)
+
+
+def test_seeds_of_a_batch_take_little_memory(monkeypatch):
+    """Four workers share an executor with its heap, so tables over all words of a batch at once do not fit."""
+    words = [f"w{i % 9973}x{i % 31}" for i in range(40_000)]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(texts)], ["doc", "text"])
+    caught = []
+    passages._seed_blocks(SimpleNamespace(mapInArrow=lambda run, _: caught.append(run)), 3)
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    passages._hashed(words)
+    tracemalloc.start()
+    n = sum(sum(block["n"].to_pylist()) for block in map(pa.Table.from_batches, ([b] for b in caught[0](iter([batch])))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 300_000
+    assert peak < 13 * sum(map(len, texts))

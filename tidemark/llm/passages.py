@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import free_names
 from tidemark.llm.near import text_hash
-from tidemark.llm.words import held
+from tidemark.llm.words import held, slices
 from tidemark.session import scratch_path
 
 K = 5
@@ -47,6 +47,8 @@ RANGE_SEEDS = 1_000_000
 SEED_CHARS = 6
 #: A seed of more documents of one batch is matched within the batch, and only its first occurrence is dealt.
 HOT_DOCS = 64
+#: Characters whose seeds are found at once, or one text; a batch holds many times that, and its workers share a machine.
+SLICE_CHARS = 500_000
 #: Low bytes of a seed that are not shuffled: 56 bits tell seeds apart, and alignment checks words.
 _SPARED = 8
 _CACHED_WORDS = 200_000
@@ -396,8 +398,22 @@ def _packed(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, ranges: np.ndarra
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _BLOCKS)
 
 
+def _batch_seeds(docs: np.ndarray, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Seeds, documents and places of a batch, in pieces: tables over all words exist for one slice of its texts only."""
+    found = [], [], []
+    for first, last in slices(texts, SLICE_CHARS):
+        hashed = [word_hashes(text) for text in texts[first:last]]
+        sizes = np.fromiter(map(len, hashed), np.int64, len(hashed))
+        words = np.concatenate([np.empty(0, "<u8"), *hashed])
+        for level in LEVELS:
+            owner, at, hashes = seeds_of_all(words, sizes, *level)
+            for pieces, piece in zip(found, (hashes.view("<u8") >> np.uint64(_SPARED), docs[first:last][owner], at), strict=True):
+                pieces.append(piece)
+    return found
+
+
 def _seed_blocks(texts: DataFrame, n_ranges: int) -> DataFrame:
-    """All seeds with their document and place, one row per batch of texts and range of seeds.
+    """All seeds with their document and place, one row per batch of texts and range of seeds (two where a range lies in two quarters).
 
     A seed that very many documents of a batch hold gets a range of its own for
     this batch, and only its first occurrence is dealt to the seeds of others: no
@@ -409,27 +425,27 @@ def _seed_blocks(texts: DataFrame, n_ranges: int) -> DataFrame:
 
         own_range = n_ranges + (TaskContext.get().partitionId() << 32)
         for batch in batches:
-            docs = batch.column(0).to_numpy()
-            texts = [word_hashes(text) for text in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            words = np.concatenate([np.empty(0, "<u8"), *texts])
-            levels = [seeds_of_all(words, sizes, *level) for level in LEVELS]
-            owner, at, hashes = (np.concatenate(c) for c in zip(*levels, strict=True))
-            if not len(at):
-                continue
-            seed, doc = hashes.view("<u8") >> np.uint64(_SPARED), docs[owner]
-            order = np.lexsort((doc, seed))
-            seed, doc, at = seed[order], doc[order], at[order]
-            ranges = (((seed >> np.uint64(24)) * np.uint64(n_ranges)) >> np.uint64(32)).astype(np.int64)
-            new = np.r_[True, seed[1:] != seed[:-1]]
-            run_of = np.cumsum(new) - 1
-            other = np.r_[True, (doc[1:] != doc[:-1]) | new[1:]]
-            hot = np.bincount(run_of, other)[run_of] > HOT_DOCS
-            keep = ~hot | new
-            yield _packed(seed[keep], doc[keep], at[keep], ranges[keep])
-            if hot.any():
-                yield _packed(seed[hot], doc[hot], at[hot], np.full(int(hot.sum()), own_range))
-                own_range += 1
+            found = _batch_seeds(batch.column(0).to_numpy(), batch.column(1).to_pylist())
+            all_seeds, all_docs, all_places = (np.concatenate([*c, np.empty(0, t)]) for c, t in zip(found, ("<u8", np.int64, "i4"), strict=True))
+            del found
+            quarter = (all_seeds >> np.uint64(62 - _SPARED)).astype(np.uint8)
+            for q in range(4):  # sorted one after another, so what sorting needs is a quarter too
+                of = np.flatnonzero(quarter == q)
+                if not len(of):
+                    continue
+                seed, doc, at = all_seeds[of], all_docs[of], all_places[of]
+                order = np.lexsort((doc, seed))
+                seed, doc, at = seed[order], doc[order], at[order]
+                ranges = (((seed >> np.uint64(24)) * np.uint64(n_ranges)) >> np.uint64(32)).astype(np.int64)
+                new = np.r_[True, seed[1:] != seed[:-1]]
+                run_of = np.cumsum(new) - 1
+                other = np.r_[True, (doc[1:] != doc[:-1]) | new[1:]]
+                hot = np.bincount(run_of, other)[run_of] > HOT_DOCS
+                keep = ~hot | new
+                yield _packed(seed[keep], doc[keep], at[keep], ranges[keep])
+                if hot.any():
+                    yield _packed(seed[hot], doc[hot], at[hot], np.full(int(hot.sum()), own_range))
+                    own_range += 1
 
     return texts.mapInArrow(run, "range long, n int, seeds binary, base long, docs binary, places binary")
 
