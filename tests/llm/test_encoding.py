@@ -1,4 +1,6 @@
 import hashlib
+import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -7,7 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, packing
+from tidemark.llm import bpe, packing, words
 from tidemark.llm.queries import vocabulary
 
 BYTES, WORDS = vocabulary("byte_bpe_50k.json"), vocabulary("word_bpe_49k.json")
@@ -127,3 +129,25 @@ def test_decoded_text_is_read_from_the_ids():
     first = encoder.original.encode("hello", add_special_tokens=False).ids[0]
     encoder.tokens[first] = "changed"
     assert next(encoder.encode(["hello"]))[1].startswith("changed")
+
+
+def test_written_out_classes_split_alike():
+    """The splitter names its characters; the classes themselves must give the same words of any plain text."""
+    classes = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+    plain = words.NOT_PLAIN.sub("", "".join(map(chr, range(0x10000))))
+    draw = random.Random(3)
+    for _ in range(300):
+        text = "".join(draw.choice((plain, "ab '_1]^-\\\t\n", "'s't're've'm'll'd  ")[draw.randrange(3)]) for _ in range(200))
+        assert words.BYTE_LEVEL_WORDS.findall(text) == classes.findall(text)
+    assert words.BYTE_LEVEL_WORDS.findall(plain) == classes.findall(plain)
+
+
+def test_a_slice_does_not_walk_all_words_held():
+    class Watched(words.WordCache):
+        def __iter__(self):
+            raise AssertionError("walked")
+
+    cache = Watched(lambda new: [w.upper() for w in new])
+    cache.learn([["a", "b"], ["b"]])
+    cache.learn([["b", "c"]])
+    assert [cache[w] for w in "abc"] == ["A", "B", "C"]

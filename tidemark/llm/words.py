@@ -11,17 +11,26 @@ from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 
-#: The splitters of the two vocabularies, written with Python's
-#: own classes. They agree with the originals on PLAIN characters only.
-BYTE_LEVEL_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-WORD_LEVEL_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-
 #: Characters on which Python's classes, case and composition rules equal the
 #: originals' ones. Texts with others are encoded by the original itself.
 NOT_PLAIN = re.compile(
     "[^\x00-\x1b\x20-\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-˿"
     "Ѐ-ԯ‐-‧‰-⁞₠-₿、-〃ぁ-ゖ]"
 )
+_PLAIN = NOT_PLAIN.sub("", "".join(map(chr, range(0x3100))))
+
+
+def _written_out(kind: str) -> str:
+    """The PLAIN characters of a class one by one: a set of characters is looked up, classes are tried in turn."""
+    return f"[{re.escape(''.join(re.findall(kind, _PLAIN)))}]"
+
+
+_LETTER, _DIGIT, _OTHER = map(_written_out, (r"[^\W\d_]", r"\d", r"[^\s\w]|_"))
+
+#: The splitters of the two vocabularies, written with Python's
+#: own classes. They agree with the originals on PLAIN characters only.
+BYTE_LEVEL_WORDS = re.compile(rf" ?{_LETTER}+|'(?:[stmd]|re|ve|ll)| ?{_DIGIT}+| ?{_OTHER}+|\s+(?!\S)|\s+")
+WORD_LEVEL_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 _HELD: dict[str, object] = {}
 
@@ -58,7 +67,8 @@ class WordCache(dict):
         new = set()
         for words in texts:
             new.update(words)
-        new = sorted(new.difference(self))
+        # asked word by word: the difference with a mapping would walk all that is held, for every slice
+        new = sorted(w for w in new if w not in self)
         found = dict(zip(new, self.make(new), strict=True))
         if len(self) + len(found) <= self.limit:
             self.update(found)
