@@ -147,3 +147,11 @@ def test_crash_in_compaction_changes_nothing(spark, folder, monkeypatch):
     assert rows(sources.read_intervals(spark, folder, "key"), "first", "last") == [(0, 19)]
     sources.compact_intervals(spark, folder, "key")
     assert rows(sources.read_intervals(spark, folder, "key"), "first", "last") == [(0, 19)]
+
+
+def test_places_are_dealt_by_number(spark):
+    """Places compress well: tasks sized by their shuffled bytes would sort and count very many of them."""
+    df = spark.range(100).selectExpr("id % 7 key", "id seq")
+    done = ops.done_intervals(df, "key", "seq")
+    for made in (done, ops.unite_intervals(done, done, key="key"), ops.interval_frontier(done, "key")):
+        assert "REPARTITION_BY_NUM" in made._jdf.queryExecution().toString()

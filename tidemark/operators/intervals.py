@@ -96,11 +96,9 @@ def interval_frontier(pieces: DataFrame, key: str, start: int = 0, step: int = 1
     marks = F.when(lo.isNotNull(), F.array(mark(lo, True, hi - lo + 1), mark(hi + 1, False, none))).otherwise(
         F.array(mark(none.cast("bigint"), False, none))
     )
-    places = (
-        rows.select("key", F.explode(marks).alias("m"))
-        .groupBy("key", F.col("m.place").alias("place"))
-        .agg(F.max("m.done").alias("done"), F.sum("m.n").alias("n"))
-    )
+    marked = rows.select("key", F.explode(marks).alias("m")).select("key", "m.*")
+    # pieces are united, so at most two marks meet at a place and there is nothing to add up before the rows are dealt
+    places = _dealt(marked, "key", "place").groupBy("key", "place").agg(F.max("done").alias("done"), F.sum("n").alias("n"))
     started = F.max((F.col("place") == 0) & F.col("done"))
     first_gap = F.when(started, F.min(F.when(~F.col("done"), F.col("place")))).otherwise(F.lit(0).cast("bigint"))
     ends = places.groupBy("key").agg(first_gap.alias("gap"), F.sum("n").alias("n"))
@@ -122,9 +120,15 @@ def _places(rows: DataFrame, key: str, start: int, step: int) -> DataFrame:
 
 
 def _joined(rows: DataFrame, shift: int) -> DataFrame:
-    """Rows of a cell that overlap or touch, joined. One row per beginning is sorted, repeats are not."""
+    """Rows of a cell that overlap or touch, joined. One row per beginning is sorted, repeats are not.
+
+    Places compress well, so tasks sized by their shuffled bytes would hold very many: on the lowest level, where the
+    rows are, cells are dealt by number.
+    """
     cell = F.shiftright("lo", shift).alias("cell")
     rows = rows.groupBy("key", cell, "lo").agg(F.max("hi").alias("hi"))
+    if shift == _BITS:
+        rows = _dealt(rows, "key", "cell")
     inside = Window.partitionBy("key", "cell").orderBy("lo")
     reached = F.max("hi").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     apart = F.when(F.col("lo") - 1 <= reached, 0).otherwise(1)
@@ -137,6 +141,17 @@ def _joined(rows: DataFrame, shift: int) -> DataFrame:
     )
 
 
+#: Tasks a core of the session, where rows are dealt by number.
+_TASKS_A_CORE = 4
+
+
+def _dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt to several tasks a core, but no more than the session shuffles to; adaptive execution does not merge them."""
+    spark = rows.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(min(shuffled, _TASKS_A_CORE * spark.sparkContext.defaultParallelism), *by)
+
+
 def _whole(*levels: DataFrame) -> DataFrame:
     """Pieces joined over the borders of cells; further levels hold pieces of whole cells of theirs."""
     apart, pieces = [], levels[0]
