@@ -151,3 +151,26 @@ def test_a_slice_does_not_walk_all_words_held():
     cache.learn([["a", "b"], ["b"]])
     cache.learn([["b", "c"]])
     assert [cache[w] for w in "abc"] == ["A", "B", "C"]
+
+
+def test_the_tokenizer_is_asked_for_few_words_at_once(monkeypatch):
+    import tokenizers
+
+    asked, path = [], vocabulary("byte_bpe_50k.json")
+    real = tokenizers.Tokenizer.from_file(path)
+
+    class Counted:
+        from_file = staticmethod(lambda _: Counted())
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def encode_batch_fast(self, texts, **options):
+            asked.append(len(texts))
+            return real.encode_batch_fast(texts, **options)
+
+    texts = [f"{k} " + " ".join(f"{''.join(map(chr, (97 + i % 26, 97 + i // 26 % 26, 97 + i // 676 % 26)))}q" for i in range(k, 12_000 + k)) for k in range(3)]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    found = list(packing.byte_level_encoder(path)(texts))
+    assert found == [np.array(real.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert sum(asked) > 2 * max(asked) and max(asked) <= 4000

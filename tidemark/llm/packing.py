@@ -29,6 +29,11 @@ OPEN_WINDOWS = 64
 SLACK = 16
 #: Rests merged by one task, at most so many windows.
 MERGE_GROUP = 256
+#: Characters split into words at once, or one text, and words the tokenizer is asked at once: what it returns is large.
+SLICE_CHARS = 500_000
+ASKED_WORDS = 4_000
+#: Words a worker remembers for good; workers of earlier stages live on beside a heap, and each gets some of the tasks.
+KEPT_WORDS = 250_000
 #: Sequence numbers are task * this + a count from 0.
 TASK_STRIDE = 1 << 36
 
@@ -129,20 +134,21 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     tokenizer.no_padding()
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-    def original(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def original(texts: list[str]) -> Iterator[bytes]:
+        for first in range(0, len(texts), ASKED_WORDS):
+            found = tokenizer.encode_batch_fast(texts[first : first + ASKED_WORDS], add_special_tokens=False)
+            yield from [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    cache = WordCache(original)
+    cache = WordCache(original, KEPT_WORDS)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
-        for first, last in slices(texts):
+        for first, last in slices(texts, SLICE_CHARS):
             part = texts[first:last]
             plain = [not NOT_PLAIN.search(t) and not any(a in t for a in added) for t in part]
             words = [BYTE_LEVEL_WORDS.findall(t) if ok else None for t, ok in zip(part, plain, strict=True)]
             cache.learn(w for w in words if w)
             for text, found in zip(part, words, strict=True):
-                yield original([text])[0] if found is None else b"".join(map(cache.__getitem__, found))
+                yield next(original([text])) if found is None else b"".join(map(cache.__getitem__, found))
 
     return encode
 
