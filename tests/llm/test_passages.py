@@ -1,4 +1,5 @@
 import random
+import time
 import tracemalloc
 from collections import defaultdict
 from types import SimpleNamespace
@@ -8,6 +9,7 @@ import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from tidemark.llm import passages
+from tidemark.session import FREE_SHUFFLES
 
 from .conftest import invented
 
@@ -187,3 +189,19 @@ def test_seeds_of_a_batch_take_little_memory(monkeypatch):
     tracemalloc.stop()
     assert n > 300_000
     assert peak < 13 * sum(map(len, texts))
+
+
+def test_seeds_and_matches_leave_the_disk_with_the_chains(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    docs = spark.createDataFrame([(i, invented(40 + i, 60) + " " + invented(7, 60)) for i in range(6)], "doc_id long, text string")
+    before = shuffled()
+    found = passages.repeated_passages(docs)
+    end = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(FREE_SHUFFLES, None) is None
+    assert {r["doc_id"] for r in found.collect()} == {1, 2, 3, 4, 5}

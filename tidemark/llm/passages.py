@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm import free_names
 from tidemark.llm.near import text_hash
 from tidemark.llm.words import held, slices
-from tidemark.session import scratch_path
+from tidemark.session import freed_shuffles, scratch_path
 
 K = 5
 #: Any exact common run of K + WINDOW - 1 words has a common seed.
@@ -567,11 +567,12 @@ def repeated_passages(docs: DataFrame, least_words: int = 50, similarity: float
     """
     spark = docs.sparkSession
     texts = _texts(docs)
-    chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = _seed_blocks(texts, max(1, -(-chars // (SEED_CHARS * RANGE_SEEDS))))
-    matches = blocks.groupBy("range").applyInArrow(_match, "doc long, src long, own array<int>, other array<int>")
     path = scratch_path(spark, "chains")
-    _chain_rows(matches).write.parquet(path)
+    with freed_shuffles(spark):  # seeds and matches are most of what is shuffled; only their chains are read on
+        chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        blocks = _seed_blocks(texts, max(1, -(-chars // (SEED_CHARS * RANGE_SEEDS))))
+        matches = blocks.groupBy("range").applyInArrow(_match, "doc long, src long, own array<int>, other array<int>")
+        _chain_rows(matches).write.parquet(path)
     found = spark.read.parquet(path)
     source = _source_words(texts, found.select("src", "lo", "hi"))
     ready = found.join(source, ["src", "lo", "hi"]).groupBy("doc").agg(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+#: Fixed value: the engine's setting that frees what a query shuffled as soon as it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that end in here leave no shuffle files; otherwise these stay until the driver collects garbage.
+
+    For writes whose result is read again from where it was written.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
     fs, hadoop_path = _file_system(spark, path)
