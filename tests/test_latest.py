@@ -83,3 +83,30 @@ def test_refused(spark, folder):
             streaming.latest_versions(df, *args)
     with pytest.raises(ValueError, match="rename"):
         streaming.latest_versions(df.withColumn("Tidemark_op", F.lit("")), ["id"], ["v"])
+
+
+def test_calls_grow_with_buckets_not_with_keys(spark, folder, disk_state):
+    files = f"{folder}_files"
+    made = spark.range(6000).select((F.col("id") % 3000).alias("k"), (F.col("id") % 7 + 1).alias("version"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id)").alias("at"))
+    made.repartition(1).write.parquet(files)
+    log = streaming.latest_versions(streaming.read_stream(spark, files, made.schema), ["k"], ["version", "at"], buckets=16)
+    query = streaming.follow(log, f"{folder}/log", f"{folder}/offsets", once=True)
+    query.awaitTermination()
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["stateOperators"]) <= 16
+    found = spark.read.parquet(f"{folder}/log").drop(streaming.OP_COLUMN)
+    assert bag(found) == bag(ops.replacing_merge(made, ["k"], None, ["version", "at"]))
+
+
+def test_odd_keys_and_wide_values(spark, folder, disk_state):
+    """NaN is one key, zeros are one, NULL is one; large numbers next to NULL and far times stay exact."""
+    rows = [(k, n, v) for n, k in enumerate([float("nan"), 0.0, -0.0, None, 1.5] * 3) for v in (None, 2**53 + 1 + n)]
+    df = spark.createDataFrame(rows, "k double, n int, version long").select(
+        F.struct("k").alias("k"), "version", F.expr("timestamp_ntz'9998-01-01' + make_dt_interval(n)").alias("at"), F.expr("timestamp'9998-01-01 00:00:00Z'").alias("zoned")
+    )
+    files = f"{folder}_files"
+    df.repartition(3, "at").write.parquet(files)
+    log = run(spark, files, folder, schema=df.schema)
+    last = log.groupBy("k").agg(F.max("version").alias("v"), F.max("zoned").alias("z")).select("k.k", "v", F.unix_micros("z").alias("z")).collect()
+    assert sorted((str(r["k"]).lstrip("-"), r["v"] - 2**53) for r in last) == [("0.0", 13), ("1.5", 15), ("None", 14), ("nan", 11)]
+    assert {r["z"] for r in last} == {r[0] for r in df.select(F.unix_micros("zoned")).collect()}
+    assert log.where("tidemark_op = 'insert'").count() == 4
