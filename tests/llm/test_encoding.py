@@ -174,3 +174,41 @@ def test_the_tokenizer_is_asked_for_few_words_at_once(monkeypatch):
     found = list(packing.byte_level_encoder(path)(texts))
     assert found == [np.array(real.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert sum(asked) > 2 * max(asked) and max(asked) <= 4000
+
+
+def test_words_are_asked_many_at_once(monkeypatch):
+    """A call of the tokenizer for each word cost most of the packing; joined ones must give the same ids."""
+    import tokenizers
+
+    asked, path = [], vocabulary("byte_bpe_50k.json")
+    real = tokenizers.Tokenizer.from_file(path)
+
+    class Counted:
+        from_file = staticmethod(lambda _: Counted())
+
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    draw = random.Random(5)
+    made = ["".join(draw.choice(kind) for _ in range(draw.randint(1, 9))) for kind in ("abcdeé", "абв", "0123", "'-_!?”", "ab1'-") for _ in range(800)]
+    texts = [draw.choice(("", "x", "'s")) + draw.choice((" ", "  ", "\n", "\xa0", "")).join(draw.sample(made, 600)) + draw.choice(("", " ", "\n ")) for _ in range(12)]
+    texts += ["", " ", "  ", " '", "'s 's", " a\x85b"]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    found = list(packing.byte_level_encoder(path)(texts))
+    assert found == [np.array(real.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    spaced = {w for t in texts for w in words.BYTE_LEVEL_WORDS.findall(t) if re.fullmatch(r" \S+", w)}
+    assert len(spaced) > 500 and not spaced & set(asked)
+    assert len([a for a in asked if a.startswith(" ") and a.strip()]) < len(spaced) / 20
+
+
+def test_words_that_do_not_split_as_counted_are_asked_alone(monkeypatch):
+    monkeypatch.setattr(packing, "BYTE_LEVEL_WORDS", re.compile(r" ?[^ ]"))
+    path = vocabulary("byte_bpe_50k.json")
+    original = Tokenizer.from_file(path)
+    alone = [original.encode(w, add_special_tokens=False).ids for w in (" a", "b", " c", "d")]
+    (found,) = packing.byte_level_encoder(path)([" ab cd"])
+    assert np.frombuffer(found, "<u4").tolist() == sum(alone, [])

@@ -8,6 +8,7 @@ merged in rounds of bounded groups until one is left.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -32,6 +33,8 @@ MERGE_GROUP = 256
 #: Characters split into words at once, or one text, and words the tokenizer is asked at once: what it returns is large.
 SLICE_CHARS = 500_000
 ASKED_WORDS = 4_000
+#: Words that begin with a space are asked as texts of so many: most of what a short text costs does not depend on its length.
+JOINED_WORDS = 50
 #: Words a worker remembers for good; workers of earlier stages live on beside a heap, and each gets some of the tasks.
 KEPT_WORDS = 250_000
 #: Sequence numbers are task * this + a count from 0.
@@ -133,13 +136,37 @@ def byte_level_encoder(path: str) -> Callable[[list[str]], Iterator[bytes]]:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    vocab = tokenizer.get_vocab()
+    n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)  # a byte-level token has a character for each byte
+    n_bytes[list(vocab.values())] = list(map(len, vocab))
+    del vocab
 
     def original(texts: list[str]) -> Iterator[bytes]:
         for first in range(0, len(texts), ASKED_WORDS):
             found = tokenizer.encode_batch_fast(texts[first : first + ASKED_WORDS], add_special_tokens=False)
             yield from [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    cache = WordCache(original, KEPT_WORDS)
+    def of_words(words: list[str]) -> list[bytes]:
+        """The ids of each word. What begins with a space is split there again, so many words are one text, cut by counted bytes."""
+        spaced = [w for w in words if w[0] == " " and not w[-1].isspace()]
+        found = {}
+        for first in range(0, len(spaced), ASKED_WORDS):
+            part = spaced[first : first + ASKED_WORDS]
+            texts = ["".join(part[i : i + JOINED_WORDS]) for i in range(0, len(part), JOINED_WORDS)]
+            encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in encoded), "<u4")
+            del encoded
+            token_ends = np.cumsum(n_bytes[ids])
+            word_ends = np.cumsum([len(w.encode("utf-8")) for w in part])
+            cuts = np.searchsorted(token_ends, word_ends)
+            if len(ids) and token_ends[-1] == word_ends[-1] and (token_ends[cuts] == word_ends).all():
+                whole, ends = ids.tobytes(), (4 * cuts + 4).tolist()
+                found.update(zip(part, [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, original(rest), strict=True))
+        return [found[w] for w in words]
+
+    cache = WordCache(of_words, KEPT_WORDS)
 
     def encode(texts: list[str]) -> Iterator[bytes]:
         for first, last in slices(texts, SLICE_CHARS):
