@@ -248,3 +248,16 @@ def test_native_fingerprint_by_force(spark):
     h = F.xxhash64(F.xxhash64(F.xxhash64("a"), F.col("b")), F.col("c"))
     hashes = [r[0] % (1 << 64) for r in runs.select(h).collect()]
     assert got % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in hashes) > len(hashes))
+
+
+def test_no_task_contracts_links_while_it_finds_them(edge, monkeypatch):
+    """Two operators with Python in one task take two workers, and idle ones keep their memory beside the heap."""
+    plans = []
+
+    def components(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return connected_components(links)
+
+    monkeypatch.setattr(near, "connected_components", components)
+    assert near.similar_documents(edge).count() == edge.count()
+    assert len(plans) == 3 and not any("MapInArrow" in p for p in plans)

@@ -382,7 +382,9 @@ def _similar(docs: DataFrame) -> DataFrame:
     grouped = classes.select("node", "fp").join(roots, "node", "left")
     grouped = _stored(grouped.select("node", "fp", F.coalesce("component", "node").alias("group")), "groups")
     grids = sampled_grids(n_words, **WIDE_GRIDS)
-    clusters = connected_components(close.unionByName(_grid_links(grouped, grids, WIDE_RADIUS, n_words, forest=True)))
+    # stored first: a task that also contracts the links would need a second Python worker, and those live on
+    forest = _stored(_grid_links(grouped, grids, WIDE_RADIUS, n_words, forest=True), "forest")
+    clusters = connected_components(close.unionByName(forest))
     rows = grouped.join(clusters, "node", "left").select(F.coalesce("component", "node").alias("cell"), "node", "group")
     mixed = rows.groupBy("cell").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi")
     rows = rows.join(mixed, "cell", "left_semi")
